@@ -184,3 +184,231 @@ QUERIES: dict[str, Query] = {
     "first_orders": q_first_orders,
     "table_counts": q_table_counts,
 }
+
+
+# --- names and cleaning -----------------------------------------------------------
+
+_MESSY_HEADERS = [  # (source column, raw header) -> normalised header in the oracle
+    ("c_custkey", "Customer ID", "customer_id"),
+    ("c_name", "Name", "name"),
+    ("c_name", "name", "name_2"),
+    ("c_acctbal", "Balance ($)", "balance"),
+    ("c_mktsegment", "1st Segment", "column_1st_segment"),
+    ("c_nationkey", "__", "column"),
+    ("c_custkey", "x.y", "x_y"),
+]
+
+
+def q_normalize_columns(s, d):
+    from ledgerlake.functions.naming import normalize_columns
+    raw = V.read_table(s, d, "customer").select(*[F.col(src).alias(h) for src, h, _ in _MESSY_HEADERS])
+    return normalize_columns(raw)
+
+
+def _dirty_cust(s, d):
+    return V.customers_dirty_view(s, d)
+
+
+def _dirty_ord(s, d):
+    return V.orders_dirty_view(s, d)
+
+
+ORDER_LINE_KEY = ["order_id", "line_no"]
+
+
+def q_clean_strings(s, d):
+    return C.clean_strings(_dirty_cust(s, d))
+
+
+def q_drop_duplicate_rows(s, d):
+    return C.clean_dataframe(_dirty_cust(s, d))
+
+
+def q_clean_customers(s, d):
+    return C.clean_customers(_dirty_cust(s, d))
+
+
+def q_clean_orders(s, d):
+    return decimals_as_double(C.clean_orders(_dirty_ord(s, d), key=ORDER_LINE_KEY))
+
+
+def q_clean_products(s, d):
+    return C.clean_products(_prod(s, d))
+
+
+def q_dedupe_by_key(s, d):
+    return decimals_as_double(C.dedupe_by_key(_ord(s, d), ORDER_LINE_KEY))
+
+
+def q_reject_orders(s, d):
+    return decimals_as_double(C.reject_orders(_dirty_ord(s, d)))
+
+
+ORACLE["normalize_columns"] = "SELECT " + ", ".join(
+    f'{src} AS "{out}"' for src, _, out in _MESSY_HEADERS) + " FROM customer"
+
+_TRIMMED_CUST = """SELECT customer_id, NULLIF(TRIM(name), '') AS name, NULLIF(TRIM(email), '') AS email,
+       NULLIF(TRIM(city), '') AS city, NULLIF(TRIM(country), '') AS country,
+       NULLIF(TRIM(signup_date), '') AS signup_date
+FROM customers_dirty_v"""
+
+ORACLE["clean_strings"] = O.with_views("customers_dirty_v") + _TRIMMED_CUST
+ORACLE["drop_duplicate_rows"] = O.with_views("customers_dirty_v") + f"SELECT DISTINCT * FROM ({_TRIMMED_CUST})"
+
+
+def _first_per_key(source: str, keys: list[str], order: list[str]) -> str:
+    """Rows ranked first per key (row_number form of the deterministic dedupe)."""
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} "
+            f"ORDER BY {', '.join(c + ' NULLS FIRST' for c in order)}) AS rn FROM {source}) WHERE rn = 1")
+
+
+ORACLE["clean_customers"] = O.with_views("customers_dirty_v") + f"""
+SELECT customer_id, TRIM(name) AS name, LOWER(TRIM(email)) AS email, TRIM(city) AS city, TRIM(country) AS country,
+       TRY_CAST(signup_date AS DATE) AS signup_date
+FROM ({_first_per_key("customers_dirty_v", ["customer_id"], ["name", "email", "city", "country", "signup_date"])})"""
+
+_TYPED_DIRTY = """(SELECT order_id, line_no, customer_id, product_id, TRY_CAST(order_date AS DATE) AS order_date,
+        quantity, price FROM orders_dirty_v WHERE quantity > 0 AND price > 0) t"""
+
+ORACLE["clean_orders"] = O.with_views("orders_dirty_v") + f"""
+SELECT order_id, line_no, customer_id, product_id, order_date, quantity, CAST(price AS DOUBLE) AS price
+FROM ({_first_per_key(_TYPED_DIRTY, ORDER_LINE_KEY, ["customer_id", "product_id", "order_date", "quantity", "price"])})"""
+
+ORACLE["clean_products"] = O.with_views("products_v") + f"""
+SELECT * FROM ({_first_per_key("(SELECT product_id, TRIM(product_name) AS product_name, TRIM(category) AS category "
+                               "FROM products_v) t", ["product_id"], ["product_name", "category"])})"""
+
+ORACLE["dedupe_by_key"] = O.with_views("orders_v") + f"""
+SELECT order_id, line_no, customer_id, product_id, order_date, quantity, CAST(price AS DOUBLE) AS price
+FROM ({_first_per_key("orders_v", ORDER_LINE_KEY, ["customer_id", "product_id", "order_date", "quantity", "price"])})"""
+
+ORACLE["reject_orders"] = O.with_views("orders_dirty_v") + """
+SELECT order_id, line_no, customer_id, product_id, order_date, quantity, CAST(price AS DOUBLE) AS price,
+       concat_ws(',', CASE WHEN quantity IS NULL THEN 'quantity_missing' END,
+                      CASE WHEN quantity <= 0 THEN 'quantity_not_positive' END,
+                      CASE WHEN price IS NULL THEN 'price_missing' END,
+                      CASE WHEN price <= 0 THEN 'price_not_positive' END) AS reject_reason
+FROM orders_dirty_v WHERE NOT COALESCE(quantity > 0 AND price > 0, FALSE)"""
+
+
+# --- quality reports ----------------------------------------------------------------
+
+_DIRTY_CUST_COLS = list(CUSTOMERS.columns)
+_DIRTY_ORD_COLS = ["order_id", "line_no", "customer_id", "product_id", "order_date", "quantity", "price"]
+
+
+def _generic_report_sql(source: str, dataset: str, columns: list[str]) -> O.SqlReport:
+    r = O.SqlReport(source, dataset)
+    n = r.row_count()
+    r.row("column_count", None, str(len(columns)), "TRUE")
+    r.row("schema", None, str(len(columns)), "TRUE" if columns else "FALSE")
+    r.nulls(columns, informational=True)
+    r.duplicate_rows(columns, n)
+    return r
+
+
+def _entity_report_sql(source: str, spec, present: list[str]) -> O.SqlReport:
+    r = O.SqlReport(source, spec.name)
+    n = r.row_count()
+    cols = r.required_columns(spec.columns, present)
+    r.nulls(cols)
+    keys = [k for k in spec.key if k in cols]
+    if keys:
+        r.duplicate_keys(keys, n)
+    pos = [c for c in spec.positive if c in cols]
+    if pos:
+        r.positive(pos)
+    return r
+
+
+def q_quality_report(s, d):
+    return Q.generate_quality_report(_dirty_cust(s, d), "customers_dirty")
+
+
+def q_customer_quality_report(s, d):
+    return Q.generate_customer_quality_report(_dirty_cust(s, d))
+
+
+def q_order_quality_report(s, d):
+    return Q.generate_order_quality_report(_dirty_ord(s, d))
+
+
+def q_product_quality_report(s, d):
+    return Q.generate_product_quality_report(_prod(s, d))
+
+
+def q_check_nulls(s, d):
+    return Q.check_nulls(_dirty_ord(s, d), _DIRTY_ORD_COLS, "orders")
+
+
+def q_check_duplicates(s, d):
+    return Q.check_duplicates(_ord(s, d), ORDER_LINE_KEY, "orders")
+
+
+def q_check_positive_values(s, d):
+    return Q.check_positive_values(_dirty_ord(s, d), list(ORDERS.positive), "orders")
+
+
+def q_check_required_columns(s, d):
+    return Q.check_required_columns(_dirty_ord(s, d), list(ORDERS.columns), "orders")
+
+
+def q_quality_before_after(s, d):
+    raw = _dirty_cust(s, d)
+    return Q.quality_before_after(raw, C.clean_dataframe(raw), "customers_dirty")
+
+
+ORACLE["quality_report"] = _generic_report_sql("customers_dirty_v", "customers_dirty", _DIRTY_CUST_COLS).sql(
+    O.with_views("customers_dirty_v"))
+ORACLE["customer_quality_report"] = _entity_report_sql("customers_dirty_v", CUSTOMERS, _DIRTY_CUST_COLS).sql(
+    O.with_views("customers_dirty_v"))
+ORACLE["order_quality_report"] = _entity_report_sql("orders_dirty_v", ORDERS, _DIRTY_ORD_COLS).sql(
+    O.with_views("orders_dirty_v"))
+ORACLE["product_quality_report"] = _entity_report_sql("products_v", PRODUCTS, list(PRODUCTS.columns)).sql(
+    O.with_views("products_v"))
+
+_r = O.SqlReport("orders_dirty_v", "orders")
+_r.nulls(_DIRTY_ORD_COLS)
+ORACLE["check_nulls"] = _r.sql(O.with_views("orders_dirty_v"))
+
+_r = O.SqlReport("orders_v", "orders")
+_n = _r.metric("COUNT(*)")
+_r.row("total_rows", None, _n, "TRUE")
+_r.duplicate_keys(ORDER_LINE_KEY, _n)
+ORACLE["check_duplicates"] = _r.sql(O.with_views("orders_v"))
+
+_r = O.SqlReport("orders_dirty_v", "orders")
+_r.positive(list(ORDERS.positive))
+ORACLE["check_positive_values"] = _r.sql(O.with_views("orders_dirty_v"))
+
+_r = O.SqlReport("orders_dirty_v", "orders")
+_r.row_count()
+_r.required_columns(ORDERS.columns, _DIRTY_ORD_COLS)
+ORACLE["check_required_columns"] = _r.sql(O.with_views("orders_dirty_v"))
+
+_before = _generic_report_sql("customers_dirty_v", "customers_dirty", _DIRTY_CUST_COLS).sql(
+    O.with_views("customers_dirty_v"))
+_after = _generic_report_sql(f"(SELECT DISTINCT * FROM ({_TRIMMED_CUST})) t0", "customers_dirty", _DIRTY_CUST_COLS)
+ORACLE["quality_before_after"] = (
+    f"SELECT 'raw' AS stage, * FROM ({_before})\nUNION ALL\n"
+    f"SELECT 'processed' AS stage, * FROM ({_after.sql(O.with_views('customers_dirty_v'))})")
+
+QUERIES.update({
+    "normalize_columns": q_normalize_columns,
+    "clean_strings": q_clean_strings,
+    "drop_duplicate_rows": q_drop_duplicate_rows,
+    "clean_customers": q_clean_customers,
+    "clean_orders": q_clean_orders,
+    "clean_products": q_clean_products,
+    "dedupe_by_key": q_dedupe_by_key,
+    "reject_orders": q_reject_orders,
+    "quality_report": q_quality_report,
+    "customer_quality_report": q_customer_quality_report,
+    "order_quality_report": q_order_quality_report,
+    "product_quality_report": q_product_quality_report,
+    "check_nulls": q_check_nulls,
+    "check_duplicates": q_check_duplicates,
+    "check_positive_values": q_check_positive_values,
+    "check_required_columns": q_check_required_columns,
+    "quality_before_after": q_quality_before_after,
+})
