@@ -136,6 +136,6 @@ def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str
         tables[t] = name
     for t, name in tables.items():
         df = normalize_columns(
-            load_csv(spark, datasets[name], multi_line=True).alias(t))
+            load_csv(spark, datasets[name], multi_line=True, mode="FAILFAST").alias(t))
         W.load_table(spark, df, t, os.path.join(warehouse_root, t))
     return W.table_counts(spark, list(tables))

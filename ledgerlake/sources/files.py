@@ -28,10 +28,12 @@ ATTRIBUTE_PREFIX = "@"
 
 
 def load_csv(spark: SparkSession, path: str, *, header: bool = True, infer_schema: bool = True,
-             schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+             schema: T.StructType | None = None, multi_line: bool = False,
+             mode: str = "PERMISSIVE") -> DataFrame:
     """CSV with a header row. ``multi_line`` allows quoted newlines; a doubled quote
-    inside a quoted field is an escaped quote. An unquoted empty field is NULL."""
-    reader = spark.read.option("header", header).option("escape", '"')
+    inside a quoted field is an escaped quote. An unquoted empty field is NULL.
+    ``mode="FAILFAST"`` raises on the first malformed record."""
+    reader = spark.read.option("header", header).option("escape", '"').option("mode", mode)
     if multi_line:
         reader = reader.option("multiLine", True)
     if schema is not None:

@@ -1,0 +1,36 @@
+from __future__ import annotations
+
+import __spark_entry__ as E
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    assert df.columns == ["order_date", "total_orders", "total_units_sold", "total_revenue", "average_order_value"]
+    assert df.count() > 0
+
+
+def test_every_query_has_an_oracle_and_runs(spark):
+    qs, sql = E.queries(), E.oracle_sql()
+    assert set(sql) <= set(qs)
+    for name, q in qs.items():
+        df = q(spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" not in plan, name  # no row-at-a-time Python UDF
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        assert df.limit(1).count() >= 0
+
+
+def test_oracle_matches_on_small_scale(spark):
+    import duckdb
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    qs, sql = E.queries(), E.oracle_sql()
+    for name in ("sales_analytics", "customer_analytics", "clean_orders", "order_quality_report"):
+        s = sorted(tuple(r) for r in qs[name](spark, SF).collect())
+        d = sorted(tuple(r) for r in con.execute(
+            f"SELECT {', '.join(chr(34) + c + chr(34) for c in qs[name](spark, SF).columns)} FROM ({sql[name]})"
+        ).fetchall())
+        assert s == d, name

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from ledgerlake.plans import pipeline as P
+from ledgerlake.sinks import warehouse as W
+
+
+def test_load_truncates_and_keeps_layout(spark, tmp_path, typed_tables):
+    loc = str(tmp_path / "wh" / "orders_t")
+    first = W.load_table(spark, typed_tables["orders"], "orders_t", loc)
+    assert first["created"] and first["rows_loaded"] == 10
+    assert first["partition_by"] == [W.INGEST_DATE]
+    assert first["clustering"] == ["customer_id", "product_id"]
+    # reload: replaces rows, keeps partitioning and clustering even if asked otherwise
+    second = W.load_table(spark, typed_tables["orders"].limit(4), "orders_t", loc, clustering=["order_id"])
+    assert not second["created"] and second["rows_loaded"] == 4
+    assert second["clustering"] == ["customer_id", "product_id"]
+    assert W.read_table(spark, "orders_t").count() == 4
+    assert W.describe_table(spark, "orders_t")["partition_by"] == [W.INGEST_DATE]
+
+
+def test_overwrite_from_itself(spark, tmp_path, typed_tables):
+    loc = str(tmp_path / "wh" / "self_t")
+    W.load_table(spark, typed_tables["products"], "self_t", loc)
+    again = W.load_table(spark, W.read_table(spark, "self_t").filter("product_id > 2002"), "self_t", loc)
+    assert again["rows_loaded"] == 3
+    assert W.read_table(spark, "self_t").count() == 3
+
+
+def test_verify_tables(spark, tmp_path, typed_tables):
+    for name in ("customers", "orders", "products"):
+        W.load_table(spark, typed_tables[name], f"v_{name}", str(tmp_path / "wh" / name))
+    rows = {r.table_name: r for r in W.verify_tables(
+        spark, {"v_customers": 14, "v_orders": 10, "v_products": 5, "v_missing": 1}).collect()}
+    assert all(rows[t].matches for t in ("v_customers", "v_orders", "v_products"))
+    assert rows["v_missing"].actual_rows is None and not rows["v_missing"].matches
+
+
+def test_csv_round_trip_nulls(spark, tmp_path, raw_tables):
+    out = W.save_as_csv(raw_tables["customers"], str(tmp_path / "c_processed.csv"), single_file=True)
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == 15
+    assert back.filter("email IS NULL").count() == 1
+    assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 1
+
+
+def test_generic_run(spark, tmp_path, fixture_dir):
+    wh, proc = str(tmp_path / "wh"), str(tmp_path / "processed")
+    res = P.run_pipeline(spark, str(fixture_dir), wh, selected="CUSTOMERS.csv", processed_dir=proc)
+    assert res["status"] == "success" and res["table_name"] == "customers"
+    assert res["rows_loaded"] == 14
+    assert res["raw_report"]["row_count"] == 15 and res["raw_report"]["duplicates"]["duplicate_rows"] == 1
+    assert res["processed_report"]["row_count"] == 14
+    assert res["processed_report"]["duplicates"]["passed"] is True
+    runs = P.read_run_records(spark, wh).collect()
+    assert [(r.source_file, r.status, r.rows_loaded) for r in runs] == [("customers.csv", "success", 14)]
+    # generic path keeps the invalid orders (12), the typed path drops them (10)
+    assert P.run_pipeline(spark, str(fixture_dir), wh, selected="orders.json")["rows_loaded"] == 12
+    assert P.run_pipeline(spark, str(fixture_dir), wh, selected="orders.json", entity="orders")["rows_loaded"] == 10
+    assert P.run_pipeline(spark, str(fixture_dir), wh, selected="products.xml")["rows_loaded"] == 5
+    counts = {r.table_name: r.total_rows for r in P.load_all_tables(spark, proc, str(tmp_path / "wh2")).collect()}
+    assert counts == {"customers": 14}
+
+
+def test_failed_run_is_recorded(spark, tmp_path, fixture_dir):
+    wh = str(tmp_path / "wh")
+    with pytest.raises(FileNotFoundError):
+        P.run_pipeline(spark, str(fixture_dir), wh, selected="nope.csv")
+    runs = P.read_run_records(spark, wh).collect()
+    assert runs[0].status == "failed" and "nope.csv" in runs[0].error
+
+
+def test_name_collision(spark, tmp_path, raw_tables):
+    proc = tmp_path / "proc"
+    W.save_as_csv(raw_tables["products"], str(proc / "Products_processed.csv"))
+    W.save_as_csv(raw_tables["products"], str(proc / "products_processed.csv"))
+    with pytest.raises(ValueError, match="both map"):
+        P.load_all_tables(spark, str(proc), str(tmp_path / "wh"))
