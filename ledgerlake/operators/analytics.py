@@ -176,10 +176,10 @@ def share_of_max(df: DataFrame, value: str = "total_revenue", out: str = "pct_of
     The maximum is a scalar subquery (one partial/final aggregate), not a window
     over all rows, which would pull every row into a single task.
     """
-    top = df.select(F.max(value)).scalar()
+    positive_top = df.select(F.when(F.max(value) > 0, F.max(value))).scalar()  # NULL unless > 0
     return df.select(
         "*",
-        F.when(top > 0, F.col(value) / top * F.lit(100)).otherwise(F.lit(0.0)).alias(out),
+        F.coalesce(F.col(value) / positive_top * F.lit(100), F.lit(0.0)).alias(out),
     )
 
 
