@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.naming import choose_clustering_columns
+from ledgerlake.operators.quality import _has_map
 from ledgerlake.session import ensure_checkpoint_dir
 
 INGEST_DATE = "_ingest_date"
@@ -39,16 +40,25 @@ def save_as_csv(df: DataFrame, out_dir: str, single_file: bool = False) -> str:
     return out_dir
 
 
-def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
+def clustered(df: DataFrame, columns: list[str], num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort within partitions on ``columns`` (no-op when empty).
 
-    Range bounds come from a sample, so a hot value does not force all its rows
-    into one partition more than its share of the sample does.
+    Range bounds come from a sample. A range bound cannot fall inside one key, so
+    a hash of the whole row is the last range column: a key holding a third of all
+    rows is cut into as many partitions as its share of the sample asks for,
+    instead of landing in one task. The hash is deterministic, so a retried task
+    gets the same rows. Files stay sorted on ``columns``.
     """
     if not columns:
         return df
     cols = [F.col(f"`{c}`") for c in columns]
-    return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
+    spread = F.xxhash64(*hashable) if hashable else F.lit(0)
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *cols, spread)
+    else:
+        ranged = df.repartitionByRange(*cols, spread)
+    return ranged.sortWithinPartitions(*cols)
 
 
 def table_layout(spark: SparkSession, table: str) -> dict | None:

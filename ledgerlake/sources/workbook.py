@@ -1,0 +1,178 @@
+"""XLSX workbooks as a distributed source (re-aim of a driver-side pandas read).
+
+``binaryFile`` lists the workbooks and hands each one's bytes to a task;
+``mapInPandas`` parses the first sheet of each workbook into rows of text cells
+(stdlib ``zipfile`` + XML: no spreadsheet library is needed). Everything after
+that is Spark: the first row of each workbook is its header, rows are matched to
+their workbook's header by name (workbooks with different columns union by
+name), empty cells are NULL, and column types are inferred by one aggregate
+(long, double, date, else string). A source without data rows raises ValueError.
+
+A single workbook is one task (the format is a zip archive and cannot be split);
+many workbooks spread over the cluster.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import io
+import re
+import zipfile
+from collections.abc import Iterator
+from xml.etree import ElementTree as ET
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
+       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
+       "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
+
+# Built-in spreadsheet number formats that display dates/times.
+DATE_FORMAT_IDS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
+EXCEL_EPOCH = dt.datetime(1899, 12, 30)
+
+CELLS_SCHEMA = "path string, row_no long, cells array<string>"
+
+
+def _col_index(ref: str) -> int:
+    letters = re.match(r"[A-Z]+", ref or "")
+    if not letters:
+        return -1
+    n = 0
+    for ch in letters.group(0):
+        n = n * 26 + (ord(ch) - 64)
+    return n - 1
+
+
+def _text(el) -> str:
+    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Indexes of cell styles whose number format shows a date."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    root = ET.fromstring(z.read("xl/styles.xml"))
+    custom = {int(f.get("numFmtId")): f.get("formatCode", "")
+              for f in root.iterfind("m:numFmts/m:numFmt", _NS)}
+    out = set()
+    for i, xf in enumerate(root.iterfind("m:cellXfs/m:xf", _NS)):
+        fid = int(xf.get("numFmtId", "0"))
+        code = re.sub(r'"[^"]*"|\[[^\]]*\]', "", custom.get(fid, ""))
+        if fid in DATE_FORMAT_IDS or (fid in custom and re.search(r"[dmyDMY]", code)):
+            out.add(i)
+    return out
+
+
+def _first_sheet(z: zipfile.ZipFile) -> str:
+    try:
+        wb = ET.fromstring(z.read("xl/workbook.xml"))
+        rid = wb.find("m:sheets/m:sheet", _NS).get(f"{{{_NS['r']}}}id")
+        rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
+        target = next(r.get("Target") for r in rels.iterfind("p:Relationship", _NS) if r.get("Id") == rid)
+        return target.lstrip("/") if target.startswith("/") else "xl/" + target
+    except (KeyError, AttributeError, StopIteration):
+        return "xl/worksheets/sheet1.xml"
+
+
+def _number(raw: str, is_date: bool) -> str:
+    x = float(raw)
+    if is_date:
+        stamp = EXCEL_EPOCH + dt.timedelta(days=x)
+        return stamp.date().isoformat() if stamp.time() == dt.time() else stamp.isoformat(sep=" ")
+    return str(int(x)) if x.is_integer() and "e" not in raw.lower() else repr(x)
+
+
+def parse_first_sheet(content: bytes) -> list[list[str | None]]:
+    """Rows of the first sheet as text cells (None for empty cells)."""
+    z = zipfile.ZipFile(io.BytesIO(content))
+    shared = []
+    if "xl/sharedStrings.xml" in z.namelist():
+        shared = [_text(si) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iterfind("m:si", _NS)]
+    dates = _date_styles(z)
+    rows: list[list[str | None]] = []
+    sheet = ET.fromstring(z.read(_first_sheet(z)))
+    for row in sheet.iterfind("m:sheetData/m:row", _NS):
+        cells: dict[int, str | None] = {}
+        for pos, c in enumerate(row.iterfind("m:c", _NS)):
+            idx = _col_index(c.get("r")) if c.get("r") else pos
+            kind, v = c.get("t", "n"), c.find("m:v", _NS)
+            if kind == "inlineStr":
+                val = _text(c.find("m:is", _NS)) if c.find("m:is", _NS) is not None else None
+            elif v is None or v.text is None:
+                val = None
+            elif kind == "s":
+                val = shared[int(v.text)]
+            elif kind == "b":
+                val = "true" if v.text == "1" else "false"
+            elif kind in ("str", "e"):
+                val = v.text
+            else:
+                val = _number(v.text, int(c.get("s", "0")) in dates)
+            cells[idx] = val
+        width = max(cells) + 1 if cells else 0
+        rows.append([cells.get(i) for i in range(width)])
+    return rows
+
+
+def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        out = []
+        for path, content in zip(batch["path"], batch["content"]):
+            for i, cells in enumerate(parse_first_sheet(bytes(content))):
+                out.append((path, i, cells))
+        yield pd.DataFrame(out, columns=["path", "row_no", "cells"])
+
+
+def workbook_cells(spark: SparkSession, path: str) -> DataFrame:
+    """path, row_no, cells for every sheet row of every ``.xlsx`` under ``path``
+    (``~$`` lock files skipped)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
+             .filter(~F.regexp_extract("path", r"([^/]+)$", 1).startswith("~$"))
+             .select("path", "content"))
+    return files.mapInPandas(_cells, CELLS_SCHEMA)
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """Cast each text column to long, double or date when every non-empty value
+    converts (one aggregate pass), else keep it as text."""
+    checks = []
+    for c in df.columns:
+        col = F.col(f"`{c}`")
+        checks += [F.count(col).alias(f"{c}\u0000n"),
+                   F.count(col.try_cast("long")).alias(f"{c}\u0000long"),
+                   F.count(col.try_cast("double")).alias(f"{c}\u0000double"),
+                   F.count(F.when(col.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(col))).alias(f"{c}\u0000date")]
+    stats = df.agg(*checks).collect()[0].asDict()
+    out = []
+    for c in df.columns:
+        n = stats[f"{c}\u0000n"]
+        col = F.col(f"`{c}`")
+        chosen = next((t for t in ("long", "double", "date") if n and stats[f"{c}\u0000{t}"] == n), None)
+        if chosen == "date":
+            out.append(F.try_to_date(col).alias(c))
+        elif chosen:
+            out.append(col.try_cast(chosen).alias(c))
+        else:
+            out.append(col)
+    return df.select(*out)
+
+
+def load_workbooks(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
+    """Rows of the first sheet of every workbook under ``path`` with the header row's
+    names as columns (unnamed header cells become ``Unnamed: i``)."""
+    cells = workbook_cells(spark, path)
+    headers = cells.filter("row_no = 0").select(
+        "path", F.transform("cells", lambda x, i: F.coalesce(x, F.concat(F.lit("Unnamed: "), i.cast("string"))))
+        .alias("header"))
+    names: list[str] = []
+    for r in headers.select("header").distinct().collect():  # one row per distinct header
+        names += [n for n in r["header"] if n not in names]
+    data = cells.filter("row_no > 0").join(headers, "path")
+    if not names or data.isEmpty():
+        raise ValueError(f"No records were found in XLSX file(s): {path}")
+    row = F.map_from_arrays(F.slice("header", 1, F.size("cells")), F.slice("cells", 1, F.size("header")))
+    out = data.select(row.alias("_row")).select(*[F.col("_row")[n].alias(n) for n in names])
+    return infer_types(out) if infer else out

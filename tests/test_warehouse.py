@@ -79,3 +79,16 @@ def test_name_collision(spark, tmp_path, raw_tables):
     W.save_as_csv(raw_tables["products"], str(proc / "products_processed.csv"))
     with pytest.raises(ValueError, match="both map"):
         P.load_all_tables(spark, str(proc), str(tmp_path / "wh"))
+
+
+def test_clustered_layout_splits_a_hot_key(spark):
+    from pyspark.sql import functions as F
+    n = 20000
+    df = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id")).alias("customer_id"),
+                               F.col("id").alias("v"))
+    out = W.clustered(df, ["customer_id"], num_partitions=8)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == n
+    assert max(sizes) < 0.35 * n  # the hot key (half of all rows) is spread over several partitions
+    first = out.limit(50).collect()
+    assert [r.customer_id for r in first] == sorted(r.customer_id for r in first)

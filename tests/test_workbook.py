@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import datetime as dt
+import zipfile
+
+import pytest
+
+from ledgerlake.sources.files import load_file
+from ledgerlake.sources.workbook import load_workbooks, parse_first_sheet
+
+M = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+R = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+
+def _cell(ref, value):
+    if value is None:
+        return ""
+    if isinstance(value, tuple):  # (serial, style) date cell
+        return f'<c r="{ref}" s="{value[1]}"><v>{value[0]}</v></c>'
+    if isinstance(value, str):
+        return f'<c r="{ref}" t="inlineStr"><is><t>{value}</t></is></c>'
+    return f'<c r="{ref}"><v>{value}</v></c>'
+
+
+def write_xlsx(path, header, rows):
+    """A minimal workbook: header as shared strings, data cells inline / numeric."""
+    shared = "".join(f"<si><t>{h}</t></si>" for h in header)
+    head = "".join(f'<c r="{chr(65 + i)}1" t="s"><v>{i}</v></c>' for i in range(len(header)))
+    body = "".join(
+        f'<row r="{n + 2}">' + "".join(_cell(f"{chr(65 + i)}{n + 2}", v) for i, v in enumerate(r)) + "</row>"
+        for n, r in enumerate(rows))
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{M}" xmlns:r="{R}"><sheets>'
+                                      f'<sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId1" Target="worksheets/sheet1.xml" Type="worksheet"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{M}">{shared}</sst>')
+        z.writestr("xl/styles.xml", f'<styleSheet xmlns="{M}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/>'
+                                    f'</cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/sheet1.xml",
+                   f'<worksheet xmlns="{M}"><sheetData><row r="1">{head}</row>{body}</sheetData></worksheet>')
+
+
+def test_parse_cells(tmp_path):
+    p = tmp_path / "a.xlsx"
+    write_xlsx(p, ["id", "name", "day"], [[1, "x", (45748, 1)], [2.5, None, None]])
+    rows = parse_first_sheet(p.read_bytes())
+    assert rows == [["id", "name", "day"], ["1", "x", "2025-04-01"], ["2.5"]]
+
+
+def test_load_workbooks_union_and_types(spark, tmp_path):
+    d = tmp_path / "books"
+    d.mkdir()
+    write_xlsx(d / "a.xlsx", ["order_id", "city", "day"], [[1, "Paris", (45748, 1)], [2, None, (45749, 1)]])
+    write_xlsx(d / "b.xlsx", ["order_id", "amount"], [[3, 9.5]])
+    (d / "~$a.xlsx").write_bytes(b"lock")
+    df = load_workbooks(spark, str(d))
+    types = dict(df.dtypes)
+    assert types == {"order_id": "bigint", "city": "string", "day": "date", "amount": "double"}
+    rows = {r.order_id: r for r in df.collect()}
+    assert rows[1].city == "Paris" and rows[1].day == dt.date(2025, 4, 1)
+    assert rows[2].city is None and rows[3].amount == 9.5 and rows[3].day is None
+    assert load_file(spark, str(d / "b.xlsx")).count() == 1
+
+
+def test_workbook_without_rows(spark, tmp_path):
+    p = tmp_path / "empty.xlsx"
+    write_xlsx(p, ["a"], [])
+    with pytest.raises(ValueError):
+        load_workbooks(spark, str(p))
