@@ -202,3 +202,27 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def with_labels(df: DataFrame, date: str | None = "order_date", amount: str = "total_revenue") -> DataFrame:
+    """Presentation columns used by the dashboard: ``date_label`` (MM-dd of the ISO
+    date) and ``amount_label`` (thousands separators, two decimals)."""
+    cols = [F.col("*")]
+    if date and date in df.columns:
+        cols.append(F.date_format(date, "MM-dd").alias("date_label"))
+    cols.append(F.format_number(F.col(amount), 2).alias("amount_label"))
+    return df.select(*cols)
+
+
+def create_analytics_views(customers: DataFrame, orders: DataFrame, products: DataFrame) -> list[str]:
+    """Register the four warehouse views (``CREATE OR REPLACE VIEW``) as temporary
+    views: business_summary, customer_analytics, sales_analytics, product_analytics."""
+    views = {
+        "business_summary": business_summary(customers, orders),
+        "customer_analytics": customer_analytics(customers, orders),
+        "sales_analytics": sales_analytics(orders),
+        "product_analytics": product_analytics(products, orders),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)

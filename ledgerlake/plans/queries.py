@@ -412,3 +412,64 @@ QUERIES.update({
     "check_required_columns": q_check_required_columns,
     "quality_before_after": q_quality_before_after,
 })
+
+
+# --- the typed path end to end: dirty input -> typed cleaners -> dashboard -----------
+
+def _typed_inputs(s, d):
+    return (C.clean_customers(_dirty_cust(s, d)),
+            C.clean_orders(_dirty_ord(s, d), key=ORDER_LINE_KEY),
+            C.clean_products(_prod(s, d)))
+
+
+def q_typed_dashboard_summary(s, d):
+    cust, orders, prod = _typed_inputs(s, d)
+    return A.dashboard_summary(cust, orders, prod)
+
+
+def q_typed_revenue_by_customer(s, d):
+    cust, orders, _ = _typed_inputs(s, d)
+    return A.revenue_by_customer(cust, orders)
+
+
+def q_revenue_over_time_labels(s, d):
+    return A.with_labels(A.revenue_over_time(_ord(s, d)))
+
+
+_CLEAN_CTES = f""",
+cc AS (SELECT customer_id, TRIM(name) AS name, LOWER(TRIM(email)) AS email, TRIM(city) AS city, TRIM(country) AS country,
+       TRY_CAST(signup_date AS DATE) AS signup_date
+FROM ({_first_per_key("customers_dirty_v", ["customer_id"], ["name", "email", "city", "country", "signup_date"])})),
+co AS (SELECT * FROM ({_first_per_key(_TYPED_DIRTY, ORDER_LINE_KEY,
+                                      ["customer_id", "product_id", "order_date", "quantity", "price"])})),
+cp AS ({_first_per_key("(SELECT product_id, TRIM(product_name) AS product_name, TRIM(category) AS category "
+                       "FROM products_v) t", ["product_id"], ["product_name", "category"])})
+"""
+
+ORACLE["typed_dashboard_summary"] = O.with_views("customers_dirty_v", "orders_dirty_v", "products_v") + \
+    _CLEAN_CTES + f"""
+SELECT (SELECT COUNT(*) FROM cc) AS total_customers,
+       (SELECT COUNT(*) FROM co) AS total_orders,
+       (SELECT COUNT(*) FROM cp) AS total_products,
+       (SELECT CAST(COALESCE(SUM(quantity), 0) AS BIGINT) FROM co) AS total_units_sold,
+       (SELECT COALESCE({O.money(AMT_SUM)}, 0.0) FROM co) AS total_revenue,
+       (SELECT COALESCE({O.rounded_mean(AMT_SUM, AMT_N)}, 0.0) FROM co) AS average_order_value"""
+
+ORACLE["typed_revenue_by_customer"] = O.with_views("customers_dirty_v", "orders_dirty_v", "products_v") + \
+    _CLEAN_CTES + f"""
+SELECT c.customer_id, c.name AS customer_name, COALESCE({M}, 0.0) AS total_revenue
+FROM cc c LEFT JOIN co o ON c.customer_id = o.customer_id
+GROUP BY c.customer_id, c.name
+ORDER BY total_revenue DESC, c.customer_id"""
+
+ORACLE["revenue_over_time_labels"] = O.with_views("orders_v") + f"""
+SELECT order_date, total_revenue, strftime(order_date, '%m-%d') AS date_label,
+       format('{{:,.2f}}', total_revenue) AS amount_label
+FROM (SELECT order_date, {O.money(AMT_SUM)} AS total_revenue FROM orders_v GROUP BY order_date)
+ORDER BY order_date"""
+
+QUERIES.update({
+    "typed_dashboard_summary": q_typed_dashboard_summary,
+    "typed_revenue_by_customer": q_typed_revenue_by_customer,
+    "revenue_over_time_labels": q_revenue_over_time_labels,
+})

@@ -87,3 +87,17 @@ def test_half_up_rounding_of_mean(spark):
                                    "price string").selectExpr("* EXCEPT (price)", "CAST(price AS DECIMAL(12,2)) AS price")
     r = A.sales_analytics(orders).collect()[0]
     assert r.average_order_value == 1.01 and r.total_revenue == 2.01
+
+
+def test_labels(typed_tables):
+    r = A.with_labels(A.revenue_over_time(typed_tables["orders"])).collect()[0]
+    assert (r.date_label, r.amount_label) == ("04-01", "1,599.98")
+    p = A.with_labels(A.revenue_by_product(typed_tables["products"], typed_tables["orders"]), date=None).collect()[0]
+    assert p.amount_label == "2,399.97" and "date_label" not in p.asDict()
+
+
+def test_analytics_views(spark, typed_tables):
+    names = A.create_analytics_views(typed_tables["customers"], typed_tables["orders"], typed_tables["products"])
+    assert set(names) == {"business_summary", "customer_analytics", "sales_analytics", "product_analytics"}
+    assert spark.sql("SELECT total_orders FROM business_summary").collect()[0][0] == 10
+    assert spark.sql("SELECT count(*) FROM customer_analytics").collect()[0][0] == 14
