@@ -1,0 +1,102 @@
+"""Property tests: operators against brute-force Python on small random inputs."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from ledgerlake.functions.naming import normalize_column_name, unique_names
+from ledgerlake.operators import analytics as A
+from ledgerlake.operators import cleaning as C
+from ledgerlake.operators import quality as Q
+
+SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+small_int = st.one_of(st.none(), st.integers(-3, 3))
+rows_strategy = st.lists(st.tuples(small_int, small_int, st.one_of(st.none(), st.sampled_from(["a", "b", " a", ""]))),
+                         max_size=25)
+
+
+def _nulls_first(v):
+    return (v is not None, v if v is not None else 0)
+
+
+@SETTINGS
+@given(rows=rows_strategy)
+def test_dedupe_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k int, x int, s string")
+    got = sorted((tuple(r) for r in C.dedupe_by_key(df, ["k"]).collect()), key=repr)
+    best = {}
+    for k, x, s in rows:
+        key = (_nulls_first(x), _nulls_first(s))
+        if k not in best or key < best[k][0]:
+            best[k] = (key, (k, x, s))
+    assert got == sorted((v[1] for v in best.values()), key=repr)
+
+
+@SETTINGS
+@given(rows=rows_strategy)
+def test_report_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k int, x int, s string")
+    rep = Q.report_as_dict(Q.check_duplicates(df, ["k", "x"], "t"))
+    assert rep["duplicates"]["unique_rows"] == len({(k, x) for k, x, _ in rows})
+    nulls = Q.report_as_dict(Q.check_nulls(df, ["k", "x", "s"], "t"))["nulls"]["null_counts"]
+    assert nulls == {"k": sum(r[0] is None for r in rows), "x": sum(r[1] is None for r in rows),
+                     "s": sum(r[2] is None for r in rows)}
+    pos = Q.report_as_dict(Q.check_positive_values(df, ["x"], "t"))["positive_values"]["invalid_counts"]
+    assert pos == {"x": sum(r[1] is not None and r[1] <= 0 for r in rows)}
+    generic = Q.report_as_dict(Q.generate_quality_report(df, "t"))
+    assert generic["duplicates"]["duplicate_rows"] == len(rows) - len(set(rows))
+
+
+@SETTINGS
+@given(rows=rows_strategy)
+def test_generic_clean_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k int, x int, s string")
+    got = sorted(C.clean_dataframe(df).collect(), key=repr)
+    expect = {(k, x, (s.strip(" ") or None) if s is not None else None) for k, x, s in rows}
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(expect, key=repr)
+
+
+cents = st.integers(-500_000, 500_000)
+lines = st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(-3, 9)), cents), max_size=30)
+
+
+@SETTINGS
+@given(rows=lines)
+def test_money_matches_decimal_brute_force(spark, rows):
+    data = [(i, 1, 1, dt.date(2025, 1, 1 + d), q, str(Decimal(c) / 100)) for i, (d, q, c) in enumerate(rows)]
+    df = spark.createDataFrame(data, "order_id long, customer_id long, product_id long, order_date date, "
+                                     "quantity int, p string").selectExpr(
+        "* EXCEPT (p)", "CAST(p AS DECIMAL(12,2)) AS price")
+    got = {r.order_date: r for r in A.sales_analytics(df).collect()}
+    groups = defaultdict(list)
+    for d, q, c in rows:
+        groups[dt.date(2025, 1, 1 + d)].append((q, Decimal(c) / 100))
+    assert set(got) == set(groups)
+    for day, items in groups.items():
+        amounts = [q * p for q, p in items if q is not None]
+        r = got[day]
+        assert r.total_orders == len(items)
+        assert r.total_units_sold == (sum(q for q, _ in items if q is not None) if amounts else None)
+        if amounts:
+            total = sum(amounts)
+            assert r.total_revenue == float(total)
+            mean = (total / len(amounts)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+            assert r.average_order_value == float(mean)
+        else:
+            assert r.total_revenue is None and r.average_order_value is None
+
+
+@given(names=st.lists(st.text(alphabet="aA1 _.$-", max_size=6), max_size=8))
+def test_unique_names_properties(names):
+    out = unique_names(names)
+    assert len(out) == len(set(out)) == len(names)
+    for o in out:
+        assert o and not o[0].isdigit() and o == o.lower()
+    for raw, o in zip(names, out):
+        assert o.startswith(normalize_column_name(raw))

@@ -1,0 +1,46 @@
+"""The entity views over the parquet tables, against the figures in FIXTURES.md 2.2 (sf0.001)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlake.operators import cleaning as C
+from ledgerlake.sources import tables as V
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_view_sizes(spark):
+    assert V.customers_view(spark, SF).count() == 150
+    assert V.products_view(spark, SF).count() == 200
+    o = V.orders_view(spark, SF)
+    assert o.count() == 6000
+    assert o.select("order_id", "line_no").distinct().count() == 4599
+    assert V.products_view(spark, SF).select("product_name").distinct().count() == 62
+
+
+def test_orders_totals(spark):
+    r = V.orders_view(spark, SF).agg(F.sum("quantity").alias("u"),
+                                     F.sum(F.col("quantity") * F.col("price")).alias("rev")).collect()[0]
+    assert r.u == 152257 and str(r.rev) == "8027761053.36"
+
+
+def test_orders_dirty(spark):
+    d = V.orders_dirty_view(spark, SF)
+    r = d.agg(F.count_if(F.col("quantity") <= 0).alias("q0"), F.count_if(F.col("quantity").isNull()).alias("qn"),
+              F.count_if(F.col("price") <= 0).alias("p0"),
+              F.count_if(F.col("order_date") == "not-a-date").alias("bad"),
+              F.count_if((F.col("quantity") > 0) & (F.col("price") > 0)).alias("ok")).collect()[0]
+    assert (r.q0, r.qn, r.p0, r.bad, r.ok) == (98, 31, 186, 61, 5690)
+    assert C.reject_orders(d).count() == 6000 - 5690
+
+
+def test_customers_dirty(spark):
+    d = V.customers_dirty_view(spark, SF)
+    r = d.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("customer_id").alias("k"),
+              F.count_if(F.col("email").isNull()).alias("nul"),
+              F.count_if(F.trim(F.col("email")) == "").alias("blank")).collect()[0]
+    assert (r.n, r.k, r.nul, r.blank) == (174, 150, 17, 11)
+    assert d.distinct().count() == 159
+    assert C.clean_dataframe(d).count() == 150
+    assert C.clean_customers(d).count() == 150
