@@ -80,6 +80,14 @@ def mean(total: str, n: str) -> str:
     return f"CASE WHEN ({n}) > 0 THEN {money(total)} / ({n}) END"
 
 
+def dates_as_text(sql: str, columns: list[str]) -> str:
+    """Wrap ``sql`` so the named DATE columns come out as ISO text (CAST to VARCHAR)."""
+    if not columns:
+        return sql
+    repl = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in columns)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS presented"
+
+
 # --- long-form quality reports ------------------------------------------------
 
 class SqlReport:

@@ -2,8 +2,11 @@
 
 Every query reads the whole given tables (through the entity views of
 :mod:`ledgerlake.sources.tables`) so its work grows with them. Output columns are
-named identically on both sides; DECIMAL outputs are returned as DOUBLE on both
-sides so results compare independently of the engines' decimal types.
+named identically on both sides. The registered results are presented the same
+way on both sides so they compare value for value however a checker converts
+them: DECIMAL as DOUBLE, DATE as ISO ``yyyy-MM-dd`` text (engines hand dates to
+pandas as different Python types). The library operators themselves return
+DECIMAL and DATE.
 """
 
 from __future__ import annotations
@@ -24,13 +27,16 @@ from ledgerlake.sources import tables as V
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def decimals_as_double(df: DataFrame) -> DataFrame:
-    """Cast DECIMAL columns to DOUBLE (presentation of a result, nothing else)."""
-    return df.select(*[
-        F.col(Q.quote(f.name)).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-        else F.col(Q.quote(f.name))
-        for f in df.schema.fields
-    ])
+def comparable(df: DataFrame) -> DataFrame:
+    """Presentation of a registered result: DECIMAL -> DOUBLE, DATE -> ISO text."""
+    def present(f):
+        c = F.col(Q.quote(f.name))
+        if isinstance(f.dataType, T.DecimalType):
+            return c.cast("double").alias(f.name)
+        if isinstance(f.dataType, T.DateType):
+            return c.cast("string").alias(f.name)
+        return c
+    return df.select(*[present(f) for f in df.schema.fields])
 
 
 def _cust(s, d):
@@ -84,7 +90,7 @@ def q_revenue_by_product_share(s, d):
 
 
 def q_first_orders(s, d):
-    return decimals_as_double(A.first_orders(_ord(s, d), 5))
+    return A.first_orders(_ord(s, d), 5)
 
 
 def q_table_counts(s, d):
@@ -229,7 +235,7 @@ def q_clean_customers(s, d):
 
 
 def q_clean_orders(s, d):
-    return decimals_as_double(C.clean_orders(_dirty_ord(s, d), key=ORDER_LINE_KEY))
+    return C.clean_orders(_dirty_ord(s, d), key=ORDER_LINE_KEY)
 
 
 def q_clean_products(s, d):
@@ -237,11 +243,11 @@ def q_clean_products(s, d):
 
 
 def q_dedupe_by_key(s, d):
-    return decimals_as_double(C.dedupe_by_key(_ord(s, d), ORDER_LINE_KEY))
+    return C.dedupe_by_key(_ord(s, d), ORDER_LINE_KEY)
 
 
 def q_reject_orders(s, d):
-    return decimals_as_double(C.reject_orders(_dirty_ord(s, d)))
+    return C.reject_orders(_dirty_ord(s, d))
 
 
 ORACLE["normalize_columns"] = "SELECT " + ", ".join(
@@ -473,3 +479,32 @@ QUERIES.update({
     "typed_revenue_by_customer": q_typed_revenue_by_customer,
     "revenue_over_time_labels": q_revenue_over_time_labels,
 })
+
+
+# --- presentation on both sides ---------------------------------------------------------
+
+# DATE columns of each raw result (checked against the Spark schemas by a test).
+DATE_OUTPUTS: dict[str, list[str]] = {
+    "sales_analytics": ["order_date"],
+    "revenue_over_time": ["order_date"],
+    "revenue_over_time_labels": ["order_date"],
+    "customer_analytics": ["signup_date"],
+    "first_orders": ["order_date"],
+    "clean_customers": ["signup_date"],
+    "clean_orders": ["order_date"],
+    "dedupe_by_key": ["order_date"],
+}
+
+RAW_QUERIES: dict[str, Query] = dict(QUERIES)
+
+
+def _presented(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(fn(spark, sf_dir))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {k: _presented(fn) for k, fn in RAW_QUERIES.items()}
+ORACLE = {k: O.dates_as_text(sql, DATE_OUTPUTS.get(k, [])) for k, sql in ORACLE.items()}

@@ -34,3 +34,14 @@ def test_oracle_matches_on_small_scale(spark):
             f"SELECT {', '.join(chr(34) + c + chr(34) for c in qs[name](spark, SF).columns)} FROM ({sql[name]})"
         ).fetchall())
         assert s == d, name
+
+
+def test_date_outputs_declared(spark):
+    from pyspark.sql import types as T
+
+    from ledgerlake.plans.queries import DATE_OUTPUTS, RAW_QUERIES
+    for name, q in RAW_QUERIES.items():
+        dates = [f.name for f in q(spark, SF).schema.fields if isinstance(f.dataType, T.DateType)]
+        assert dates == DATE_OUTPUTS.get(name, []), name
+        presented = E.queries()[name](spark, SF).schema
+        assert not any(isinstance(f.dataType, (T.DateType, T.DecimalType)) for f in presented.fields), name
