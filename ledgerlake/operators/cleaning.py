@@ -19,11 +19,8 @@ from pyspark.sql import types as T
 
 from ledgerlake.entities import EntitySpec
 from ledgerlake.functions.naming import normalize_columns
-from ledgerlake.operators.quality import _has_map, quote
-
-
-def _c(name: str) -> Column:
-    return F.col(quote(name))
+from ledgerlake.functions.columns import col as _c
+from ledgerlake.functions.columns import has_map
 
 
 def clean_strings(df: DataFrame) -> DataFrame:
@@ -39,7 +36,7 @@ def clean_strings(df: DataFrame) -> DataFrame:
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """Whole-row distinct (NULLs compare equal). Map columns, which Spark cannot
     compare, are turned into JSON text first."""
-    cols = [F.to_json(_c(f.name)).alias(f.name) if _has_map(f.dataType) else _c(f.name)
+    cols = [F.to_json(_c(f.name)).alias(f.name) if has_map(f.dataType) else _c(f.name)
             for f in df.schema.fields]
     return df.select(*cols).dropDuplicates()
 

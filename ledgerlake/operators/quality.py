@@ -30,40 +30,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake.entities import CUSTOMERS, ORDERS, PRODUCTS, EntitySpec
+from ledgerlake.functions.columns import col as _c
+from ledgerlake.functions.columns import comparable as _comparable
 
 REPORT_COLUMNS = ("dataset", "check_name", "column_name", "value", "passed")
 
 
-def quote(name: str) -> str:
-    """Back-tick quote a raw column name (dots, spaces, back-ticks are safe)."""
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _c(name: str) -> Column:
-    return F.col(quote(name))
-
-
-def _comparable(df: DataFrame, name: str) -> Column:
-    """A column usable in DISTINCT: maps (not comparable in Spark) become JSON text."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.MapType) or _has_map(dtype):
-        return F.to_json(_c(name))
-    return _c(name)
-
-
-def _has_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.MapType):
-        return True
-    if isinstance(dtype, T.StructType):
-        return any(_has_map(f.dataType) for f in dtype.fields)
-    if isinstance(dtype, T.ArrayType):
-        return _has_map(dtype.elementType)
-    return False
-
-
 @dataclass
 class _Row:
     check: str

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.entities import CUSTOMERS, ORDERS, PRODUCTS
+from ledgerlake.functions.columns import col as column
 from ledgerlake.operators import analytics as A
 from ledgerlake.operators import cleaning as C
 from ledgerlake.operators import quality as Q
@@ -30,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def comparable(df: DataFrame) -> DataFrame:
     """Presentation of a registered result: DECIMAL -> DOUBLE, DATE -> ISO text."""
     def present(f):
-        c = F.col(Q.quote(f.name))
+        c = column(f.name)
         if isinstance(f.dataType, T.DecimalType):
             return c.cast("double").alias(f.name)
         if isinstance(f.dataType, T.DateType):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.naming import choose_clustering_columns
-from ledgerlake.operators.quality import _has_map
+from ledgerlake.functions.columns import has_map
 from ledgerlake.session import ensure_checkpoint_dir
 
 INGEST_DATE = "_ingest_date"
@@ -52,7 +52,7 @@ def clustered(df: DataFrame, columns: list[str], num_partitions: int | None = No
     if not columns:
         return df
     cols = [F.col(f"`{c}`") for c in columns]
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not has_map(f.dataType)]
     spread = F.xxhash64(*hashable) if hashable else F.lit(0)
     if num_partitions:
         ranged = df.repartitionByRange(num_partitions, *cols, spread)
