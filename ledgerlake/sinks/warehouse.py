@@ -14,6 +14,11 @@ A table is a Parquet table in the session catalog with an explicit location:
 If the plan being written reads the target table itself, Spark refuses the
 overwrite; the input is then checkpointed (reliable checkpoint in the cluster's
 ``spark.checkpoint.dir``) to cut the lineage, and written from there.
+
+Atomicity: a Parquet overwrite replaces files in place, so a job that dies in the
+middle of a load leaves the table partly written until the load is re-run. Where a
+transactional table format is on the classpath (``table_format="delta"`` or
+``"iceberg"``), the same call commits the replacement atomically.
 """
 
 from __future__ import annotations
@@ -72,7 +77,7 @@ def table_layout(spark: SparkSession, table: str) -> dict | None:
 
 
 def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
-               clustering: list[str] | None = None) -> dict:
+               clustering: list[str] | None = None, table_format: str = "parquet") -> dict:
     """Replace table ``table`` (stored at ``location``) with ``df``.
 
     Returns ``{"table", "location", "rows_loaded", "partition_by", "clustering",
@@ -92,7 +97,7 @@ def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
         staged = source.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else source
         obs = Observation(f"load_{table}")
         out = clustered(staged, cluster).observe(obs, F.count(F.lit(1)).alias("rows"))
-        (out.write.mode("overwrite").format("parquet").option("path", location)
+        (out.write.mode("overwrite").format(table_format).option("path", location)
          .partitionBy(*partition_by).saveAsTable(table))
         return int(obs.get["rows"])
 

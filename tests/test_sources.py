@@ -107,3 +107,28 @@ def test_catalog_listing_and_selection(spark, tmp_path):
     assert find_selected_file(cat)["name"] == "A.json"
     with pytest.raises(FileNotFoundError, match="Available files"):
         find_selected_file(cat, "missing.csv")
+
+
+def test_empty_inputs(spark, tmp_path):
+    from ledgerlake.operators.quality import generate_quality_report, report_as_dict
+    (tmp_path / "h.csv").write_text("a,b\n")
+    (tmp_path / "e.json").write_text("[]")
+    csv = S.load_csv(spark, str(tmp_path / "h.csv"))
+    assert csv.count() == 0 and csv.columns == ["a", "b"]
+    rep = report_as_dict(generate_quality_report(csv, "h.csv"))
+    assert rep["row_count"] == 0 and rep["duplicates"]["duplicate_rows"] == 0 and rep["schema"]["passed"]
+    js = S.load_json(spark, str(tmp_path / "e.json"))
+    assert js.count() == 0
+    rep = report_as_dict(generate_quality_report(js, "e.json"))
+    assert rep["row_count"] == 0 and rep["column_count"] == len(js.columns)
+
+
+def test_all_null_column_and_duplicate_headers(spark, tmp_path):
+    from ledgerlake.functions.naming import normalize_columns
+    from ledgerlake.operators.quality import generate_quality_report, report_as_dict
+    (tmp_path / "n.csv").write_text("id,note,id\n1,,1\n2,,2\n")
+    df = S.load_csv(spark, str(tmp_path / "n.csv"))
+    assert df.columns == ["id0", "note", "id2"]  # Spark suffixes duplicate headers with their index
+    assert normalize_columns(df).columns == ["id0", "note", "id2"]
+    rep = report_as_dict(generate_quality_report(df, "n.csv"))
+    assert rep["nulls"]["null_counts"]["note"] == 2
