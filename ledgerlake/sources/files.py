@@ -87,9 +87,24 @@ def xml_root_tag(spark: SparkSession, path: str, peek_lines: int = 200) -> str:
     return m.group(1)
 
 
-def xml_record_tags(spark: SparkSession, path: str, root_tag: str | None = None) -> list[str]:
+# Largest XML file whose record tags are discovered automatically: discovery reads
+# a whole document as one row, so it is only done below this size.
+XML_DISCOVERY_MAX_BYTES = 64 * 1024 * 1024
+
+
+def xml_record_tags(spark: SparkSession, path: str, root_tag: str | None = None,
+                    max_bytes: int = XML_DISCOVERY_MAX_BYTES) -> list[str]:
     """Tags of the root's direct children (the record kinds), from the schema Spark
-    infers when the whole root is one row (schema inference only)."""
+    infers when the whole root is one row.
+
+    That row is a whole document, so discovery is refused (``ValueError``) when a
+    file is larger than ``max_bytes`` (sizes come from the file listing, no content
+    is read); pass ``row_tags`` to :func:`load_xml_dynamic` for such inputs. Records
+    are then read by Spark's splittable XML source, never whole files.
+    """
+    largest = (spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]) or 0
+    if largest > max_bytes:
+        raise ValueError(f"XML input larger than {max_bytes} bytes: pass row_tags explicitly")
     root = root_tag or xml_root_tag(spark, path)
     schema = (spark.read.format("xml").option("rowTag", root)
               .option("attributePrefix", ATTRIBUTE_PREFIX).load(path).schema)

@@ -132,3 +132,9 @@ def test_all_null_column_and_duplicate_headers(spark, tmp_path):
     assert normalize_columns(df).columns == ["id0", "note", "id2"]
     rep = report_as_dict(generate_quality_report(df, "n.csv"))
     assert rep["nulls"]["null_counts"]["note"] == 2
+
+
+def test_xml_discovery_is_size_bounded(spark, fixture_dir):
+    with pytest.raises(ValueError, match="row_tags"):
+        S.xml_record_tags(spark, str(fixture_dir / "products.xml"), max_bytes=10)
+    assert S.load_xml_dynamic(spark, str(fixture_dir / "products.xml"), row_tags=["product"]).count() == 5
