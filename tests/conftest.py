@@ -70,7 +70,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def fixture_dir(tmp_path_factory):
-    d = tmp_path_factory.mktemp("from_drive")
+    d = tmp_path_factory.mktemp("landing")
     (d / "customers.csv").write_text(CUSTOMERS_CSV)
     (d / "orders.json").write_text(ORDERS_JSON)
     (d / "products.xml").write_text(PRODUCTS_XML)
