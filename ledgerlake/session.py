@@ -43,8 +43,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) a scratch folder is created and set.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
+    if it is unset there, this raises instead of falling back to a folder on one
+    machine. Only a ``local[...]`` session without one gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -52,5 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: set it to a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-ckpt-"))
     return sc.getCheckpointDir()
