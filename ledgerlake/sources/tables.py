@@ -18,9 +18,28 @@ from pyspark.sql import functions as F
 SIGNUP_EPOCH = dt.date(2020, 1, 1)
 
 
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of the given directory (a warehouse table scan)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One parquet table of the given directory (a warehouse table scan).
+
+    The relation (file listing + footer schema) is built once per session and
+    path and reused by every query: a DataFrame is an immutable plan, and listing
+    a large table's files is the expensive part of creating it. Call
+    :func:`refresh_tables` after the files change.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
+
+
+def refresh_tables() -> None:
+    """Forget cached relations so the next read lists the files again."""
+    _RELATIONS.clear()
 
 
 def customers_view(spark: SparkSession, sf_dir: str) -> DataFrame:
