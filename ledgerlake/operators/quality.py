@@ -22,6 +22,8 @@ Check rows:
 * ``duplicate_rows``                  rows - distinct whole rows
 * ``invalid_count`` per column, ``positive_values`` total   rows with value <= 0
                                       (NULL is not invalid)
+* ``unparsable_date`` per column      typed reports, date columns arriving as text:
+                                      non-NULL values that do not parse as a date
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.entities import CUSTOMERS, ORDERS, PRODUCTS, EntitySpec
 from ledgerlake.functions.columns import col as _c
@@ -110,6 +113,12 @@ class ReportBuilder:
         total = sum(counts[1:], counts[0]) if counts else F.lit(0)
         self.row("positive_values", None, total, total == 0)
 
+    def unparsable_dates(self, columns: list[str]) -> None:
+        for name in columns:
+            text = _c(name).cast("string")
+            n = self.metric(F.count_if(text.isNotNull() & F.try_to_date(text).isNull()))
+            self.row("unparsable_date", name, n, n == 0)
+
     # --- output ---------------------------------------------------------------
 
     def build(self) -> DataFrame:
@@ -188,6 +197,10 @@ def entity_quality_report(df: DataFrame, spec: EntitySpec) -> DataFrame:
     positive = [c for c in spec.positive if c in present]
     if positive:
         b.positive(positive)
+    date_cols = {f.name for f in spec.schema.fields if isinstance(f.dataType, T.DateType)}
+    text_dates = [f.name for f in df.schema.fields if f.name in date_cols and isinstance(f.dataType, T.StringType)]
+    if text_dates:
+        b.unparsable_dates(text_dates)
     return b.build()
 
 
@@ -248,6 +261,10 @@ def report_as_dict(report: DataFrame) -> dict:
             invalid[col] = value
         elif check == "positive_values":
             out["positive_values"] = {"passed": passed, "invalid_counts": invalid}
+        elif check == "unparsable_date":
+            dates = out.setdefault("dates", {"passed": True, "unparsable_counts": {}})
+            dates["unparsable_counts"][col] = value
+            dates["passed"] = dates["passed"] and passed
     if "schema" in out:
         out["schema"].setdefault("missing_columns", [])
         out["schema"].setdefault("unexpected_columns", [])

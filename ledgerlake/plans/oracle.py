@@ -150,6 +150,11 @@ class SqlReport:
         total = " + ".join(names)
         self.row("positive_values", None, total, f"({total}) = 0")
 
+    def unparsable_dates(self, columns) -> None:
+        for c in columns:
+            n = self.metric(f'COUNT(*) FILTER (WHERE "{c}" IS NOT NULL AND TRY_CAST("{c}" AS DATE) IS NULL)')
+            self.row("unparsable_date", c, n, f"{n} = 0")
+
     def sql(self, prefix: str = "WITH ") -> str:
         """``prefix`` is the WITH clause of the views (or "WITH ")."""
         head = prefix.rstrip()

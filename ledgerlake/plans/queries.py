@@ -314,7 +314,7 @@ def _generic_report_sql(source: str, dataset: str, columns: list[str]) -> O.SqlR
     return r
 
 
-def _entity_report_sql(source: str, spec, present: list[str]) -> O.SqlReport:
+def _entity_report_sql(source: str, spec, present: list[str], text_dates: list[str] = ()) -> O.SqlReport:
     r = O.SqlReport(source, spec.name)
     n = r.row_count()
     cols = r.required_columns(spec.columns, present)
@@ -325,6 +325,8 @@ def _entity_report_sql(source: str, spec, present: list[str]) -> O.SqlReport:
     pos = [c for c in spec.positive if c in cols]
     if pos:
         r.positive(pos)
+    if text_dates:
+        r.unparsable_dates(list(text_dates))
     return r
 
 
@@ -367,9 +369,10 @@ def q_quality_before_after(s, d):
 
 ORACLE["quality_report"] = _generic_report_sql("customers_dirty_v", "customers_dirty", _DIRTY_CUST_COLS).sql(
     O.with_views("customers_dirty_v"))
-ORACLE["customer_quality_report"] = _entity_report_sql("customers_dirty_v", CUSTOMERS, _DIRTY_CUST_COLS).sql(
+ORACLE["customer_quality_report"] = _entity_report_sql("customers_dirty_v", CUSTOMERS, _DIRTY_CUST_COLS,
+                                                       ["signup_date"]).sql(
     O.with_views("customers_dirty_v"))
-ORACLE["order_quality_report"] = _entity_report_sql("orders_dirty_v", ORDERS, _DIRTY_ORD_COLS).sql(
+ORACLE["order_quality_report"] = _entity_report_sql("orders_dirty_v", ORDERS, _DIRTY_ORD_COLS, ["order_date"]).sql(
     O.with_views("orders_dirty_v"))
 ORACLE["product_quality_report"] = _entity_report_sql("products_v", PRODUCTS, list(PRODUCTS.columns)).sql(
     O.with_views("products_v"))
