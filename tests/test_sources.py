@@ -44,7 +44,8 @@ def test_csv_tolerant_headers(spark, tmp_path):
     assert row[2] == "line\nbreak"
     assert row[3] == 'say "hi"'
     from ledgerlake.functions.naming import normalize_columns
-    assert normalize_columns(df).columns[:2] == ["order_date", "sales"]
+    assert df.columns == ["Order Date", "Sales($)", "a2", "A3", "_c4", "1st", "x.y"]
+    assert normalize_columns(df).columns == ["order_date", "sales", "a2", "a3", "c4", "column_1st", "x_y"]
 
 
 def test_dotted_header_is_quoted(spark, tmp_path):
