@@ -45,3 +45,16 @@ def test_date_outputs_declared(spark):
         assert dates == DATE_OUTPUTS.get(name, []), name
         presented = E.queries()[name](spark, SF).schema
         assert not any(isinstance(f.dataType, (T.DateType, T.DecimalType)) for f in presented.fields), name
+
+
+def test_result_types_match_the_sql_twins(spark):
+    import duckdb
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    for key, q in E.queries().items():
+        spark_types = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in q(spark, SF).schema.fields}
+        rel = con.sql(E.oracle_sql()[key])
+        assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}, key
