@@ -54,11 +54,11 @@ TYPED_CLEANERS = {
 
 def clean_for(df: DataFrame, entity: str | None) -> DataFrame:
     """Generic cleaning, or the typed cleaner of ``entity`` (after name
-    normalisation and casting to the entity's types)."""
+    normalisation and casting to the entity's types; empty strings are kept, as
+    the typed cleaners only trim)."""
     if entity is None:
         return C.clean_dataframe(df)
-    spec = ENTITIES[entity]
-    typed = C.cast_to_entity(C.clean_strings(normalize_columns(df)), spec)
+    typed = C.cast_to_entity(normalize_columns(df), ENTITIES[entity])
     return TYPED_CLEANERS[entity](typed)
 
 
