@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SIGNUP_EPOCH = dt.date(2020, 1, 1)
 
 
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +30,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     :func:`refresh_tables` after the files change.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (id(spark), path)
     df = _RELATIONS.get(key)
     if df is None or df.sparkSession is not spark:
         df = _RELATIONS[key] = spark.read.parquet(path)
