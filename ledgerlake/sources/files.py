@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 SUPPORTED_EXTENSIONS = (".csv", ".json", ".xml", ".xlsx")
 
 ATTRIBUTE_PREFIX = "@"
+VALUE_TAG = "_VALUE"
 
 
 def load_csv(spark: SparkSession, path: str, *, header: bool = True, infer_schema: bool = True,
@@ -108,7 +109,7 @@ def xml_record_tags(spark: SparkSession, path: str, root_tag: str | None = None,
     root = root_tag or xml_root_tag(spark, path)
     schema = (spark.read.format("xml").option("rowTag", root)
               .option("attributePrefix", ATTRIBUTE_PREFIX).load(path).schema)
-    return [f.name for f in schema.fields if not f.name.startswith(ATTRIBUTE_PREFIX) and f.name != "_VALUE"]
+    return [f.name for f in schema.fields if not f.name.startswith(ATTRIBUTE_PREFIX) and f.name != VALUE_TAG]
 
 
 def _flatten_record(df: DataFrame) -> DataFrame:
@@ -123,7 +124,7 @@ def _flatten_record(df: DataFrame) -> DataFrame:
         if isinstance(dtype, T.ArrayType):
             col, dtype = F.element_at(col, -1), dtype.elementType
         if isinstance(dtype, T.StructType):
-            return F.to_json(col)
+            return _one_level_json(col, dtype)
         return col.cast("string")
 
     cols = []
@@ -140,6 +141,27 @@ def _flatten_record(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _element_text(col, dtype: T.DataType):
+    """Text of a (possibly repeated) child element: the last repeat, the element's
+    own text when it has children or attributes, else the value itself."""
+    if isinstance(dtype, T.ArrayType):
+        col, dtype = F.element_at(col, -1), dtype.elementType
+    if isinstance(dtype, T.StructType):
+        names = [f.name for f in dtype.fields]
+        text = col.getField(VALUE_TAG).cast("string") if VALUE_TAG in names else F.lit(None).cast("string")
+    else:
+        text = col.cast("string")
+    return F.nullif(text, F.lit(""))  # an empty element has no text
+
+
+def _one_level_json(col, dtype: T.StructType):
+    """A nested child as a one-level JSON object: child tag -> text (NULL kept),
+    attributes of the nested element left out."""
+    parts = [_element_text(col.getField(f.name), f.dataType).alias(f.name)
+             for f in dtype.fields if not f.name.startswith(ATTRIBUTE_PREFIX) and f.name != VALUE_TAG]
+    return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
+
+
 def load_xml_dynamic(spark: SparkSession, path: str, row_tags: list[str] | None = None,
                      root_tag: str | None = None) -> DataFrame:
     """Generic XML: every direct child of the root is a record (one read per record

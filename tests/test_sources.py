@@ -139,3 +139,13 @@ def test_xml_discovery_is_size_bounded(spark, fixture_dir):
     with pytest.raises(ValueError, match="row_tags"):
         S.xml_record_tags(spark, str(fixture_dir / "products.xml"), max_bytes=10)
     assert S.load_xml_dynamic(spark, str(fixture_dir / "products.xml"), row_tags=["product"]).count() == 5
+
+
+def test_xml_nested_child_is_one_level_json(spark, tmp_path):
+    p = tmp_path / "deep.xml"
+    p.write_text(
+        "<?xml version='1.0'?>\n<rows>\n"
+        '  <row><id>1</id><dims unit="cm"><h>2</h><w/><d><x>9</x></d><t>a</t><t>b</t></dims></row>\n'
+        "</rows>\n")
+    r = S.load_xml_dynamic(spark, str(p)).collect()[0]
+    assert json.loads(r["dims"]) == {"h": "2", "w": None, "d": None, "t": "b"}
