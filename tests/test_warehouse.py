@@ -92,3 +92,14 @@ def test_clustered_layout_splits_a_hot_key(spark):
     assert max(sizes) < 0.35 * n  # the hot key (half of all rows) is spread over several partitions
     first = out.limit(50).collect()
     assert [r.customer_id for r in first] == sorted(r.customer_id for r in first)
+
+
+def test_command_line(spark, tmp_path, fixture_dir, capsys):
+    from ledgerlake.__main__ import main
+    wh = str(tmp_path / "wh")
+    out = main(["run", "--input", str(fixture_dir), "--warehouse", wh, "--file", "orders.json",
+                "--entity", "orders"], spark)
+    assert out["rows_loaded"] == 10 and out["table_name"] == "orders" and out["status"] == "success"
+    ver = main(["verify", "--expect", "orders=10"], spark)
+    assert ver["passed"] is True
+    assert '"rows_loaded": 10' in capsys.readouterr().out
