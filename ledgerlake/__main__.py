@@ -37,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
+    """Parse ``argv``, run the command, print and return its JSON result."""
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("ledgerlake").getOrCreate()
     from ledgerlake.plans import pipeline as P

@@ -205,14 +205,17 @@ def entity_quality_report(df: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def generate_customer_quality_report(df: DataFrame) -> DataFrame:
+    """Typed report for customers (6 required columns, key customer_id)."""
     return entity_quality_report(df, CUSTOMERS)
 
 
 def generate_order_quality_report(df: DataFrame) -> DataFrame:
+    """Typed report for orders (6 required columns, key order_id, quantity and price > 0)."""
     return entity_quality_report(df, ORDERS)
 
 
 def generate_product_quality_report(df: DataFrame) -> DataFrame:
+    """Typed report for products (3 required columns, key product_id)."""
     return entity_quality_report(df, PRODUCTS)
 
 

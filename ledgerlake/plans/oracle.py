@@ -64,19 +64,23 @@ def with_views(*names: str) -> str:
 # --- exact money fragments ----------------------------------------------------
 
 def cents(total: str) -> str:
+    """Exact decimal amount as whole cents (HUGEINT)."""
     return f"CAST(({total}) * 100 AS HUGEINT)"
 
 
 def money(total: str) -> str:
+    """Amount as DOUBLE built from cents, like :func:`ledgerlake.functions.money.money`."""
     return f"CAST({cents(total)} AS DOUBLE) / 100"
 
 
 def rounded_mean(total: str, n: str) -> str:
+    """Half-up (away from zero) mean to cents by integral division; NULL when n = 0."""
     s = cents(total)
     return f"CASE WHEN ({n}) > 0 THEN CAST(((2 * abs({s}) + ({n})) // (2 * ({n}))) * sign({s}) AS DOUBLE) / 100 END"
 
 
 def mean(total: str, n: str) -> str:
+    """Unrounded mean as DOUBLE; NULL when n = 0."""
     return f"CASE WHEN ({n}) > 0 THEN {money(total)} / ({n}) END"
 
 

@@ -70,6 +70,7 @@ def append_run_record(spark: SparkSession, warehouse_root: str, record: dict) ->
 
 
 def read_run_records(spark: SparkSession, warehouse_root: str) -> DataFrame:
+    """All run records appended so far."""
     return spark.read.schema(RUN_SCHEMA).parquet(os.path.join(warehouse_root, RUNS_TABLE))
 
 

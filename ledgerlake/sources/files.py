@@ -177,6 +177,7 @@ def load_xml_dynamic(spark: SparkSession, path: str, row_tags: list[str] | None
 
 
 def file_extension(path: str) -> str:
+    """Lower-cased extension with the dot, e.g. ``.csv``."""
     return PurePath(path).suffix.lower()
 
 
