@@ -9,6 +9,7 @@ directories.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,29 +34,30 @@ def list_input_files(spark: SparkSession, directory: str,
         name.alias("name"), ext.alias("extension"),
         F.upper(F.regexp_replace(ext, r"^\.", "")).alias("type"),
         F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "path",
-        F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("_parent"),
+        F.regexp_replace(F.regexp_extract("path", r"^(.*)/[^/]+$", 1), _SCHEME, "").alias("_parent"),
     )
     top = _top_level_parent(directory)
     return (
         listed.filter(F.col("extension").isin(*extensions))
         .filter(~F.col("name").startswith("~$"))
-        .filter(F.col("_parent").endswith(top))
+        .filter(F.col("_parent") == top)
         .drop("_parent")
         .orderBy(F.lower("name"), "name")
     )
 
 
+_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
 def _top_level_parent(directory: str) -> str:
-    """The directory as it appears at the end of a listed file's parent URI."""
+    """The directory's path without scheme and authority, as the listed files'
+    parent paths are compared (``hdfs://nn/data/in`` -> ``/data/in``)."""
     d = directory.rstrip("/")
-    if "://" in d:
-        d = d.split("://", 1)[1]
-        d = d[d.find("/"):] if "/" in d else ""
-    elif d.startswith("file:"):
-        d = d[len("file:"):]
+    if re.match(_SCHEME, d):
+        d = re.sub(_SCHEME, "", d)
     else:
         d = os.path.abspath(d)
-    return d
+    return d.rstrip("/") or "/"
 
 
 def find_selected_file(catalog: DataFrame, selected: str | None = None) -> dict:

@@ -149,3 +149,12 @@ def test_xml_nested_child_is_one_level_json(spark, tmp_path):
         "</rows>\n")
     r = S.load_xml_dynamic(spark, str(p)).collect()[0]
     assert json.loads(r["dims"]) == {"h": "2", "w": None, "d": None, "t": "b"}
+
+
+def test_catalog_ignores_nested_dir_with_same_name(spark, tmp_path):
+    d = tmp_path / "inbox"
+    (d / "sub" / "inbox").mkdir(parents=True)
+    (d / "a.csv").write_text("a\n1\n")
+    (d / "sub" / "inbox" / "b.csv").write_text("a\n1\n")
+    assert [r["name"] for r in list_input_files(spark, str(d)).collect()] == ["a.csv"]
+    assert [r["name"] for r in list_input_files(spark, "file://" + str(d)).collect()] == ["a.csv"]
