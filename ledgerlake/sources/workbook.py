@@ -9,7 +9,8 @@ name), empty cells are NULL, and column types are inferred by one aggregate
 (long, double, date, else string). A source without data rows raises ValueError.
 
 A single workbook is one task (the format is a zip archive and cannot be split);
-many workbooks spread over the cluster.
+many workbooks spread over the cluster. The parser runs in Python workers, so on
+a cluster the package must be importable there (``spark-submit --py-files``).
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 # Built-in spreadsheet number formats that display dates/times.
 DATE_FORMAT_IDS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 EXCEL_EPOCH = dt.datetime(1899, 12, 30)
+EXCEL_EPOCH_1904 = dt.datetime(1904, 1, 1)
 
 CELLS_SCHEMA = "path string, row_no long, cells array<string>"
 
@@ -66,6 +68,16 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return out
 
 
+def _epoch(z: zipfile.ZipFile) -> dt.datetime:
+    """Day zero of the workbook's date serials (1900 or 1904 system)."""
+    try:
+        pr = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", _NS)
+    except KeyError:
+        return EXCEL_EPOCH
+    flag = pr.get("date1904", "0") if pr is not None else "0"
+    return EXCEL_EPOCH_1904 if flag in ("1", "true") else EXCEL_EPOCH
+
+
 def _first_sheet(z: zipfile.ZipFile) -> str:
     try:
         wb = ET.fromstring(z.read("xl/workbook.xml"))
@@ -77,10 +89,10 @@ def _first_sheet(z: zipfile.ZipFile) -> str:
         return "xl/worksheets/sheet1.xml"
 
 
-def _number(raw: str, is_date: bool) -> str:
+def _number(raw: str, is_date: bool, epoch: dt.datetime = EXCEL_EPOCH) -> str:
     x = float(raw)
     if is_date:
-        stamp = EXCEL_EPOCH + dt.timedelta(days=x)
+        stamp = epoch + dt.timedelta(days=x)
         return stamp.date().isoformat() if stamp.time() == dt.time() else stamp.isoformat(sep=" ")
     return str(int(x)) if x.is_integer() and "e" not in raw.lower() else repr(x)
 
@@ -92,6 +104,7 @@ def parse_first_sheet(content: bytes) -> list[list[str | None]]:
     if "xl/sharedStrings.xml" in z.namelist():
         shared = [_text(si) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iterfind("m:si", _NS)]
     dates = _date_styles(z)
+    epoch = _epoch(z)
     rows: list[list[str | None]] = []
     sheet = ET.fromstring(z.read(_first_sheet(z)))
     for row in sheet.iterfind("m:sheetData/m:row", _NS):
@@ -110,7 +123,7 @@ def parse_first_sheet(content: bytes) -> list[list[str | None]]:
             elif kind in ("str", "e"):
                 val = v.text
             else:
-                val = _number(v.text, int(c.get("s", "0")) in dates)
+                val = _number(v.text, int(c.get("s", "0")) in dates, epoch)
             cells[idx] = val
         width = max(cells) + 1 if cells else 0
         rows.append([cells.get(i) for i in range(width)])

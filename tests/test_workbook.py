@@ -22,7 +22,7 @@ def _cell(ref, value):
     return f'<c r="{ref}"><v>{value}</v></c>'
 
 
-def write_xlsx(path, header, rows):
+def write_xlsx(path, header, rows, date1904=False):
     """A minimal workbook: header as shared strings, data cells inline / numeric."""
     shared = "".join(f"<si><t>{h}</t></si>" for h in header)
     head = "".join(f'<c r="{chr(65 + i)}1" t="s"><v>{i}</v></c>' for i in range(len(header)))
@@ -30,7 +30,8 @@ def write_xlsx(path, header, rows):
         f'<row r="{n + 2}">' + "".join(_cell(f"{chr(65 + i)}{n + 2}", v) for i, v in enumerate(r)) + "</row>"
         for n, r in enumerate(rows))
     with zipfile.ZipFile(path, "w") as z:
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{M}" xmlns:r="{R}"><sheets>'
+        pr = '<workbookPr date1904="1"/>' if date1904 else ""
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{M}" xmlns:r="{R}">{pr}<sheets>'
                                       f'<sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>')
         z.writestr("xl/_rels/workbook.xml.rels",
                    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
@@ -69,3 +70,9 @@ def test_workbook_without_rows(spark, tmp_path):
     write_xlsx(p, ["a"], [])
     with pytest.raises(ValueError):
         load_workbooks(spark, str(p))
+
+
+def test_1904_date_system(tmp_path):
+    p = tmp_path / "mac.xlsx"
+    write_xlsx(p, ["day"], [[(44286, 1)]], date1904=True)
+    assert parse_first_sheet(p.read_bytes())[1] == ["2025-04-01"]
