@@ -99,11 +99,24 @@ class ReportBuilder:
         self.row("unique_keys", label, unique, True)
         self.row("duplicate_count", label, total - unique, total - unique == 0)
 
-    def duplicate_rows(self, total: Column) -> None:
+    def duplicate_rows(self, total: Column, row_key: str = "exact") -> None:
+        """Whole-row duplicates. ``row_key="exact"`` counts distinct rows (every row
+        crosses the shuffle); ``"hash128"`` counts distinct pairs of independent
+        64-bit row hashes, so 16 bytes per row cross it. Two different rows collide
+        with probability about n^2 / 2^129 (1e-15 for 10^12 rows)."""
         if not self.df.columns:
             self.row("duplicate_rows", None, F.lit(0), True)
             return
-        unique = self.metric(F.count_distinct(F.struct(*[_comparable(self.df, c) for c in self.df.columns])))
+        cols = [_comparable(self.df, c) for c in self.df.columns]
+        if row_key == "hash128":
+            # NULL and the empty string hash alike, so each value is tagged with its null-ness
+            tagged = [x for c in cols for x in (c.isNull(), c)]
+            key = F.struct(F.xxhash64(*tagged), F.xxhash64(F.lit("ledgerlake"), *tagged))
+        elif row_key == "exact":
+            key = F.struct(*cols)
+        else:
+            raise ValueError(f"row_key must be 'exact' or 'hash128', not {row_key!r}")
+        unique = self.metric(F.count_distinct(key))
         self.row("duplicate_rows", None, total - unique, total - unique == 0)
 
     def positive(self, columns: list[str]) -> None:
@@ -171,16 +184,17 @@ def check_required_columns(df: DataFrame, required: list[str], dataset: str = "d
     return b.build()
 
 
-def generate_quality_report(df: DataFrame, dataset: str) -> DataFrame:
+def generate_quality_report(df: DataFrame, dataset: str, row_key: str = "exact") -> DataFrame:
     """Generic report for any schema: row and column counts, null counts
-    (informational) and whole-row duplicates — one aggregate."""
+    (informational) and whole-row duplicates — one aggregate. ``row_key``: see
+    :meth:`ReportBuilder.duplicate_rows`."""
     b = ReportBuilder(df, dataset)
     total = b.row_count()
     n_cols = len(df.columns)
     b.row("column_count", None, F.lit(n_cols), True)
     b.row("schema", None, F.lit(n_cols), n_cols > 0)
     b.nulls(list(df.columns), informational=True)
-    b.duplicate_rows(total)
+    b.duplicate_rows(total, row_key)
     return b.build()
 
 

@@ -100,3 +100,12 @@ def test_unique_names_properties(names):
         assert o and not o[0].isdigit() and o == o.lower()
     for raw, o in zip(names, out):
         assert o.startswith(normalize_column_name(raw))
+
+
+@SETTINGS
+@given(rows=rows_strategy)
+def test_hashed_row_key_matches_exact(spark, rows):
+    df = spark.createDataFrame(rows, "k int, x int, s string")
+    exact = Q.report_as_dict(Q.generate_quality_report(df, "t"))["duplicates"]
+    hashed = Q.report_as_dict(Q.generate_quality_report(df, "t", row_key="hash128"))["duplicates"]
+    assert exact == hashed
