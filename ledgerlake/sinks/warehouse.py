@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.naming import choose_clustering_columns
-from ledgerlake.functions.columns import has_map
+from ledgerlake.functions.columns import col, has_map
 from ledgerlake.session import ensure_checkpoint_dir
 
 INGEST_DATE = "_ingest_date"
@@ -38,9 +38,13 @@ CLUSTERING_PROPERTY = "ledgerlake.clustering"
 
 def save_as_csv(df: DataFrame, out_dir: str, single_file: bool = False) -> str:
     """Write ``df`` as CSV with a header into ``out_dir`` (replaced). NULL is written
-    as an empty field. One file only on request (``single_file`` funnels all rows
-    through one task, so keep it for small outputs)."""
-    out = df.coalesce(1) if single_file else df
+    as an empty field; struct, array and map values (which CSV cannot hold) as JSON
+    text. One file only on request (``single_file`` funnels all rows through one
+    task, so keep it for small outputs)."""
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    flat = df.select(*[F.to_json(col(f.name)).alias(f.name) if isinstance(f.dataType, nested) else col(f.name)
+                       for f in df.schema.fields])
+    out = flat.coalesce(1) if single_file else flat
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(out_dir)
     return out_dir
 

@@ -103,3 +103,21 @@ def test_command_line(spark, tmp_path, fixture_dir, capsys):
     ver = main(["verify", "--expect", "orders=10"], spark)
     assert ver["passed"] is True
     assert '"rows_loaded": 10' in capsys.readouterr().out
+
+
+def test_nested_json_through_the_generic_pipeline(spark, tmp_path):
+    import json as _json
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "nested.json").write_text(_json.dumps([
+        {"id": 1, "tags": ["a", "b"], "dims": {"h": 2, "w": 1}, "n": 5},
+        {"id": 1, "tags": ["a", "b"], "dims": {"h": 2, "w": 1}, "n": 5},
+        {"id": 2, "tags": [], "dims": {"h": None, "w": 3}, "n": None},
+    ]))
+    wh, proc = str(tmp_path / "wh"), str(tmp_path / "processed")
+    res = P.run_pipeline(spark, str(src), wh, processed_dir=proc)
+    assert res["rows_loaded"] == 2 and res["raw_report"]["duplicates"]["duplicate_rows"] == 1
+    from ledgerlake.sources.files import load_csv
+    back = {str(r["id"]): r for r in load_csv(spark, res["processed_path"], infer_schema=False).collect()}
+    assert _json.loads(back["1"]["tags"]) == ["a", "b"] and _json.loads(back["2"]["dims"]) == {"w": 3}
+    assert back["2"]["n"] is None
