@@ -29,7 +29,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     a large table's files is the expensive part of creating it. Call
     :func:`refresh_tables` after the files change.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     df = _RELATIONS.get(key)
     if df is None or df.sparkSession is not spark:

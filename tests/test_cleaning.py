@@ -105,3 +105,24 @@ def test_table_name_rules():
 def test_clustering_choice():
     assert choose_clustering_columns(["order_id", "city", "customer_id"]) == ["customer_id", "order_id"]
     assert choose_clustering_columns(["x"]) == []
+
+
+def test_spaces_fixture_generic_and_typed(spark, tmp_path):
+    from ledgerlake.entities import CUSTOMERS
+    from ledgerlake.operators.quality import generate_customer_quality_report, report_as_dict
+    from ledgerlake.sources.files import load_csv
+    p = tmp_path / "spaces.csv"
+    p.write_text("customer_id,name,email,city,country,signup_date\n"
+                 "1, Ann ,A@X.COM,  Paris,FR,2025-01-02\n"
+                 "1,Ann,a@x.com,Paris,FR,2025-01-02\n"
+                 "2,Bob,   ,Rome\t,IT,2025-02-30\n")
+    raw = load_csv(spark, str(p))
+    generic = C.clean_dataframe(raw).collect()
+    assert len(generic) == 3  # e-mail case differs, so the two rows of customer 1 stay distinct
+    assert {r.email for r in generic} == {"A@X.COM", "a@x.com", None}  # all-space -> NULL
+    assert {r.city for r in generic} == {"Paris", "Rome\t"}  # trim removes spaces, not tabs
+    typed = {r.customer_id: r for r in C.clean_customers(C.cast_to_entity(raw, CUSTOMERS)).collect()}
+    assert len(typed) == 2 and typed[1].email == "a@x.com" and typed[1].name == "Ann"
+    assert typed[2].email == "" and typed[2].signup_date is None  # typed cleaners keep '' ; bad date -> NULL
+    rep = report_as_dict(generate_customer_quality_report(raw))
+    assert rep["dates"]["unparsable_counts"] == {"signup_date": 1}
