@@ -21,3 +21,14 @@ def test_incremental_ingest(spark, tmp_path):
     (land / "c.json").write_text(_orders([3, 5]))
     ingest(spark, str(land), "orders", table, checkpoint=ckpt, event_time="order_date").awaitTermination()
     assert sorted(r.order_id for r in spark.read.parquet(table).collect()) == [1, 2, 3, 5]
+
+
+def test_ingest_csv_customers(spark, tmp_path):
+    land, table = tmp_path / "land", str(tmp_path / "customers_tbl")
+    land.mkdir()
+    (land / "a.csv").write_text("customer_id,name,email,city,country,signup_date\n"
+                                "1, Ann ,A@X.COM,Paris,FR,2025-01-02\n2,Bob,,Rome,IT,not-a-date\n")
+    ingest(spark, str(land), "customers", table, fmt="csv", checkpoint=str(tmp_path / "ck")).awaitTermination()
+    rows = {r.customer_id: r for r in spark.read.parquet(table).collect()}
+    assert rows[1].name == "Ann" and rows[1].email == "a@x.com"
+    assert rows[2].email is None and rows[2].signup_date is None
