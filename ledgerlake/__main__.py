@@ -28,6 +28,8 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--entity", choices=["customers", "orders", "products"], default=None,
                      help="typed cleaning for this entity instead of the generic cleaner")
     run.add_argument("--processed", default=None, help="also write the processed CSV here")
+    run.add_argument("--multi-line", action="store_true", default=None,
+                     help="CSV with quoted newlines (each file becomes one task)")
     load = sub.add_parser("load-all", help="load every *_processed.csv into its table")
     load.add_argument("--processed", required=True)
     load.add_argument("--warehouse", required=True)
@@ -45,7 +47,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     if args.command == "run":
         res = P.run_pipeline(spark, args.input, args.warehouse, selected=args.file,
-                             processed_dir=args.processed, entity=args.entity)
+                             processed_dir=args.processed, entity=args.entity, multi_line=args.multi_line)
         out = {k: res[k] for k in ("source_file", "processed_file", "table_name", "rows_loaded", "status")}
         out.update(raw_report=res["raw_report"], processed_report=res["processed_report"])
     elif args.command == "load-all":

@@ -75,9 +75,11 @@ def read_run_records(spark: SparkSession, warehouse_root: str) -> DataFrame:
 
 
 def process_dataset(spark: SparkSession, path: str, name: str, warehouse_root: str,
-                    processed_dir: str | None = None, entity: str | None = None) -> dict:
-    """Load, profile, clean, load into the warehouse and profile one dataset."""
-    raw = load_file(spark, path)
+                    processed_dir: str | None = None, entity: str | None = None,
+                    multi_line: bool | None = None) -> dict:
+    """Load, profile, clean, load into the warehouse and profile one dataset
+    (``multi_line``: see :func:`ledgerlake.sources.files.load_file`)."""
+    raw = load_file(spark, path, multi_line=multi_line)
     raw_report = report_as_dict(generate_quality_report(raw, name))
     cleaned = clean_for(raw, entity)
     processed = processed_file_name(name)
@@ -94,7 +96,8 @@ def process_dataset(spark: SparkSession, path: str, name: str, warehouse_root: s
 
 
 def run_pipeline(spark: SparkSession, input_dir: str, warehouse_root: str, selected: str | None = None,
-                 processed_dir: str | None = None, entity: str | None = None) -> dict:
+                 processed_dir: str | None = None, entity: str | None = None,
+                 multi_line: bool | None = None) -> dict:
     """Run one dataset (``selected`` by name, else the first file) end to end and
     append the run record. Failures are recorded and re-raised."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -102,7 +105,8 @@ def run_pipeline(spark: SparkSession, input_dir: str, warehouse_root: str, selec
     try:
         chosen = find_selected_file(list_input_files(spark, input_dir), selected)
         record["source_file"] = chosen["name"]
-        result = process_dataset(spark, chosen["path"], chosen["name"], warehouse_root, processed_dir, entity)
+        result = process_dataset(spark, chosen["path"], chosen["name"], warehouse_root, processed_dir, entity,
+                                 multi_line)
         record.update(processed_file=result["processed_file"], table_name=result["table_name"],
                       rows_loaded=result["rows_loaded"], status="success")
         return {**result, **record}

@@ -5,9 +5,8 @@ All readers are Spark's distributed sources; nothing is parsed on the driver.
 Scale notes:
 
 * ``multi_line`` (quoted newlines in CSV, JSON documents / arrays) makes every file
-  one non-splittable task. It is on for the generic loaders, whose inputs are
-  many independent files, and off for the typed CSV loader; pass
-  ``multi_line=False`` for large line-oriented inputs (JSON lines) so files split.
+  one non-splittable task, so for CSV it is opt-in; JSON documents and arrays need
+  it, JSON lines do not (``multi_line=False`` lets those files split).
 * Schema inference costs a full extra pass over the input; pass ``schema=`` (the
   typed entities have one) to skip it.
 """
@@ -181,13 +180,18 @@ def file_extension(path: str) -> str:
     return PurePath(path).suffix.lower()
 
 
-def load_file(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
-    """Dispatch on the lower-cased extension; unknown extensions raise ``ValueError``."""
+def load_file(spark: SparkSession, path: str, *, multi_line: bool | None = None) -> DataFrame:
+    """Dispatch on the lower-cased extension; unknown extensions raise ``ValueError``.
+
+    ``multi_line=None`` takes each format's scalable default: CSV is read line by
+    line (files split across tasks; pass ``True`` for quoted newlines), JSON as
+    whole documents / arrays (pass ``False`` for splittable JSON lines).
+    """
     ext = file_extension(path)
     if ext == ".csv":
-        return load_csv(spark, path, multi_line=multi_line)
+        return load_csv(spark, path, multi_line=bool(multi_line))
     if ext == ".json":
-        return load_json(spark, path, multi_line=multi_line)
+        return load_json(spark, path, multi_line=multi_line is not False)
     if ext == ".xml":
         return load_xml_dynamic(spark, path)
     if ext == ".xlsx":

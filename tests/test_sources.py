@@ -158,3 +158,10 @@ def test_catalog_ignores_nested_dir_with_same_name(spark, tmp_path):
     (d / "sub" / "inbox" / "b.csv").write_text("a\n1\n")
     assert [r["name"] for r in list_input_files(spark, str(d)).collect()] == ["a.csv"]
     assert [r["name"] for r in list_input_files(spark, "file://" + str(d)).collect()] == ["a.csv"]
+
+
+def test_multi_line_csv_is_opt_in(spark, tmp_path):
+    p = tmp_path / "q.csv"
+    p.write_text('a,b\n1,"two\nlines"\n2,x\n')
+    assert S.load_file(spark, str(p)).count() == 3  # line by line: the quoted newline splits a record
+    assert S.load_file(spark, str(p), multi_line=True).count() == 2
