@@ -485,6 +485,30 @@ QUERIES.update({
 })
 
 
+# --- the generic cleaner on raw headers (the transformation of a generic run) ---------------
+
+_RAW_CUSTOMER_HEADERS = [  # view column -> raw header -> normalised name
+    ("customer_id", "Customer ID", "customer_id"),
+    ("name", "Full Name", "full_name"),
+    ("email", "E-mail", "e_mail"),
+    ("city", " City ", "city"),
+    ("country", "Country", "country"),
+    ("signup_date", "Signup Date (ISO)", "signup_date_iso"),
+]
+
+
+def q_clean_dataframe(s, d):
+    raw = _dirty_cust(s, d).select(*[F.col(c).alias(h) for c, h, _ in _RAW_CUSTOMER_HEADERS])
+    return C.clean_dataframe(raw)
+
+
+ORACLE["clean_dataframe"] = O.with_views("customers_dirty_v") + "SELECT DISTINCT " + ", ".join(
+    f'NULLIF(TRIM({c}), \'\') AS "{out}"' if c != "customer_id" else f'{c} AS "{out}"'
+    for c, _, out in _RAW_CUSTOMER_HEADERS) + " FROM customers_dirty_v"
+
+QUERIES["clean_dataframe"] = q_clean_dataframe
+
+
 # --- presentation on both sides ---------------------------------------------------------
 
 # DATE columns of each raw result (checked against the Spark schemas by a test).
