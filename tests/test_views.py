@@ -44,3 +44,14 @@ def test_customers_dirty(spark):
     assert d.distinct().count() == 159
     assert C.clean_dataframe(d).count() == 150
     assert C.clean_customers(d).count() == 150
+
+
+def test_views_for_sql_users(spark):
+    from ledgerlake.sinks.warehouse import create_or_replace_views
+    V.register_views(spark, SF)
+    assert spark.sql("SELECT count(*) FROM orders_v").first()[0] == 6000
+    assert spark.sql("SELECT count(DISTINCT customer_id) FROM customers_dirty_v").first()[0] == 150
+    names = create_or_replace_views(spark, {"cust_by_country": spark.sql(
+        "SELECT country, count(*) AS n FROM customers_v GROUP BY country")})
+    assert names == ["cust_by_country"]
+    assert spark.sql("SELECT sum(n) FROM cust_by_country").first()[0] == 150
