@@ -43,7 +43,8 @@ def rounded_mean(total: str, n: str) -> Column:
     count), so the expression runs once per group after the aggregation.
     """
     s = f"CAST(`{total}` * 100 AS {CENTS_TYPE})"
-    q = f"((2 * abs({s}) + `{n}`) div (2 * `{n}`)) * sign({s})"
+    # sign() is DOUBLE in Spark; keep the product integral so a mean rounding to 0 is 0.0, never -0.0
+    q = f"((2 * abs({s}) + `{n}`) div (2 * `{n}`)) * CAST(sign({s}) AS BIGINT)"
     return F.expr(f"CASE WHEN `{n}` > 0 THEN CAST({q} AS DOUBLE) / 100 END")
 
 

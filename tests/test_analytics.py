@@ -101,3 +101,14 @@ def test_analytics_views(spark, typed_tables):
     assert set(names) == {"business_summary", "customer_analytics", "sales_analytics", "product_analytics"}
     assert spark.sql("SELECT total_orders FROM business_summary").collect()[0][0] == 10
     assert spark.sql("SELECT count(*) FROM customer_analytics").collect()[0][0] == 14
+
+
+def test_mean_rounding_to_zero_is_positive_zero(spark):
+    import math
+    orders = spark.createDataFrame([(1, 1, 1, dt.date(2025, 1, 1), 1, "-0.01"), (2, 1, 1, dt.date(2025, 1, 1), 1, "0.00"),
+                                    (3, 1, 1, dt.date(2025, 1, 1), 1, "0.00")],
+                                   "order_id long, customer_id long, product_id long, order_date date, quantity int, "
+                                   "price string").selectExpr("* EXCEPT (price)", "CAST(price AS DECIMAL(12,2)) AS price")
+    r = A.sales_analytics(orders).collect()[0]
+    assert r.average_order_value == 0.0 and math.copysign(1.0, r.average_order_value) == 1.0
+    assert r.total_revenue == -0.01

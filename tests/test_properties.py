@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -87,7 +88,9 @@ def test_money_matches_decimal_brute_force(spark, rows):
             total = sum(amounts)
             assert r.total_revenue == float(total)
             mean = (total / len(amounts)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
-            assert r.average_order_value == float(mean)
+            expected = float(mean) + 0.0  # -0.0 -> 0.0: a mean rounding to zero is reported as +0.0
+            assert r.average_order_value == expected
+            assert math.copysign(1.0, r.average_order_value) == math.copysign(1.0, expected)
         else:
             assert r.total_revenue is None and r.average_order_value is None
 
