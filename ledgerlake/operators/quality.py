@@ -257,7 +257,10 @@ def report_as_dict(report: DataFrame) -> dict:
         elif check == "column_count":
             out["column_count"] = value
         elif check == "schema":
-            out.setdefault("schema", {}).update(passed=passed, missing_count=value)
+            if "column_count" in out:  # generic report: passed iff the dataset has columns
+                out["schema"] = {"passed": passed, "column_count": value}
+            else:
+                out.setdefault("schema", {}).update(passed=passed, missing_count=value)
         elif check == "missing_column":
             out.setdefault("schema", {}).setdefault("missing_columns", []).append(col)
         elif check == "unexpected_column":
@@ -282,7 +285,7 @@ def report_as_dict(report: DataFrame) -> dict:
             dates = out.setdefault("dates", {"passed": True, "unparsable_counts": {}})
             dates["unparsable_counts"][col] = value
             dates["passed"] = dates["passed"] and passed
-    if "schema" in out:
+    if "schema" in out and "column_count" not in out["schema"]:
         out["schema"].setdefault("missing_columns", [])
         out["schema"].setdefault("unexpected_columns", [])
     if "duplicates" in out and "unique_rows" in out["duplicates"] and "total_rows" not in out["duplicates"]:

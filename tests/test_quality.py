@@ -63,6 +63,7 @@ def test_product_report(raw_tables):
 def test_generic_report(raw_tables):
     rep = Q.report_as_dict(Q.generate_quality_report(raw_tables["customers"], "customers.csv"))
     assert rep["row_count"] == 15 and rep["column_count"] == 6
+    assert rep["schema"] == {"passed": True, "column_count": 6}
     assert rep["nulls"]["passed"] is True and rep["nulls"]["total_nulls"] == 1  # informational
     assert rep["duplicates"] == {"passed": False, "duplicate_rows": 1}
 
