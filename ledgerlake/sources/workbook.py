@@ -175,11 +175,18 @@ def infer_types(df: DataFrame) -> DataFrame:
 
 def load_workbooks(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
     """Rows of the first sheet of every workbook under ``path`` with the header row's
-    names as columns (unnamed header cells become ``Unnamed: i``)."""
+    names as columns (unnamed header cells become ``Unnamed: i``, repeated names
+    ``name.1``, ``name.2``, ...)."""
     cells = workbook_cells(spark, path)
-    headers = cells.filter("row_no = 0").select(
-        "path", F.transform("cells", lambda x, i: F.coalesce(x, F.concat(F.lit("Unnamed: "), i.cast("string"))))
-        .alias("header"))
+    named = F.transform("cells", lambda x, i: F.coalesce(x, F.concat(F.lit("Unnamed: "), i.cast("string"))))
+
+    def unique(x, i):
+        # a repeated name gets ".1", ".2", ... by how often it occurred before (as pandas does)
+        seen = F.size(F.filter(F.slice("_named", F.lit(1), i), lambda y: y == x))
+        return F.when(seen > 0, F.concat(x, F.lit("."), seen.cast("string"))).otherwise(x)
+
+    headers = (cells.filter("row_no = 0").select("path", named.alias("_named"))
+               .select("path", F.transform("_named", unique).alias("header")))
     names: list[str] = []
     for r in headers.select("header").distinct().collect():  # one row per distinct header
         names += [n for n in r["header"] if n not in names]

@@ -76,3 +76,11 @@ def test_1904_date_system(tmp_path):
     p = tmp_path / "mac.xlsx"
     write_xlsx(p, ["day"], [[(44286, 1)]], date1904=True)
     assert parse_first_sheet(p.read_bytes())[1] == ["2025-04-01"]
+
+
+def test_repeated_and_blank_headers(spark, tmp_path):
+    p = tmp_path / "dups.xlsx"
+    write_xlsx(p, ["a", "a", "b", "a"], [[1, 2, 3, 4]])
+    df = load_workbooks(spark, str(p))
+    assert df.columns == ["a", "a.1", "b", "a.2"]
+    assert tuple(df.first()) == (1, 2, 3, 4)
