@@ -164,7 +164,7 @@ def _one_level_json(col, dtype: T.StructType):
 def load_xml_dynamic(spark: SparkSession, path: str, row_tags: list[str] | None = None,
                      root_tag: str | None = None) -> DataFrame:
     """Generic XML: every direct child of the root is a record (one read per record
-    tag, unioned by name). Zero records raise ``ValueError``."""
+    tag, unioned by name); columns in name order. Zero records raise ``ValueError``."""
     tags = row_tags or xml_record_tags(spark, path, root_tag)
     if not tags:
         raise ValueError(f"No records were found in XML file: {PurePath(path).name}")
@@ -172,7 +172,7 @@ def load_xml_dynamic(spark: SparkSession, path: str, row_tags: list[str] | None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return out.select(*[F.col(f"`{c}`") for c in sorted(out.columns)])  # records as name -> value: sorted names
 
 
 def file_extension(path: str) -> str:

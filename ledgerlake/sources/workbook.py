@@ -194,5 +194,6 @@ def load_workbooks(spark: SparkSession, path: str, infer: bool = True) -> DataFr
     if not names or data.isEmpty():
         raise ValueError(f"No records were found in XLSX file(s): {path}")
     row = F.map_from_arrays(F.slice("header", 1, F.size("cells")), F.slice("cells", 1, F.size("header")))
-    out = data.select(row.alias("_row")).select(*[F.col("_row")[n].alias(n) for n in names])
+    # records as name -> value, columns in name order (as a record-per-dict load gives them)
+    out = data.select(row.alias("_row")).select(*[F.col("_row")[n].alias(n) for n in sorted(names)])
     return infer_types(out) if infer else out
