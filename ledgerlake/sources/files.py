@@ -59,10 +59,13 @@ def _xml_reader(spark: SparkSession, row_tag: str):
 
 
 def load_xml(spark: SparkSession, path: str, row_tag: str = "product") -> DataFrame:
-    """Typed XML: every ``row_tag`` element is a record, each child tag a string column.
-    Empty elements become NULL."""
+    """Typed XML: every ``row_tag`` element is a record, each child tag a text column
+    (a repeated child keeps its last value, attributes are ignored, a child with
+    children contributes only its own text). Empty elements become NULL."""
     df = _xml_reader(spark, row_tag).load(path)
-    return _strings_null_if_empty(df)
+    cols = [_element_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+            for f in df.schema.fields if not f.name.startswith(ATTRIBUTE_PREFIX) and f.name != VALUE_TAG]
+    return df.select(*cols)
 
 
 def _strings_null_if_empty(df: DataFrame) -> DataFrame:

@@ -165,3 +165,13 @@ def test_multi_line_csv_is_opt_in(spark, tmp_path):
     p.write_text('a,b\n1,"two\nlines"\n2,x\n')
     assert S.load_file(spark, str(p)).count() == 3  # line by line: the quoted newline splits a record
     assert S.load_file(spark, str(p), multi_line=True).count() == 2
+
+
+def test_typed_xml_takes_child_texts(spark, tmp_path):
+    p = tmp_path / "p.xml"
+    p.write_text("<?xml version='1.0'?>\n<products>\n"
+                 '  <product sku="x"><product_id>1</product_id><product_name>A</product_name>'
+                 "<product_name>B</product_name><category/><dims><h>2</h></dims></product>\n"
+                 "</products>\n")
+    r = S.load_xml(spark, str(p)).first().asDict()
+    assert r == {"category": None, "dims": None, "product_id": "1", "product_name": "B"}
