@@ -3,7 +3,7 @@
 Every check contributes metrics to a single ``agg`` over the input, so a whole
 report (row count, per-column null counts, non-positive counts, duplicate keys or
 duplicate rows) is one scan and one action, instead of one job per column. The
-one-row result is turned into long form with ``inline``:
+one-row result is turned into long form with one ``stack``:
 
     dataset STRING, check_name STRING, column_name STRING, value BIGINT, passed BOOLEAN
 
@@ -45,12 +45,24 @@ REPORT_COLUMNS = ("dataset", "check_name", "column_name", "value", "passed")
 class _Row:
     check: str
     column: str | None
-    value: Column
-    passed: Column
+    value: str   # SQL over the aggregated row (metric names _m0, _m1, ...)
+    passed: str  # SQL boolean over the aggregated row
+
+
+def _sql_text(v: str | None) -> str:
+    """A SQL string literal (or NULL)."""
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 class ReportBuilder:
-    """Collects metrics for one dataset and emits them as one aggregate."""
+    """Collects metrics for one dataset and emits them as one aggregate.
+
+    Metrics are aggregate Columns over the input; report rows are small SQL
+    expressions over the one aggregated row (``_m0 = 0``, ``_m0 - _m1``), unpivoted
+    by a single ``stack``.
+    """
 
     def __init__(self, df: DataFrame, dataset: str):
         self.df = df
@@ -58,19 +70,19 @@ class ReportBuilder:
         self._aggs: list[Column] = []
         self._rows: list[_Row] = []
 
-    def metric(self, agg: Column) -> Column:
-        """Register an aggregate; returns a reference to its (one-row) result."""
+    def metric(self, agg: Column) -> str:
+        """Register an aggregate; returns the name of its (one-row) result."""
         name = f"_m{len(self._aggs)}"
         self._aggs.append(agg.alias(name))
-        return F.col(name)
+        return name
 
-    def row(self, check: str, column: str | None, value: Column, passed: Column | bool) -> None:
-        p = passed if isinstance(passed, Column) else F.lit(passed)
+    def row(self, check: str, column: str | None, value: str, passed: str | bool) -> None:
+        p = ("true" if passed else "false") if isinstance(passed, bool) else passed
         self._rows.append(_Row(check, column, value, p))
 
     # --- checks ---------------------------------------------------------------
 
-    def row_count(self) -> Column:
+    def row_count(self) -> str:
         n = self.metric(F.count(F.lit(1)))
         self.row("row_count", None, n, True)
         return n
@@ -79,33 +91,33 @@ class ReportBuilder:
         present = set(self.df.columns)
         missing = sorted(set(required) - present)
         unexpected = sorted(present - set(required))
-        self.row("schema", None, F.lit(len(missing)), len(missing) == 0)
+        self.row("schema", None, str(len(missing)), len(missing) == 0)
         for name in missing:
-            self.row("missing_column", name, F.lit(1), False)
+            self.row("missing_column", name, "1", False)
         for name in unexpected:
-            self.row("unexpected_column", name, F.lit(1), True)
+            self.row("unexpected_column", name, "1", True)
         return [c for c in required if c in present]
 
     def nulls(self, columns: list[str], informational: bool = False) -> None:
         counts = [self.metric(F.count_if(_c(c).isNull())) for c in columns]
         for name, n in zip(columns, counts):
-            self.row("null_count", name, n, True if informational else n == 0)
-        total = sum(counts[1:], counts[0]) if counts else F.lit(0)
-        self.row("nulls", None, total, True if informational else total == 0)
+            self.row("null_count", name, n, True if informational else f"{n} = 0")
+        total = f"({' + '.join(counts)})" if counts else "0"
+        self.row("nulls", None, total, True if informational else f"{total} = 0")
 
-    def duplicate_keys(self, keys: list[str], total: Column) -> None:
+    def duplicate_keys(self, keys: list[str], total: str) -> None:
         label = ",".join(keys)
         unique = self.metric(F.count_distinct(F.struct(*[_comparable(self.df, k) for k in keys])))
         self.row("unique_keys", label, unique, True)
-        self.row("duplicate_count", label, total - unique, total - unique == 0)
+        self.row("duplicate_count", label, f"({total} - {unique})", f"{total} - {unique} = 0")
 
-    def duplicate_rows(self, total: Column, row_key: str = "exact") -> None:
+    def duplicate_rows(self, total: str, row_key: str = "exact") -> None:
         """Whole-row duplicates. ``row_key="exact"`` counts distinct rows (every row
         crosses the shuffle); ``"hash128"`` counts distinct pairs of independent
         64-bit row hashes, so 16 bytes per row cross it. Two different rows collide
         with probability about n^2 / 2^129 (1e-15 for 10^12 rows)."""
         if not self.df.columns:
-            self.row("duplicate_rows", None, F.lit(0), True)
+            self.row("duplicate_rows", None, "0", True)
             return
         cols = [_comparable(self.df, c) for c in self.df.columns]
         if row_key == "hash128":
@@ -117,37 +129,34 @@ class ReportBuilder:
         else:
             raise ValueError(f"row_key must be 'exact' or 'hash128', not {row_key!r}")
         unique = self.metric(F.count_distinct(key))
-        self.row("duplicate_rows", None, total - unique, total - unique == 0)
+        self.row("duplicate_rows", None, f"({total} - {unique})", f"{total} - {unique} = 0")
 
     def positive(self, columns: list[str]) -> None:
         counts = [self.metric(F.count_if(_c(c) <= 0)) for c in columns]
         for name, n in zip(columns, counts):
-            self.row("invalid_count", name, n, n == 0)
-        total = sum(counts[1:], counts[0]) if counts else F.lit(0)
-        self.row("positive_values", None, total, total == 0)
+            self.row("invalid_count", name, n, f"{n} = 0")
+        total = f"({' + '.join(counts)})" if counts else "0"
+        self.row("positive_values", None, total, f"{total} = 0")
 
     def unparsable_dates(self, columns: list[str]) -> None:
         for name in columns:
             text = _c(name).cast("string")
             n = self.metric(F.count_if(text.isNotNull() & F.try_to_date(text).isNull()))
-            self.row("unparsable_date", name, n, n == 0)
+            self.row("unparsable_date", name, n, f"{n} = 0")
 
     # --- output ---------------------------------------------------------------
 
     def build(self) -> DataFrame:
+        """One aggregate over the input, then the report rows by one ``stack``."""
         aggs = self._aggs or [F.count(F.lit(1)).alias("_m0")]
         one = self.df.agg(*aggs)
-        rows = [
-            F.struct(
-                F.lit(self.dataset).alias("dataset"),
-                F.lit(r.check).alias("check_name"),
-                F.lit(r.column).cast("string").alias("column_name"),
-                F.coalesce(r.value.cast("long"), F.lit(0).cast("long")).alias("value"),
-                r.passed.alias("passed"),
-            )
+        values = ", ".join(
+            f"{_sql_text(self.dataset)}, {_sql_text(r.check)}, {_sql_text(r.column)}, "
+            f"COALESCE(CAST({r.value} AS BIGINT), 0L), CAST({r.passed} AS BOOLEAN)"
             for r in self._rows
-        ]
-        return one.select(F.inline(F.array(*rows)))
+        )
+        return one.selectExpr(
+            f"stack({len(self._rows)}, {values}) AS ({', '.join(REPORT_COLUMNS)})")
 
 
 # --- public checks (each a one-pass report DataFrame) ------------------------
@@ -191,8 +200,8 @@ def generate_quality_report(df: DataFrame, dataset: str, row_key: str = "exact")
     b = ReportBuilder(df, dataset)
     total = b.row_count()
     n_cols = len(df.columns)
-    b.row("column_count", None, F.lit(n_cols), True)
-    b.row("schema", None, F.lit(n_cols), n_cols > 0)
+    b.row("column_count", None, str(n_cols), True)
+    b.row("schema", None, str(n_cols), n_cols > 0)
     b.nulls(list(df.columns), informational=True)
     b.duplicate_rows(total, row_key)
     return b.build()
