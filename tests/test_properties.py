@@ -112,3 +112,33 @@ def test_hashed_row_key_matches_exact(spark, rows):
     exact = Q.report_as_dict(Q.generate_quality_report(df, "t"))["duplicates"]
     hashed = Q.report_as_dict(Q.generate_quality_report(df, "t", row_key="hash128"))["duplicates"]
     assert exact == hashed
+
+
+cust_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 4)), st.sampled_from(["a", "b"])), max_size=8)
+order_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 5)), st.one_of(st.none(), st.integers(1, 3)),
+                                st.integers(-200, 900)), max_size=15)
+
+
+@SETTINGS
+@given(custs=cust_rows, orders=order_rows)
+def test_pre_aggregated_left_join_equals_join_then_group(spark, custs, orders):
+    from pyspark.sql import functions as F
+    cdf = spark.createDataFrame(custs, "customer_id long, name string")
+    odf = spark.createDataFrame([(i, c, q, str(Decimal(p) / 100)) for i, (c, q, p) in enumerate(orders)],
+                                "order_id long, customer_id long, quantity int, p string").select(
+        "order_id", "customer_id", F.lit(1).cast("long").alias("product_id"), "quantity",
+        F.col("p").cast("decimal(12,2)").alias("price"))
+    got = sorted(((r.customer_id, r.customer_name, r.total_revenue)
+                  for r in A.revenue_by_customer(cdf, odf).collect()), key=lambda t: repr(t[:2]))
+    # brute force: SQL LEFT JOIN, then GROUP BY (customer_id, name), SUM(q * p) with NULLs skipped
+    groups = defaultdict(lambda: None)
+    keys = set()
+    for cid, name in custs:
+        keys.add((cid, name))
+        for oc, q, p in orders:
+            if cid is not None and oc == cid and q is not None:
+                amount = q * Decimal(p) / 100
+                groups[(cid, name)] = amount if groups[(cid, name)] is None else groups[(cid, name)] + amount
+    expect = sorted(((cid, name, float(groups[(cid, name)] or 0) + 0.0) for cid, name in keys),
+                    key=lambda t: repr(t[:2]))
+    assert got == expect
