@@ -28,7 +28,7 @@ from ledgerlake.functions.naming import normalize_columns, normalize_table_name,
 from ledgerlake.operators import cleaning as C
 from ledgerlake.operators.quality import generate_quality_report, report_as_dict
 from ledgerlake.sinks import warehouse as W
-from ledgerlake.sources.catalog import find_selected_file, list_input_files
+from ledgerlake.sources.catalog import find_selected_file, list_input_files, list_processed_datasets
 from ledgerlake.sources.files import load_csv, load_file
 
 RUNS_TABLE = "pipeline_runs"
@@ -125,14 +125,7 @@ def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str
 
     The processed CSVs are re-read strictly: FAILFAST, quoted newlines allowed.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(processed_dir).select("path").collect())
-    datasets: dict[str, str] = {}
-    for r in files:
-        parts = r["path"].rstrip("/").split("/")
-        dirs = [p for p in parts if p.lower().endswith("_processed.csv")]
-        if dirs:
-            datasets.setdefault(dirs[-1], r["path"].rsplit("/", 1)[0])
+    datasets = list_processed_datasets(spark, processed_dir)
     tables: dict[str, str] = {}
     for name in sorted(datasets, key=str.lower):
         t = normalize_table_name(name)

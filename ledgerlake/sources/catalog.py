@@ -81,3 +81,14 @@ def find_selected_file(catalog: DataFrame, selected: str | None = None) -> dict:
         raise FileNotFoundError("No supported files are available in the input directory.")
     listing = "\n".join(f"  - {n}" for n in names)
     raise FileNotFoundError(f"Selected file was not found: {selected}\n\nAvailable files:\n{listing}")
+
+
+def list_processed_datasets(spark: SparkSession, processed_dir: str) -> dict[str, str]:
+    """Processed datasets under ``processed_dir``: ``{"<stem>_processed.csv": directory}``,
+    sorted by lower-cased name. A processed CSV is the directory Spark wrote it as
+    (part files inside); only the distinct directories are collected, never data."""
+    dirs = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(processed_dir)
+            .select(F.regexp_extract("path", r"^(.*/[^/]+_processed\.csv)/[^/]+$", 1).alias("dir"))
+            .filter(F.col("dir") != "").distinct().collect())
+    found = {r["dir"].rsplit("/", 1)[-1]: r["dir"] for r in dirs}
+    return {k: found[k] for k in sorted(found, key=str.lower)}
