@@ -47,7 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if it is unset there, this raises instead of falling back to a folder on one
     machine. Only a ``local[...]`` session without one gets a scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext here; the server's setting applies
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return current
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
