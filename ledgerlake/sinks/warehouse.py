@@ -81,9 +81,13 @@ def table_layout(spark: SparkSession, table: str) -> dict | None:
 
 
 def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
-               clustering: list[str] | None = None, table_format: str = "parquet") -> dict:
+               clustering: list[str] | None = None, table_format: str = "parquet",
+               num_files: int | None = None) -> dict:
     """Replace table ``table`` (stored at ``location``) with ``df``.
 
+    ``num_files``: range partitions (files per load date) of the clustered layout;
+    by default Spark's shuffle partition count. Size it as table bytes / 0.5-1 GB.
+
     Returns ``{"table", "location", "rows_loaded", "partition_by", "clustering",
     "created"}``.
     """
@@ -100,7 +104,7 @@ def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
     def write(source: DataFrame) -> int:
         staged = source.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else source
         obs = Observation(f"load_{table}")
-        out = clustered(staged, cluster).observe(obs, F.count(F.lit(1)).alias("rows"))
+        out = clustered(staged, cluster, num_files).observe(obs, F.count(F.lit(1)).alias("rows"))
         (out.write.mode("overwrite").format(table_format).option("path", location)
          .partitionBy(*partition_by).saveAsTable(table))
         return int(obs.get["rows"])

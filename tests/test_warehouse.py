@@ -121,3 +121,10 @@ def test_nested_json_through_the_generic_pipeline(spark, tmp_path):
     back = {str(r["id"]): r for r in load_csv(spark, res["processed_path"], infer_schema=False).collect()}
     assert _json.loads(back["1"]["tags"]) == ["a", "b"] and _json.loads(back["2"]["dims"]) == {"w": 3}
     assert back["2"]["n"] is None
+
+
+def test_num_files(spark, tmp_path, typed_tables):
+    loc = str(tmp_path / "wh" / "files_t")
+    W.load_table(spark, typed_tables["orders"], "files_t", loc, num_files=2)
+    parts = [f for d, _, fs in os.walk(loc) for f in fs if f.startswith("part-") and f.endswith(".parquet")]
+    assert 1 <= len(parts) <= 2
