@@ -5,14 +5,16 @@
     verify    --expect TABLE=ROWS [TABLE=ROWS ...]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master, memory
-and ``spark.checkpoint.dir`` are whatever the submitter configured. Results are
-printed as one JSON document.
+and ``spark.checkpoint.dir`` are whatever the submitter configured; the Spark web
+UI stays off unless ``LEDGERLAKE_SPARK_UI=1``. Results are printed as one JSON
+document.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -41,7 +43,10 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     """Parse ``argv``, run the command, print and return its JSON result."""
     args = _parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName("ledgerlake").getOrCreate()
+    if spark is None:
+        # No web UI unless asked for (LEDGERLAKE_SPARK_UI=1): batch runs do not need the server.
+        ui = "true" if os.environ.get("LEDGERLAKE_SPARK_UI") == "1" else "false"
+        spark = SparkSession.builder.appName("ledgerlake").config("spark.ui.enabled", ui).getOrCreate()
     from ledgerlake.plans import pipeline as P
     from ledgerlake.sinks import warehouse as W
 

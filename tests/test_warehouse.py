@@ -128,3 +128,18 @@ def test_num_files(spark, tmp_path, typed_tables):
     W.load_table(spark, typed_tables["orders"], "files_t", loc, num_files=2)
     parts = [f for d, _, fs in os.walk(loc) for f in fs if f.startswith("part-") and f.endswith(".parquet")]
     assert 1 <= len(parts) <= 2
+
+
+def test_command_line_as_a_process(tmp_path, fixture_dir):
+    import json as _json
+    import subprocess
+    import sys as _sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo,
+               PYSPARK_SUBMIT_ARGS="--conf spark.ui.enabled=false --conf spark.ui.showConsoleProgress=false pyspark-shell")
+    run = subprocess.run([_sys.executable, "-m", "ledgerlake", "run", "--input", str(fixture_dir),
+                          "--warehouse", str(tmp_path / "wh"), "--file", "products.xml"],
+                         capture_output=True, text=True, timeout=600, env=env, cwd=str(tmp_path))
+    assert run.returncode == 0, run.stderr[-2000:]
+    out = _json.loads(run.stdout[run.stdout.index("{"):])
+    assert out["rows_loaded"] == 5 and out["table_name"] == "products"
