@@ -70,3 +70,40 @@ def test_hot_product_share(spark):
                                          F.concat(F.lit("p"), F.col("id")).alias("product_name"))
     rows = {r.product_name: r.pct_of_max for r in A.share_of_max(A.revenue_by_product(products, orders)).collect()}
     assert rows["p7"] == 100.0 and all(v < 100.0 for k, v in rows.items() if k != "p7")
+
+
+def test_hot_order_key_split_by_aqe_skew_join(spark, tmp_path):
+    from ledgerlake.sources import tables as V
+    d = str(tmp_path / "skewed")
+    n = 40000
+    # lineitem-like facts: order 0 holds half of all lines; orders: one row per order
+    spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).cast("long").alias("l_orderkey"),
+        (F.col("id") % 50).alias("l_partkey"), F.lit(1).cast("long").alias("l_suppkey"),
+        (F.col("id") % 7).cast("int").alias("l_linenumber"), F.lit(2.0).alias("l_quantity"),
+        F.lit(10.5).alias("l_extendedprice"),
+    ).repartition(8).write.parquet(f"{d}/lineitem.parquet")
+    spark.range(n).select(F.col("id").alias("o_orderkey"), (F.col("id") % 100).alias("o_custkey"),
+                          F.lit("2025-01-01").cast("timestamp_ntz").alias("o_orderdate")
+                          ).repartition(8).write.parquet(f"{d}/orders.parquet")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = V.orders_view(spark, d)
+        assert df.count() == n
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan  # hot key split
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
