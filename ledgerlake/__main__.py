@@ -3,6 +3,7 @@
     run       --input DIR --warehouse DIR [--file NAME] [--entity customers|orders|products] [--processed DIR]
     load-all  --processed DIR --warehouse DIR
     verify    --expect TABLE=ROWS [TABLE=ROWS ...]
+    status    --warehouse DIR
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master, memory
 and ``spark.checkpoint.dir`` are whatever the submitter configured; the Spark web
@@ -37,6 +38,8 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--warehouse", required=True)
     verify = sub.add_parser("verify", help="compare table row counts with expected counts")
     verify.add_argument("--expect", nargs="+", required=True, metavar="TABLE=ROWS")
+    status = sub.add_parser("status", help="the latest run record")
+    status.add_argument("--warehouse", required=True)
     return p
 
 
@@ -55,6 +58,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                              processed_dir=args.processed, entity=args.entity, multi_line=args.multi_line)
         out = {k: res[k] for k in ("source_file", "processed_file", "table_name", "rows_loaded", "status")}
         out.update(raw_report=res["raw_report"], processed_report=res["processed_report"])
+    elif args.command == "status":
+        rows = P.pipeline_status(spark, args.warehouse).collect()
+        out = rows[0].asDict() if rows else {"status": "never run"}
     elif args.command == "load-all":
         out = {r.table_name: r.total_rows for r in P.load_all_tables(spark, args.processed, args.warehouse).collect()}
     else:

@@ -74,6 +74,12 @@ def read_run_records(spark: SparkSession, warehouse_root: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).parquet(os.path.join(warehouse_root, RUNS_TABLE))
 
 
+def pipeline_status(spark: SparkSession, warehouse_root: str) -> DataFrame:
+    """The latest run record (status of the last run): a top-1 over the run log."""
+    from pyspark.sql import functions as F
+    return read_run_records(spark, warehouse_root).orderBy(F.desc("started_at"), F.desc("run_id")).limit(1)
+
+
 def process_dataset(spark: SparkSession, path: str, name: str, warehouse_root: str,
                     processed_dir: str | None = None, entity: str | None = None,
                     multi_line: bool | None = None) -> dict:

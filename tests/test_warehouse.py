@@ -102,6 +102,8 @@ def test_command_line(spark, tmp_path, fixture_dir, capsys):
     assert out["rows_loaded"] == 10 and out["table_name"] == "orders" and out["status"] == "success"
     ver = main(["verify", "--expect", "orders=10"], spark)
     assert ver["passed"] is True
+    st = main(["status", "--warehouse", wh], spark)
+    assert st["status"] == "success" and st["source_file"] == "orders.json" and st["rows_loaded"] == 10
     assert '"rows_loaded": 10' in capsys.readouterr().out
 
 
