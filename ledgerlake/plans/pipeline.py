@@ -143,3 +143,12 @@ def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str
             load_csv(spark, datasets[name], multi_line=True, mode="FAILFAST").alias(t))
         W.load_table(spark, df, t, os.path.join(warehouse_root, t))
     return W.table_counts(spark, list(tables))
+
+
+def create_warehouse_views(spark: SparkSession, customers: str = "customers", orders: str = "orders",
+                           products: str = "products") -> list[str]:
+    """Register the four analytics views (business_summary, customer_analytics,
+    sales_analytics, product_analytics) over the loaded warehouse tables."""
+    from ledgerlake.operators.analytics import create_analytics_views
+    return create_analytics_views(W.read_table(spark, customers), W.read_table(spark, orders),
+                                  W.read_table(spark, products))

@@ -145,3 +145,18 @@ def test_command_line_as_a_process(tmp_path, fixture_dir):
     assert run.returncode == 0, run.stderr[-2000:]
     out = _json.loads(run.stdout[run.stdout.index("{"):])
     assert out["rows_loaded"] == 5 and out["table_name"] == "products"
+
+
+def test_typed_loads_then_warehouse_views(spark, tmp_path, fixture_dir):
+    wh = str(tmp_path / "wh")
+    for name, entity in (("customers.csv", "customers"), ("orders.json", "orders"), ("products.xml", "products")):
+        assert P.run_pipeline(spark, str(fixture_dir), wh, selected=name, entity=entity)["status"] == "success"
+    rows = {r.table_name: (r.actual_rows, r.matches) for r in W.verify_tables(
+        spark, {"customers": 14, "orders": 10, "products": 5}).collect()}
+    assert rows == {"customers": (14, True), "orders": (10, True), "products": (5, True)}
+    P.create_warehouse_views(spark)
+    b = spark.sql("SELECT * FROM business_summary").first()
+    assert (b.total_customers, b.total_orders, b.total_units_sold, b.total_revenue, b.average_order_value) == \
+        (14, 10, 23, 6509.77, 650.98)
+    assert spark.sql("SELECT count(*) FROM customer_analytics WHERE total_orders = 0").first()[0] == 4
+    assert spark.sql("SELECT total_revenue FROM product_analytics WHERE product_name = 'Laptop'").first()[0] == 2399.97
