@@ -160,3 +160,11 @@ def test_typed_loads_then_warehouse_views(spark, tmp_path, fixture_dir):
         (14, 10, 23, 6509.77, 650.98)
     assert spark.sql("SELECT count(*) FROM customer_analytics WHERE total_orders = 0").first()[0] == 4
     assert spark.sql("SELECT total_revenue FROM product_analytics WHERE product_name = 'Laptop'").first()[0] == 2399.97
+
+
+def test_load_all_tables_fails_fast_on_a_malformed_csv(spark, tmp_path):
+    d = tmp_path / "proc" / "bad_processed.csv"
+    d.mkdir(parents=True)
+    (d / "part-00000.csv").write_text("a,b\n1,2\n3,4,5\n")  # a row with one field too many
+    with pytest.raises(Exception):
+        P.load_all_tables(spark, str(tmp_path / "proc"), str(tmp_path / "wh"))
