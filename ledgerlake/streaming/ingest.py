@@ -63,14 +63,17 @@ def clean_stream(stream: DataFrame, entity: str, event_time: str | None = None,
 
 def ingest(spark: SparkSession, input_dir: str, entity: str, table_path: str, name: str | None = None,
            fmt: str = "json", event_time: str | None = None, watermark: str = "7 days",
-           checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+           checkpoint: str | None = None, available_now: bool = True,
+           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append newly landed ``entity`` records from ``input_dir`` to the Parquet table
     at ``table_path``. Returns the started query (``awaitTermination()`` it when
-    ``available_now``)."""
+    ``available_now``). ``max_files_per_trigger`` bounds each micro-batch, so a large
+    backlog is worked off in several batches instead of one."""
     name = name or f"ingest_{entity}"
     if checkpoint is None:
         checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-    out = clean_stream(read_landed(spark, input_dir, entity, fmt), entity, event_time, watermark)
+    stream = read_landed(spark, input_dir, entity, fmt, max_files_per_trigger=max_files_per_trigger)
+    out = clean_stream(stream, entity, event_time, watermark)
     writer = (out.writeStream.format("parquet").option("path", table_path)
               .option("checkpointLocation", checkpoint).queryName(name).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

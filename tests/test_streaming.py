@@ -32,3 +32,14 @@ def test_ingest_csv_customers(spark, tmp_path):
     rows = {r.customer_id: r for r in spark.read.parquet(table).collect()}
     assert rows[1].name == "Ann" and rows[1].email == "a@x.com"
     assert rows[2].email is None and rows[2].signup_date is None
+
+
+def test_backlog_in_bounded_batches(spark, tmp_path):
+    land, table = tmp_path / "land", str(tmp_path / "t")
+    land.mkdir()
+    for i in range(4):
+        (land / f"f{i}.json").write_text(_orders([10 * i + 1, 10 * i + 2]))
+    q = ingest(spark, str(land), "orders", table, checkpoint=str(tmp_path / "ck"), max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 2  # one file per batch
+    assert spark.read.parquet(table).count() == 8
