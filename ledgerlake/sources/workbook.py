@@ -142,7 +142,8 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def workbook_cells(spark: SparkSession, path: str) -> DataFrame:
     """path, row_no, cells for every sheet row of every ``.xlsx`` under ``path``
     (``~$`` lock files skipped)."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
+    # case-insensitive extension match at listing time: other files' bytes are never read
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]").load(path)
              .filter(~F.regexp_extract("path", r"([^/]+)$", 1).startswith("~$"))
              .select("path", "content"))
     return files.mapInPandas(_cells, CELLS_SCHEMA)

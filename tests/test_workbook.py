@@ -54,7 +54,7 @@ def test_load_workbooks_union_and_types(spark, tmp_path):
     d = tmp_path / "books"
     d.mkdir()
     write_xlsx(d / "a.xlsx", ["order_id", "city", "day"], [[1, "Paris", (45748, 1)], [2, None, (45749, 1)]])
-    write_xlsx(d / "b.xlsx", ["order_id", "amount"], [[3, 9.5]])
+    write_xlsx(d / "b.XLSX", ["order_id", "amount"], [[3, 9.5]])  # extensions match case-insensitively
     (d / "~$a.xlsx").write_bytes(b"lock")
     df = load_workbooks(spark, str(d))
     types = dict(df.dtypes)
@@ -62,7 +62,7 @@ def test_load_workbooks_union_and_types(spark, tmp_path):
     rows = {r.order_id: r for r in df.collect()}
     assert rows[1].city == "Paris" and rows[1].day == dt.date(2025, 4, 1)
     assert rows[2].city is None and rows[3].amount == 9.5 and rows[3].day is None
-    assert load_file(spark, str(d / "b.xlsx")).count() == 1
+    assert load_file(spark, str(d / "b.XLSX")).count() == 1
 
 
 def test_workbook_without_rows(spark, tmp_path):
