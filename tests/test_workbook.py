@@ -84,3 +84,17 @@ def test_repeated_and_blank_headers(spark, tmp_path):
     df = load_workbooks(spark, str(p))
     assert df.columns == ["a", "a.1", "a.2", "b"]  # named in header order, columns in name order
     assert df.first().asDict() == {"a": 1, "a.1": 2, "a.2": 4, "b": 3}
+
+
+def test_workbook_through_the_generic_pipeline(spark, tmp_path):
+    from ledgerlake.plans import pipeline as P
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    write_xlsx(inbox / "Sales Book.xlsx", ["Order ID", "City", "Order Date"],
+               [[1, " Paris ", (45748, 1)], [1, "Paris", (45748, 1)], [2, "Rome", (45749, 1)]])
+    res = P.run_pipeline(spark, str(inbox), str(tmp_path / "wh"))
+    assert res["table_name"] == "sales_book" and res["rows_loaded"] == 2  # trimmed copies collapse
+    assert res["raw_report"]["row_count"] == 3
+    loaded = spark.table("sales_book").drop("_ingest_date")
+    assert loaded.columns == ["city", "order_date", "order_id"]
+    assert dict(loaded.dtypes)["order_date"] == "date"
