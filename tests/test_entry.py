@@ -67,3 +67,21 @@ def test_result_types_match_the_sql_twins(spark):
                        for f in q(spark, SF).schema.fields}
         rel = con.sql(E.oracle_sql()[key])
         assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}, key
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_QUERIES="sales_analytics", BENCH_REPEAT="1", BENCH_CPUS="2",
+               BENCH_DRIVER_MEMORY="2g")
+    res = subprocess.run([sys.executable, os.path.join(repo, "bench.py")], capture_output=True, text=True,
+                         timeout=600, env=env, cwd=str(tmp_path))
+    assert res.returncode == 0, res.stderr[-2000:]
+    lines = [ln for ln in res.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    out = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(out) and out["unit"] == "sec"
+    assert set(out["queries"]) == {"sales_analytics"} and out["sf"] == 0.001
