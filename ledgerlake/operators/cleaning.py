@@ -65,7 +65,14 @@ def dedupe_by_key(df: DataFrame, keys: list[str] | tuple[str, ...], order_by: li
     order = [c for c in (order_by or rest) if c in rest]
     order += [c for c in rest if c not in order]
     fields = {c: f"f{i}" for i, c in enumerate(order)}
-    best = F.min(F.struct(*[_c(c).alias(fields[c]) for c in order])).alias("_best")
+    row = F.struct(*[_c(c).alias(fields[c]) for c in order])
+    maps = [c for c in order if has_map(df.schema[c].dataType)]
+    if maps:
+        # maps cannot be compared: order by their JSON text, carry the values unchanged
+        ordering = F.struct(*[(F.to_json(_c(c)) if c in maps else _c(c)).alias(fields[c]) for c in order])
+        best = F.min_by(row, ordering).alias("_best")
+    else:
+        best = F.min(row).alias("_best")
     picked = df.groupBy(*[_c(k) for k in keys]).agg(best)
     return picked.select(*[
         _c(c) if c in keys else F.col(f"_best.{fields[c]}").alias(c) for c in df.columns

@@ -126,3 +126,9 @@ def test_spaces_fixture_generic_and_typed(spark, tmp_path):
     assert typed[2].email == "" and typed[2].signup_date is None  # typed cleaners keep '' ; bad date -> NULL
     rep = report_as_dict(generate_customer_quality_report(raw))
     assert rep["dates"]["unparsable_counts"] == {"signup_date": 1}
+
+
+def test_dedupe_with_map_column(spark):
+    df = spark.createDataFrame([(1, {"b": 1}, 5), (1, {"a": 9}, 7), (2, None, 1)], "k int, m map<string,int>, n int")
+    out = {r["k"]: (r["m"], r["n"]) for r in C.dedupe_by_key(df, ["k"]).collect()}
+    assert out == {1: ({"a": 9}, 7), 2: (None, 1)}  # '{"a":9}' sorts before '{"b":1}'
