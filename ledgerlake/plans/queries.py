@@ -509,6 +509,36 @@ ORACLE["clean_dataframe"] = O.with_views("customers_dirty_v") + "SELECT DISTINCT
 QUERIES["clean_dataframe"] = q_clean_dataframe
 
 
+# --- share of maximum for the other two dashboard series (A-09 over A-06 and A-08) ----------
+
+def q_revenue_by_customer_share(s, d):
+    return A.share_of_max(A.revenue_by_customer(_cust(s, d), _ord(s, d)))
+
+
+def q_revenue_over_time_share(s, d):
+    return A.share_of_max(A.revenue_over_time(_ord(s, d)))
+
+
+_REV_BY_CUSTOMER = f"""
+SELECT c.customer_id, c.name AS customer_name, COALESCE({M}, 0.0) AS total_revenue
+FROM customers_v c LEFT JOIN orders_v o ON c.customer_id = o.customer_id
+GROUP BY c.customer_id, c.name"""
+
+_REV_OVER_TIME = f"""
+SELECT order_date, {O.money(AMT_SUM)} AS total_revenue FROM orders_v GROUP BY order_date"""
+
+_SHARE = """
+SELECT *, COALESCE(total_revenue / (SELECT CASE WHEN MAX(total_revenue) > 0 THEN MAX(total_revenue) END FROM r)
+                   * 100, 0.0) AS pct_of_max
+FROM r"""
+
+ORACLE["revenue_by_customer_share"] = O.with_views("customers_v", "orders_v") + f", r AS ({_REV_BY_CUSTOMER})" + _SHARE
+ORACLE["revenue_over_time_share"] = O.with_views("orders_v") + f", r AS ({_REV_OVER_TIME})" + _SHARE
+
+QUERIES["revenue_by_customer_share"] = q_revenue_by_customer_share
+QUERIES["revenue_over_time_share"] = q_revenue_over_time_share
+
+
 # --- presentation on both sides ---------------------------------------------------------
 
 # DATE columns of each raw result (checked against the Spark schemas by a test).
@@ -516,6 +546,7 @@ DATE_OUTPUTS: dict[str, list[str]] = {
     "sales_analytics": ["order_date"],
     "revenue_over_time": ["order_date"],
     "revenue_over_time_labels": ["order_date"],
+    "revenue_over_time_share": ["order_date"],
     "customer_analytics": ["signup_date"],
     "first_orders": ["order_date"],
     "clean_customers": ["signup_date"],
