@@ -142,3 +142,12 @@ def test_pre_aggregated_left_join_equals_join_then_group(spark, custs, orders):
     expect = sorted(((cid, name, float(groups[(cid, name)] or 0) + 0.0) for cid, name in keys),
                     key=lambda t: repr(t[:2]))
     assert got == expect
+
+
+@given(name=st.text(alphabet="aB9 _-.$()", max_size=12))
+def test_table_names_are_identifiers(name):
+    import re
+
+    from ledgerlake.functions.naming import normalize_table_name
+    t = normalize_table_name(name + "_processed.csv")
+    assert re.fullmatch(r"[a-z_][a-z0-9_]*", t) and not t[0].isdigit()
