@@ -8,12 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.common import table
 from ledgerlake.llm.exact_dedup import exact_dedup
+from ledgerlake.llm.secret_scan import digest as secret_digest
+from ledgerlake.llm.secret_scan import scan, scan_sql
 from ledgerlake.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(scan(table(spark, sf_dir, "documents")))
+
+
+ORACLE["op4_secret_scan"] = scan_sql()
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -28,4 +37,4 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES |= {f.__name__: f for f in (op6_exact_dedup, op8_simhash)}
+QUERIES |= {f.__name__: f for f in (op4_secret_scan, op6_exact_dedup, op8_simhash)}
