@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlake.llm import language_id, packing
 from ledgerlake.llm.common import table
 from ledgerlake.llm.exact_dedup import exact_dedup
 from ledgerlake.llm.secret_scan import digest as secret_digest
@@ -16,6 +18,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Names of the public tokenizer files; see :func:`tokenizer_path`.
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer file lies, on the driver and on every executor alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def fold(docs: DataFrame, folds: int) -> Column:
+    """The fold of a document; null for a null id."""
+    return F.crc32(docs["doc_id"].cast("string").cast("binary")) % folds
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, fold(docs, 3) != 1)
+    out = language_id.predict(docs.select("doc_id", "text", (fold(docs, 3) == 1).alias("held_out")), model)
+    return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(scan(table(spark, sf_dir, "documents")))
 
@@ -37,4 +62,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES |= {f.__name__: f for f in (op4_secret_scan, op6_exact_dedup, op8_simhash)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE)))
+
+
+def packing_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
+QUERIES |= {f.__name__: f for f in (
+    op1_language_id, op4_secret_scan, op6_exact_dedup, op8_simhash, op10_packing)}
