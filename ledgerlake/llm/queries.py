@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import language_id, packing
+from ledgerlake.llm import language_id, packing, trie_bpe
 from ledgerlake.llm.common import table
 from ledgerlake.llm.exact_dedup import exact_dedup
 from ledgerlake.llm.secret_scan import digest as secret_digest
@@ -41,6 +41,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+def op2_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path(WORD_BPE)
+    out = trie_bpe.decode(trie_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(scan(table(spark, sf_dir, "documents")))
 
@@ -72,4 +80,4 @@ def packing_digest(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (
-    op1_language_id, op4_secret_scan, op6_exact_dedup, op8_simhash, op10_packing)}
+    op1_language_id, op2_trie_bpe, op4_secret_scan, op6_exact_dedup, op8_simhash, op10_packing)}
