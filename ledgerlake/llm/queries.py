@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import language_id, packing, trie_bpe
+from ledgerlake.llm import ann, chat_format, language_id, packing, trie_bpe
 from ledgerlake.llm.common import table
 from ledgerlake.llm.exact_dedup import exact_dedup
 from ledgerlake.llm.secret_scan import digest as secret_digest
@@ -66,10 +66,29 @@ SELECT doc_id, MAX(doc_id) OVER same AS keep_id, COUNT(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY COALESCE(text, ''))"""
 
 
+def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts hold control strings of usual templates.
+HARD_TURNS = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = given.unionByName(spark.createDataFrame(HARD_TURNS, "conv_id bigint, turn bigint, role string, text string"))
+    return chat_format.digest(chat_format.read_back(chat_format.format_conversations(turns)))
+
+
+ORACLE["op9_chat_format"] = chat_format.digest_sql(
+    "SELECT conv_id, turn, role, text FROM conversations UNION ALL FROM (VALUES "
+    + ", ".join("({}, {}, '{}', '{}')".format(*x) for x in HARD_TURNS) + ")")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_digest(packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE)))
 
@@ -80,4 +99,5 @@ def packing_digest(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (
-    op1_language_id, op2_trie_bpe, op4_secret_scan, op6_exact_dedup, op8_simhash, op10_packing)}
+    op1_language_id, op2_trie_bpe, op4_secret_scan, op6_exact_dedup, op7_learned_partitions, op8_simhash,
+    op9_chat_format, op10_packing)}
