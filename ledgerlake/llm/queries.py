@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ann, chat_format, language_id, packing, trie_bpe
+from ledgerlake.llm import ann, chat_format, language_id, packing, quality, trie_bpe
 from ledgerlake.llm.common import table
 from ledgerlake.llm.exact_dedup import exact_dedup
 from ledgerlake.llm.secret_scan import digest as secret_digest
@@ -49,6 +49,12 @@ def op2_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality.classify(docs, labels, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    return found.select("doc_id", (fold(found, 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(scan(table(spark, sf_dir, "documents")))
 
@@ -99,5 +105,5 @@ def packing_digest(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (
-    op1_language_id, op2_trie_bpe, op4_secret_scan, op6_exact_dedup, op7_learned_partitions, op8_simhash,
+    op1_language_id, op2_trie_bpe, op3_quality, op4_secret_scan, op6_exact_dedup, op7_learned_partitions, op8_simhash,
     op9_chat_format, op10_packing)}
