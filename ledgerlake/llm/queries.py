@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ann, chat_format, language_id, packing, quality, trie_bpe
+from ledgerlake.llm import ann, chat_format, language_id, lm_score, packing, quality, trie_bpe
 from ledgerlake.llm.common import table
 from ledgerlake.llm.exact_dedup import exact_dedup
 from ledgerlake.llm.secret_scan import digest as secret_digest
@@ -62,6 +62,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op4_secret_scan"] = scan_sql()
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lm_score.score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1)
+    return found.select("doc_id", (fold(found, 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -105,5 +112,6 @@ def packing_digest(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (
-    op1_language_id, op2_trie_bpe, op3_quality, op4_secret_scan, op6_exact_dedup, op7_learned_partitions, op8_simhash,
+    op1_language_id, op2_trie_bpe, op3_quality, op4_secret_scan, op5_lm_score,
+    op6_exact_dedup, op7_learned_partitions, op8_simhash,
     op9_chat_format, op10_packing)}
