@@ -1,0 +1,64 @@
+import hashlib
+from collections import defaultdict
+
+import pytest
+
+from ledgerlake.llm.exact_dedup import exact_dedup, filter_blocks, keep_one_copy, mark_repeats, repeat_filter
+from tests.llm.cases import SCHEMA, hard_docs, hard_rows, no_docs, row
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[1] or ""].append(r[0])
+    out = []
+    for r in rows:
+        ids = groups[r[1] or ""]
+        keep = max((i for i in ids if i is not None), default=None)
+        out.append((r[0], keep, len(ids), r[0] == keep, hashlib.sha256((r[1] or "").encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bits", [1 << 28, 1 << 15])
+def test_matches_brute_force(spark, bits):
+    found = exact_dedup(hard_docs(spark), max_filter_bits=bits)
+    assert found.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(hard_rows())
+
+
+def test_empty_table(spark):
+    assert exact_dedup(no_docs(spark)).collect() == []
+    assert keep_one_copy(no_docs(spark)).collect() == []
+
+
+def test_kept_rows_are_whole(spark):
+    docs = hard_docs(spark)
+    kept = keep_one_copy(docs)
+    assert kept.schema == docs.schema
+    want = {(r[0], r[1]) for r in hard_rows()} & {
+        (r[0], r[1]) for r in hard_rows() for b in [next(x for x in brute(hard_rows()) if x[0] == r[0]
+         and x[4] == hashlib.sha256((r[1] or "").encode()).hexdigest())] if b[3]}
+    assert {(r["doc_id"], r["text"]) for r in kept.collect()} == want
+
+
+def test_a_text_that_fills_a_third_of_the_rows(spark):
+    rows = [row(k, "the very same" if k % 3 == 0 else f"text {k}") for k in range(6000)]
+    found = exact_dedup(spark.createDataFrame(rows, SCHEMA).repartition(8))
+    assert found.filter("kept").count() == 4001
+    assert {(r["keep_id"], r["group_size"]) for r in found.filter("group_size > 1").collect()} == {(5997, 2000)}
+
+
+def test_the_filter_lets_single_texts_pass(spark):
+    rows = [row(k, f"text {k % 4900}") for k in range(5000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    keys = docs.selectExpr("doc_id", "unhex(sha2(text, 256)) AS sha", "xxhash64(text) AS hash")
+    blocks = filter_blocks(5000)
+    marked = mark_repeats(keys, repeat_filter(keys, blocks), blocks)
+    again = {r["doc_id"] for r in marked.filter("again").collect()}
+    assert {k for k in range(5000) if k < 100 or k >= 4900} <= again  # none of the repeated rows is missed
+    assert len(again) < 200 + 100
+
+
+def test_runs_without_python(spark):
+    plan = exact_dedup(hard_docs(spark))._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
