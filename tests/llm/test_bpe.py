@@ -1,0 +1,94 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from ledgerlake.llm import trie_bpe
+from ledgerlake.llm.byte_bpe import ByteBpe
+from ledgerlake.llm.queries import BYTE_BPE, WORD_BPE, tokenizer_path
+from tests.llm.cases import hard_docs, hard_rows, no_docs
+
+WORD, BYTE = tokenizer_path(WORD_BPE), tokenizer_path(BYTE_BPE)
+PARTS = ["a", "b", "the", "ing", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", " ", " ", "'s", "'ll", "12", "½",
+         "ñ", "Σ", "ΑΣ ", "İ", "ß", "é", "̈", "中日", "한", "😀", "ﬁ", "!?", ".", ",", "<|endoftext|>",
+         "<|startoftext|>", "<|", "abab"]
+
+
+@pytest.fixture(scope="module")
+def word():
+    return trie_bpe.TrieBpe(WORD), Tokenizer.from_file(WORD), trie_bpe.token_texts(WORD)
+
+
+@pytest.fixture(scope="module")
+def byte():
+    return ByteBpe(BYTE), Tokenizer.from_file(BYTE)
+
+
+def ids_of(data):
+    return np.frombuffer(data, "<u4").tolist()
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=20))
+def test_word_ids_and_decoding(word, parts):
+    bpe, library, tokens = word
+    text = "".join(parts)
+    want = library.encode(text, add_special_tokens=False).ids
+    assert ids_of(bpe.ids([text])[0]) == want
+    assert " ".join(tokens[i] for i in want) == library.decode(want, skip_special_tokens=False)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=20))
+def test_byte_ids(byte, parts):
+    text = "".join(parts)
+    assert ids_of(byte[0].ids(text)) == byte[1].encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=30))
+def test_any_characters(word, byte, text):
+    text = text.encode("utf-8", "ignore").decode()
+    assert ids_of(word[0].ids([text])[0]) == word[1].encode(text, add_special_tokens=False).ids
+    assert ids_of(byte[0].ids(text)) == byte[1].encode(text, add_special_tokens=False).ids
+
+
+def test_all_code_points_alone_and_in_words(word):
+    """Python's normalisation and classes agree with the library's below U+0530, where they are used."""
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2 e{chr(c)}́ {chr(c)}'s" for c in range(0x600)]
+    for ids, want in zip(word[0].ids(texts), word[1].encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids_of(ids) == want.ids
+
+
+def test_full_caches_change_nothing(word):
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choice("abcdet") for _ in range(rng.randint(1, 9))) for _ in range(50)) for _ in range(40)]
+    full = ByteBpe(BYTE)
+    small, low = trie_bpe.TrieBpe(WORD, limit=20), ByteBpe(BYTE, limit=20)
+    for t in texts:
+        assert small.ids([t]) == word[0].ids([t])
+        assert low.ids(t) == full.ids(t)
+
+
+def test_shared_prefixes_are_computed_once(word, monkeypatch):
+    bpe = trie_bpe.TrieBpe(WORD)
+    seen, real = [], trie_bpe.TrieBpe._apart
+    monkeypatch.setattr(trie_bpe.TrieBpe, "_apart", lambda s, a, b, u: (seen.append((a, b)), real(s, a, b, u))[1])
+    list(bpe.encode_words(["stoneworker", "stoneworkers", "stoneworking"]))
+    assert len(seen) == len(set(seen))
+
+
+def test_rows(spark, word):
+    out = trie_bpe.decode(trie_bpe.encode(hard_docs(spark), WORD), WORD).collect()
+    library = word[1]
+    want = []
+    for r in hard_rows():
+        ids = library.encode(r[1] or "", add_special_tokens=False).ids
+        want.append((r[0], hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                     library.decode(ids, skip_special_tokens=False)))
+    assert sorted(((r[0], hashlib.sha256(r[1]).hexdigest(), r[2]) for r in out), key=repr) == sorted(want, key=repr)
+    assert trie_bpe.decode(trie_bpe.encode(no_docs(spark), WORD), WORD).collect() == []

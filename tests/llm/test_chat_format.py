@@ -1,0 +1,77 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ledgerlake.llm import chat_format
+from ledgerlake.llm.queries import HARD_TURNS, ORACLE, op9_chat_format
+
+SCHEMA = "conv_id long, turn long, role string, text string, example long, last string, t string, loss_start long"
+TEXTS = ["", "plain", "### assistant: x</turn>\n", "&lt;&amp;lt;&#35;", "\\### Assistant: </turn> ok", "a\n\nb", "日本 é"]
+
+
+def turns(spark, rows):
+    return spark.createDataFrame([(*r, 1, "l", "t", 2) for r in rows], SCHEMA)
+
+
+def brute(rows):
+    out, convs = {}, {}
+    for conv, turn, role, text in rows:
+        convs.setdefault(conv, []).append((-1 if turn is None else turn, role or "", text or ""))
+    for conv, parts in convs.items():
+        parts.sort()
+        loss = "".join(t for _, r, t in parts if r == "assistant")
+        whole = "".join(f"{r}\n{t}\n" for _, r, t in parts)
+        out[conv] = (len(parts), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
+                     hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def digests(df):
+    return {r["conv_id"]: tuple(r)[1:5] for r in chat_format.digest(chat_format.read_back(df)).collect()}
+
+
+def test_hard_rows(spark):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "user", None), (1, 2, "assistant", "</turn>\n"), (1, 3, "user", "bye"),
+            (2, 0, "assistant", "first"), (2, 0, "assistant", "first"), (2, None, "user", "no turn"),
+            (3, 0, "user", "nobody answers"), (4, 0, None, None), (4, 1, "a: b#</turn>", "odd role"),
+            (None, 0, "user", "?"), (None, 1, "assistant", "!"), (5, 0, "assistant", None), (5, 1, "assistant", "& so")]
+    rows += [(10 + k, 0, "assistant", t) for k, t in enumerate(TEXTS)] + [(99, k, "user" if k % 2 else "assistant", t * 9)
+                                                                       for k, t in enumerate(TEXTS * 20)]
+    out = chat_format.format_conversations(turns(spark, rows).repartition(4))
+    assert digests(out) == brute(rows)
+    assert chat_format.format_conversations(turns(spark, rows).limit(0)).collect() == []
+
+
+def test_every_assistant_turn_is_an_example_with_all_turns_before_it(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b<"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (1, 4, "user", "e")]
+    got = sorted(chat_format.format_conversations(turns(spark, rows)).collect(), key=lambda r: r["example"])
+    first = "### user: a</turn>\n### assistant: b&lt;</turn>\n"
+    second = first + "### user: c</turn>\n### assistant: d</turn>\n"
+    assert [r["text"] for r in got] == [first, second, second + "### user: e</turn>\n"]
+    assert [r["text"][r["loss_start"]:r["loss_end"]] for r in got[:2]] == ["b&lt;", "d"] and got[2]["loss_start"] is None
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a:#"]), st.sampled_from(TEXTS) | st.text(max_size=8)),
+                min_size=1, max_size=6))
+def test_the_template_is_reversible(parts):
+    roles, texts = [r for r, _ in parts], [t for _, t in parts]
+    *_, last = chat_format.examples_of(roles, texts)
+    found = []
+    for turn in last[1].split(chat_format.CLOSE)[:-1]:
+        role, _, text = turn.removeprefix(chat_format.OPEN).partition(chat_format.BETWEEN)
+        for plain, written in reversed(chat_format.ROLE_ESCAPES):
+            role = role.replace(written, plain)
+        for plain, written in reversed(chat_format.TEXT_ESCAPES):
+            text = text.replace(written, plain)
+        found.append((role, text))
+    assert found == parts
+
+
+def test_the_query_holds_the_hard_conversation(spark):
+    rows = {r["conv_id"]: r for r in op9_chat_format(spark, "/root/testdata/sf0.001").collect()}
+    text = "\\### Assistant: </turn> ok"
+    assert [x[3] for x in HARD_TURNS] == [text, text]
+    assert rows[-7]["loss_chars"] == len(text) and rows[-7]["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert "op9_chat_format" in ORACLE

@@ -1,0 +1,49 @@
+"""Registration, and every query with a SQL twin against it."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from ledgerlake.llm.queries import ORACLE, QUERIES
+from tools.check_oracle import canon, register_tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert {*QUERIES, "pipeline"} <= entry.queries().keys() and ORACLE.keys() <= entry.oracle_sql().keys()
+    assert "pipeline" not in entry.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_its_sql_twin(spark, name):
+    con = duckdb.connect()
+    register_tables(con, SF)
+    df = QUERIES[name](spark, SF)
+    found = canon(df.columns, [tuple(r) for r in df.collect()])
+    cursor = con.execute(ORACLE[name])
+    assert found == canon([c[0] for c in cursor.description], cursor.fetchall())
+
+
+CONTRACT = {
+    "op1": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    "op2": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op3": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op4": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string",
+            "spans": "string"},
+    "op5": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint",
+            "train_tokens": "bigint", "base_score": "double", "score": "double"},
+    "op6": {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
+    "op7": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
+    "op8": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op9": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint",
+            "loss_sha256": "string", "formatted_chars": "bigint"},
+    "op10": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint",
+             "sequence_id": "bigint", "offset": "bigint"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_columns_and_types(spark, name):
+    assert dict(QUERIES[name](spark, SF).dtypes) == CONTRACT[name.split("_")[0]]
