@@ -20,7 +20,6 @@ from ledgerlake.plans.pipeline import load_all_tables, run_pipeline
 from ledgerlake.sinks.warehouse import load_table, save_as_csv, verify_tables
 from ledgerlake.sources.catalog import find_selected_file, list_input_files
 from ledgerlake.sources.files import load_csv, load_file, load_json, load_xml, load_xml_dynamic
-from ledgerlake.sources.workbook import load_workbooks
 
 __version__ = "0.1.0"
 
@@ -30,7 +29,7 @@ __all__ = [
     "clean_strings", "customer_analytics", "dashboard_summary", "dedupe_by_key", "drop_duplicate_rows",
     "find_selected_file", "first_orders", "generate_customer_quality_report", "generate_order_quality_report",
     "generate_product_quality_report", "generate_quality_report", "list_input_files", "load_all_tables",
-    "load_csv", "load_file", "load_json", "load_table", "load_workbooks", "load_xml", "load_xml_dynamic",
+    "load_csv", "load_file", "load_json", "load_table", "load_xml", "load_xml_dynamic",
     "normalize_column_name", "normalize_columns", "normalize_table_name", "product_analytics", "reject_orders",
     "report_as_dict", "revenue_by_customer", "revenue_by_product", "revenue_over_time", "run_pipeline",
     "sales_analytics", "save_as_csv", "share_of_max", "verify_tables",

@@ -7,18 +7,17 @@
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master, memory
 and ``spark.checkpoint.dir`` are whatever the submitter configured; the Spark web
-UI stays off unless ``LEDGERLAKE_SPARK_UI=1``. Results are printed as one JSON
-document.
+UI is off. Results are printed as one JSON document.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
-import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -31,8 +30,12 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--entity", choices=["customers", "orders", "products"], default=None,
                      help="typed cleaning for this entity instead of the generic cleaner")
     run.add_argument("--processed", default=None, help="also write the processed CSV here")
-    run.add_argument("--multi-line", action="store_true", default=None,
-                     help="CSV with quoted newlines (each file becomes one task)")
+    run.add_argument("--one-line", action="store_true",
+                     help="the file has one record a line (no quoted newlines, JSON lines): read it in parallel")
+    run.add_argument("--schema", default=None, help="the input's columns and types, as DDL: nothing is inferred")
+    run.add_argument("--row-tags", nargs="+", default=None, metavar="TAG", help="record tags of an XML input")
+    run.add_argument("--root-tag", default=None, help="XML: records of documents with this root only")
+    run.add_argument("--num-files", type=int, default=None, help="files of the clustered table, default by size")
     load = sub.add_parser("load-all", help="load every *_processed.csv into its table")
     load.add_argument("--processed", required=True)
     load.add_argument("--warehouse", required=True)
@@ -47,15 +50,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     """Parse ``argv``, run the command, print and return its JSON result."""
     args = _parser().parse_args(argv)
     if spark is None:
-        # No web UI unless asked for (LEDGERLAKE_SPARK_UI=1): batch runs do not need the server.
-        ui = "true" if os.environ.get("LEDGERLAKE_SPARK_UI") == "1" else "false"
-        spark = SparkSession.builder.appName("ledgerlake").config("spark.ui.enabled", ui).getOrCreate()
+        spark = SparkSession.builder.appName("ledgerlake").config("spark.ui.enabled", "false").getOrCreate()
     from ledgerlake.plans import pipeline as P
     from ledgerlake.sinks import warehouse as W
 
     if args.command == "run":
-        res = P.run_pipeline(spark, args.input, args.warehouse, selected=args.file,
-                             processed_dir=args.processed, entity=args.entity, multi_line=args.multi_line)
+        options = {"multi_line": not args.one_line, "row_tags": args.row_tags, "root_tag": args.root_tag}
+        if args.schema:
+            options["schema"] = T.StructType.fromDDL(args.schema)
+        res = P.run_pipeline(spark, args.input, args.warehouse, selected=args.file, processed_dir=args.processed,
+                             entity=args.entity, num_files=args.num_files, **options)
         out = {k: res[k] for k in ("source_file", "processed_file", "table_name", "rows_loaded", "status")}
         out.update(raw_report=res["raw_report"], processed_report=res["processed_report"])
     elif args.command == "status":

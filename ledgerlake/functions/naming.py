@@ -6,14 +6,13 @@ DataFrame with ``toDF`` is a projection and starts no job.
 
 from __future__ import annotations
 
+import itertools
 import re
 from pathlib import PurePath
 
 from pyspark.sql import DataFrame
 
-_NON_WORD = re.compile(r"[^a-zA-Z0-9]+")
-_NON_WORD_KEEP_UNDERSCORE = re.compile(r"[^a-zA-Z0-9_]+")
-_UNDERSCORES = re.compile(r"_+")
+_SEPARATORS = re.compile(r"[\W_]+", re.ASCII)
 
 # Preferred clustering columns, in priority order, at most two chosen.
 CLUSTERING_PRIORITY = (
@@ -24,35 +23,35 @@ MAX_CLUSTERING_COLUMNS = 2
 PROCESSED_SUFFIX = "_processed"
 
 
-def _tidy(text: str, pattern: re.Pattern, empty: str, digit_prefix: str) -> str:
-    text = pattern.sub("_", text)
-    text = _UNDERSCORES.sub("_", text).strip("_")
-    if not text:
-        return empty
-    if text[0].isdigit():
-        return f"{digit_prefix}_{text}"
-    return text
+def _identifier(text: str, fallback: str) -> str:
+    """``text`` with every run of characters other than ASCII letters and digits as one ``_``, none at the ends.
+
+    Nothing left gives ``fallback``; a leading digit gets a prefix in front.
+    """
+    name = "_".join(part for part in _SEPARATORS.split(text.lower()) if part)
+    return name or fallback
+
+
+def _not_numeric(name: str, prefix: str) -> str:
+    return f"{prefix}_{name}" if name[0].isdigit() else name
 
 
 def normalize_column_name(name: object) -> str:
-    """``Order Date`` -> ``order_date``, ``Sales($)`` -> ``sales``, ``1st`` -> ``column_1st``."""
-    return _tidy(str(name).strip().lower(), _NON_WORD, "column", "column")
+    """``Ship Mode!`` -> ``ship_mode``, ``%`` -> ``column``, ``2nd try`` -> ``column_2nd_try``."""
+    return _not_numeric(_identifier(str(name), "column"), "column")
 
 
 def unique_names(names: list[str]) -> list[str]:
-    """Normalise names and make them unique: a second ``a`` becomes ``a_2`` and so on,
-    skipping any candidate that is already taken."""
-    taken: set[str] = set()
-    out: list[str] = []
-    for raw in names:
-        base = normalize_column_name(raw)
-        candidate, n = base, 2
-        while candidate in taken:
-            candidate = f"{base}_{n}"
-            n += 1
-        taken.add(candidate)
-        out.append(candidate)
-    return out
+    """Normalised names, made unique: repeats of ``a`` are numbered from ``a_2`` on, past names that are taken."""
+    bases = [normalize_column_name(n) for n in names]
+    numbers: dict[str, itertools.count] = {}
+    given: dict[str, None] = {}  # in order
+    for base in bases:
+        if base in given:
+            later = numbers.setdefault(base, itertools.count(2))
+            base = next(c for c in (f"{base}_{n}" for n in later) if c not in given)
+        given[base] = None
+    return list(given)
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -61,19 +60,14 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def normalize_table_name(file_name: str) -> str:
-    """Target table name for a processed file.
-
-    ``customers_processed.csv`` -> ``customers``; ``Sample - Superstore_processed.csv``
-    -> ``sample_superstore``; ``2024.csv`` -> ``table_2024``; ``___.csv`` -> ``dataset``.
-    """
-    stem = PurePath(file_name).stem
-    if stem.endswith(PROCESSED_SUFFIX):
-        stem = stem[: -len(PROCESSED_SUFFIX)]
-    return _tidy(stem.lower(), _NON_WORD_KEEP_UNDERSCORE, "dataset", "table")
+    """Target table of a processed file: ``Web Visits (May)_processed.csv`` -> ``web_visits_may``, ``7.csv`` ->
+    ``table_7``, a name without letters or digits -> ``dataset``."""
+    stem = PurePath(file_name).stem.removesuffix(PROCESSED_SUFFIX)
+    return _not_numeric(_identifier(stem, "dataset"), "table")
 
 
 def processed_file_name(source_name: str) -> str:
-    """``customers.csv`` -> ``customers_processed.csv``."""
+    """``visits.json`` -> ``visits_processed.csv``."""
     return f"{PurePath(source_name).stem}{PROCESSED_SUFFIX}.csv"
 
 

@@ -42,11 +42,19 @@ VIEW_SQL = {
   UNION ALL SELECT * FROM customers_base_v WHERE customer_id % 10 = 0
   UNION ALL SELECT customer_id, concat(' ', name), email, city, country, signup_date
             FROM customers_base_v WHERE customer_id % 17 = 0""",
+    "products_dirty_v": """
+  SELECT product_id, CASE WHEN product_id % 3 = 0 THEN concat(' ', product_name, '  ') ELSE product_name END AS product_name,
+         CASE WHEN product_id % 4 = 0 THEN concat(category, ' ') ELSE category END AS category
+  FROM products_v
+  UNION ALL SELECT product_id, concat('zz ', product_name),
+                   CASE WHEN product_id % 4 = 0 THEN concat(category, ' ') ELSE category END
+            FROM products_v WHERE product_id % 10 = 0""",
 }
 
 _DEPENDS = {
     "orders_dirty_v": ["orders_v"],
     "customers_base_v": ["customers_v"],
+    "products_dirty_v": ["products_v"],
     "customers_dirty_v": ["customers_v", "customers_base_v"],
 }
 

@@ -29,7 +29,7 @@ from ledgerlake.operators import cleaning as C
 from ledgerlake.operators.quality import generate_quality_report, report_as_dict
 from ledgerlake.sinks import warehouse as W
 from ledgerlake.sources.catalog import find_selected_file, list_input_files, list_processed_datasets
-from ledgerlake.sources.files import load_csv, load_file
+from ledgerlake.sources.files import file_extension, load_csv, load_file
 
 RUNS_TABLE = "pipeline_runs"
 
@@ -82,15 +82,35 @@ def pipeline_status(spark: SparkSession, warehouse_root: str) -> DataFrame:
 
 def process_dataset(spark: SparkSession, path: str, name: str, warehouse_root: str,
                     processed_dir: str | None = None, entity: str | None = None,
-                    multi_line: bool | None = None) -> dict:
-    """Load, profile, clean, load into the warehouse and profile one dataset
-    (``multi_line``: see :func:`ledgerlake.sources.files.load_file`)."""
-    raw = load_file(spark, path, multi_line=multi_line)
+                    num_files: int | None = None, **load_options) -> dict:
+    """Load, profile, clean, load into the warehouse and profile one dataset.
+
+    ``load_options``: ``multi_line``, ``schema``, ``row_tags``, ``root_tag`` of
+    :func:`ledgerlake.sources.files.load_file`; a typed run of CSV or JSON reads with its
+    entity's schema unless another is given, so nothing is inferred. ``num_files``: of
+    the table's clustered layout, by default from the size of the input.
+    """
+    if entity and "schema" not in load_options and file_extension(path) in (".csv", ".json"):
+        load_options["schema"] = ENTITIES[entity].schema
+    raw = load_file(spark, path, **load_options)
+    return process_frame(spark, raw, name, warehouse_root, processed_dir, entity, num_files or input_files(spark, path))
+
+
+def input_files(spark: SparkSession, path: str) -> int:
+    """Files of a table made of the input under ``path``, from the sizes in its listing."""
+    from pyspark.sql import functions as F
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    return W.files_for(int(size or 0))
+
+
+def process_frame(spark: SparkSession, raw: DataFrame, name: str, warehouse_root: str,
+                  processed_dir: str | None = None, entity: str | None = None, num_files: int | None = None) -> dict:
+    """Profile, clean, load into the warehouse and profile a dataset that is read already."""
     raw_report = report_as_dict(generate_quality_report(raw, name))
     cleaned = clean_for(raw, entity)
     processed = processed_file_name(name)
     table = normalize_table_name(processed)
-    load = W.load_table(spark, cleaned, table, os.path.join(warehouse_root, table))
+    load = W.load_table(spark, cleaned, table, os.path.join(warehouse_root, table), num_files=num_files)
     loaded = W.read_table(spark, table)
     processed_report = report_as_dict(generate_quality_report(loaded, f"{name} (processed)"))
     csv_dir = None
@@ -101,27 +121,47 @@ def process_dataset(spark: SparkSession, path: str, name: str, warehouse_root: s
             "raw_report": raw_report, "processed_report": processed_report}
 
 
+def generic_run_report(spark: SparkSession, raw: DataFrame, name: str, warehouse_root: str) -> DataFrame:
+    """A generic run on a dataset that is read already, as rows: the report on the input (stage ``raw``), the rows
+    loaded (``load``), and the report on the loaded table (``processed``); check_name, column_name, value, passed."""
+    table = normalize_table_name(processed_file_name(name))
+    load = W.load_table(spark, clean_for(raw, None), table, os.path.join(warehouse_root, table))
+    kept = ["check_name", "column_name", "value", "passed"]
+    stages = {"raw": raw, "processed": W.read_table(spark, table)}
+    before, after = (generate_quality_report(df, stage).selectExpr(f"'{stage}' AS stage", *kept)
+                     for stage, df in stages.items())
+    rows = spark.createDataFrame([("load", "rows_loaded", None, load["rows_loaded"], True)], before.schema)
+    return before.unionByName(after).unionByName(rows)
+
+
 def run_pipeline(spark: SparkSession, input_dir: str, warehouse_root: str, selected: str | None = None,
                  processed_dir: str | None = None, entity: str | None = None,
-                 multi_line: bool | None = None) -> dict:
+                 num_files: int | None = None, **load_options) -> dict:
     """Run one dataset (``selected`` by name, else the first file) end to end and
-    append the run record. Failures are recorded and re-raised."""
-    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    record = {"run_id": uuid.uuid4().hex, "started_at": started, "status": "running"}
+    append the run record. Failures are recorded and re-raised. Options: see
+    :func:`process_dataset`."""
+    record = {"run_id": uuid.uuid4().hex, "started_at": _now(), "status": "running"}
     try:
         chosen = find_selected_file(list_input_files(spark, input_dir), selected)
         record["source_file"] = chosen["name"]
         result = process_dataset(spark, chosen["path"], chosen["name"], warehouse_root, processed_dir, entity,
-                                 multi_line)
+                                 num_files, **load_options)
         record.update(processed_file=result["processed_file"], table_name=result["table_name"],
                       rows_loaded=result["rows_loaded"], status="success")
-        return {**result, **record}
     except Exception as e:
-        record.update(status="failed", error=f"{type(e).__name__}: {e}")
+        record.update(status="failed", error=f"{type(e).__name__}: {e}", finished_at=_now())
+        try:
+            append_run_record(spark, warehouse_root, record)
+        except Exception as unrecorded:
+            e.add_note(f"the run record could not be written either: {unrecorded}")
         raise
-    finally:
-        record["finished_at"] = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        append_run_record(spark, warehouse_root, record)
+    record["finished_at"] = _now()
+    append_run_record(spark, warehouse_root, record)
+    return {**result, **record}
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
 def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str) -> DataFrame:
@@ -129,7 +169,8 @@ def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str
     return table_name, total_rows for all of them. Two files mapping to the same
     table name raise ``ValueError`` before anything is loaded.
 
-    The processed CSVs are re-read strictly: FAILFAST, quoted newlines allowed.
+    The processed CSVs are re-read strictly: with the schema stored beside them, FAILFAST,
+    quoted newlines allowed. Only one without a stored schema has its types inferred.
     """
     datasets = list_processed_datasets(spark, processed_dir)
     tables: dict[str, str] = {}
@@ -140,8 +181,8 @@ def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str
         tables[t] = name
     for t, name in tables.items():
         df = normalize_columns(
-            load_csv(spark, datasets[name], multi_line=True, mode="FAILFAST").alias(t))
-        W.load_table(spark, df, t, os.path.join(warehouse_root, t))
+            load_csv(spark, datasets[name], schema=W.saved_schema(spark, datasets[name]), mode="FAILFAST"))
+        W.load_table(spark, df, t, os.path.join(warehouse_root, t), num_files=input_files(spark, datasets[name]))
     return W.table_counts(spark, list(tables))
 
 

@@ -11,6 +11,7 @@ DECIMAL and DATE.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,9 @@ from ledgerlake.operators import analytics as A
 from ledgerlake.operators import cleaning as C
 from ledgerlake.operators import quality as Q
 from ledgerlake.plans import oracle as O
+from ledgerlake.plans import pipeline as P
+from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.sinks import warehouse as W
 from ledgerlake.sources import tables as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,6 +224,10 @@ def _dirty_ord(s, d):
     return V.orders_dirty_view(s, d)
 
 
+def _dirty_prod(s, d):
+    return V.products_dirty_view(s, d)
+
+
 ORDER_LINE_KEY = ["order_id", "line_no"]
 
 
@@ -228,7 +236,7 @@ def q_clean_strings(s, d):
 
 
 def q_drop_duplicate_rows(s, d):
-    return C.clean_dataframe(_dirty_cust(s, d))
+    return C.drop_duplicate_rows(_dirty_cust(s, d))
 
 
 def q_clean_customers(s, d):
@@ -239,14 +247,22 @@ def q_clean_orders(s, d):
     return C.clean_orders(_dirty_ord(s, d), key=ORDER_LINE_KEY)
 
 
+def q_clean_orders_by_order_id(s, d):
+    return C.clean_orders(_dirty_ord(s, d))
+
+
 def q_clean_products(s, d):
-    return C.clean_products(_prod(s, d))
+    return C.clean_products(_dirty_prod(s, d))
 
 
 def q_dedupe_by_key(s, d):
     return C.dedupe_by_key(_ord(s, d), ORDER_LINE_KEY)
 
 
+def q_dedupe_by_order_id(s, d):
+    return C.dedupe_by_key(_ord(s, d), ["order_id"])
+
+
 def q_reject_orders(s, d):
     return C.reject_orders(_dirty_ord(s, d))
 
@@ -260,7 +276,7 @@ _TRIMMED_CUST = """SELECT customer_id, NULLIF(TRIM(name), '') AS name, NULLIF(TR
 FROM customers_dirty_v"""
 
 ORACLE["clean_strings"] = O.with_views("customers_dirty_v") + _TRIMMED_CUST
-ORACLE["drop_duplicate_rows"] = O.with_views("customers_dirty_v") + f"SELECT DISTINCT * FROM ({_TRIMMED_CUST})"
+ORACLE["drop_duplicate_rows"] = O.with_views("customers_dirty_v") + "SELECT DISTINCT * FROM customers_dirty_v"
 
 
 def _first_per_key(source: str, keys: list[str], order: list[str]) -> str:
@@ -281,9 +297,19 @@ ORACLE["clean_orders"] = O.with_views("orders_dirty_v") + f"""
 SELECT order_id, line_no, customer_id, product_id, order_date, quantity, CAST(price AS DOUBLE) AS price
 FROM ({_first_per_key(_TYPED_DIRTY, ORDER_LINE_KEY, ["customer_id", "product_id", "order_date", "quantity", "price"])})"""
 
-ORACLE["clean_products"] = O.with_views("products_v") + f"""
+_ORDER_REST = ["line_no", "customer_id", "product_id", "order_date", "quantity", "price"]
+
+ORACLE["clean_orders_by_order_id"] = O.with_views("orders_dirty_v") + f"""
+SELECT order_id, line_no, customer_id, product_id, order_date, quantity, CAST(price AS DOUBLE) AS price
+FROM ({_first_per_key(_TYPED_DIRTY, ["order_id"], _ORDER_REST)})"""
+
+ORACLE["dedupe_by_order_id"] = O.with_views("orders_v") + f"""
+SELECT order_id, line_no, customer_id, product_id, order_date, quantity, CAST(price AS DOUBLE) AS price
+FROM ({_first_per_key("orders_v", ["order_id"], _ORDER_REST)})"""
+
+ORACLE["clean_products"] = O.with_views("products_dirty_v") + f"""
 SELECT * FROM ({_first_per_key("(SELECT product_id, TRIM(product_name) AS product_name, TRIM(category) AS category "
-                               "FROM products_v) t", ["product_id"], ["product_name", "category"])})"""
+                               "FROM products_dirty_v) t", ["product_id"], ["product_name", "category"])})"""
 
 ORACLE["dedupe_by_key"] = O.with_views("orders_v") + f"""
 SELECT order_id, line_no, customer_id, product_id, order_date, quantity, CAST(price AS DOUBLE) AS price
@@ -343,7 +369,7 @@ def q_order_quality_report(s, d):
 
 
 def q_product_quality_report(s, d):
-    return Q.generate_product_quality_report(_prod(s, d))
+    return Q.generate_product_quality_report(_dirty_prod(s, d))
 
 
 def q_check_nulls(s, d):
@@ -362,6 +388,10 @@ def q_check_required_columns(s, d):
     return Q.check_required_columns(_dirty_ord(s, d), list(ORDERS.columns), "orders")
 
 
+def q_check_missing_columns(s, d):
+    return Q.check_required_columns(_dirty_ord(s, d).drop("price", "quantity"), list(ORDERS.columns), "orders")
+
+
 def q_quality_before_after(s, d):
     raw = _dirty_cust(s, d)
     return Q.quality_before_after(raw, C.clean_dataframe(raw), "customers_dirty")
@@ -374,8 +404,8 @@ ORACLE["customer_quality_report"] = _entity_report_sql("customers_dirty_v", CUST
     O.with_views("customers_dirty_v"))
 ORACLE["order_quality_report"] = _entity_report_sql("orders_dirty_v", ORDERS, _DIRTY_ORD_COLS, ["order_date"]).sql(
     O.with_views("orders_dirty_v"))
-ORACLE["product_quality_report"] = _entity_report_sql("products_v", PRODUCTS, list(PRODUCTS.columns)).sql(
-    O.with_views("products_v"))
+ORACLE["product_quality_report"] = _entity_report_sql("products_dirty_v", PRODUCTS, list(PRODUCTS.columns)).sql(
+    O.with_views("products_dirty_v"))
 
 _r = O.SqlReport("orders_dirty_v", "orders")
 _r.nulls(_DIRTY_ORD_COLS)
@@ -396,6 +426,11 @@ _r.row_count()
 _r.required_columns(ORDERS.columns, _DIRTY_ORD_COLS)
 ORACLE["check_required_columns"] = _r.sql(O.with_views("orders_dirty_v"))
 
+_r = O.SqlReport("orders_dirty_v", "orders")
+_r.row_count()
+_r.required_columns(ORDERS.columns, [c for c in _DIRTY_ORD_COLS if c not in ("price", "quantity")])
+ORACLE["check_missing_columns"] = _r.sql(O.with_views("orders_dirty_v"))
+
 _before = _generic_report_sql("customers_dirty_v", "customers_dirty", _DIRTY_CUST_COLS).sql(
     O.with_views("customers_dirty_v"))
 _after = _generic_report_sql(f"(SELECT DISTINCT * FROM ({_TRIMMED_CUST})) t0", "customers_dirty", _DIRTY_CUST_COLS)
@@ -409,8 +444,10 @@ QUERIES.update({
     "drop_duplicate_rows": q_drop_duplicate_rows,
     "clean_customers": q_clean_customers,
     "clean_orders": q_clean_orders,
+    "clean_orders_by_order_id": q_clean_orders_by_order_id,
     "clean_products": q_clean_products,
     "dedupe_by_key": q_dedupe_by_key,
+    "dedupe_by_order_id": q_dedupe_by_order_id,
     "reject_orders": q_reject_orders,
     "quality_report": q_quality_report,
     "customer_quality_report": q_customer_quality_report,
@@ -420,6 +457,7 @@ QUERIES.update({
     "check_duplicates": q_check_duplicates,
     "check_positive_values": q_check_positive_values,
     "check_required_columns": q_check_required_columns,
+    "check_missing_columns": q_check_missing_columns,
     "quality_before_after": q_quality_before_after,
 })
 
@@ -509,6 +547,49 @@ ORACLE["clean_dataframe"] = O.with_views("customers_dirty_v") + "SELECT DISTINCT
 QUERIES["clean_dataframe"] = q_clean_dataframe
 
 
+# --- a whole generic run, and the reconciliation of loaded tables ----------------------------
+
+def _scratch(s, name):
+    """A new folder for tables in the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(s).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_generic_pipeline(s, d):
+    raw = _dirty_cust(s, d).select(*[F.col(c).alias(h) for c, h, _ in _RAW_CUSTOMER_HEADERS])
+    return P.generic_run_report(s, raw, f"customers_dirty_{uuid.uuid4().hex}.csv", _scratch(s, "generic"))
+
+
+def q_verify_tables(s, d):
+    views, suffix = {"customers": _cust(s, d), "orders": _ord(s, d), "products": _prod(s, d)}, uuid.uuid4().hex
+    root, expected = _scratch(s, "verify"), {}
+    for name, df in views.items():
+        W.load_table(s, df, f"{name}_{suffix}", f"{root}/{name}")
+        expected[f"{name}_{suffix}"] = df.count()
+    found = W.verify_tables(s, expected)
+    return found.withColumn("table_name", F.substring_index("table_name", "_", 1))
+
+
+_RAW_NAMES = [h for _, h, _ in _RAW_CUSTOMER_HEADERS]
+_CLEAN_NAMES = [n for _, _, n in _RAW_CUSTOMER_HEADERS]
+_RAW_SQL = "(SELECT " + ", ".join(f'{c} AS "{h}"' for c, h, _ in _RAW_CUSTOMER_HEADERS) + " FROM customers_dirty_v)"
+_CLEAN_SQL = "(" + ORACLE["clean_dataframe"].removeprefix(O.with_views("customers_dirty_v")) + ")"
+ORACLE["generic_pipeline"] = (
+    "SELECT 'raw' AS stage, check_name, column_name, value, passed FROM ("
+    + _generic_report_sql(f"{_RAW_SQL} t0", "raw", _RAW_NAMES).sql(O.with_views("customers_dirty_v"))
+    + ")\nUNION ALL\nSELECT 'processed', check_name, column_name, value, passed FROM ("
+    + _generic_report_sql(f"{_CLEAN_SQL} t0", "processed", _CLEAN_NAMES).sql(O.with_views("customers_dirty_v"))
+    + ")\nUNION ALL\nSELECT 'load', 'rows_loaded', NULL, (" + O.with_views("customers_dirty_v")
+    + f" SELECT COUNT(*) FROM {_CLEAN_SQL} t0), TRUE")
+
+ORACLE["verify_tables"] = O.with_views("customers_v", "orders_v", "products_v") + """,
+c AS (SELECT 'customers' AS table_name, COUNT(*) AS n FROM customers_v UNION ALL
+      SELECT 'orders', COUNT(*) FROM orders_v UNION ALL SELECT 'products', COUNT(*) FROM products_v)
+SELECT table_name, n AS expected_rows, n AS actual_rows, TRUE AS matches FROM c"""
+
+QUERIES["generic_pipeline"] = q_generic_pipeline
+QUERIES["verify_tables"] = q_verify_tables
+
+
 # --- share of maximum for the other two dashboard series (A-09 over A-06 and A-08) ----------
 
 def q_revenue_by_customer_share(s, d):
@@ -551,6 +632,8 @@ DATE_OUTPUTS: dict[str, list[str]] = {
     "first_orders": ["order_date"],
     "clean_customers": ["signup_date"],
     "clean_orders": ["order_date"],
+    "clean_orders_by_order_id": ["order_date"],
+    "dedupe_by_order_id": ["order_date"],
     "dedupe_by_key": ["order_date"],
 }
 

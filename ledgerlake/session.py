@@ -7,7 +7,6 @@ only exist so tests and the bench share one sensible local configuration.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -20,13 +19,16 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where the aggregate above would reuse the join's partitioning (dedupe by key): one
+    # more shuffle of the split rows, instead of one task with the whole key.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlake",
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """A ``local[cores]`` session with the library's base settings."""
+    """A ``local[cores]`` session with the library's base settings. ``extra`` may name ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -41,11 +43,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint directory.
+    """The cluster's shared checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
-    if it is unset there, this raises instead of falling back to a folder on one
-    machine. Only a ``local[...]`` session without one gets a scratch folder.
+    ``spark.checkpoint.dir`` is used as is. Where it is unset, checkpoints go to a folder of the warehouse
+    directory, which all machines share as well; never to a temporary folder of one machine.
     """
     try:
         sc = spark.sparkContext
@@ -54,12 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not current:
             raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
         return current
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set: set it to a folder shared by the cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-ckpt-"))
+    if not sc.getCheckpointDir():
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir()

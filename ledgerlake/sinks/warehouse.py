@@ -8,47 +8,62 @@ A table is a Parquet table in the session catalog with an explicit location:
   table property ``ledgerlake.clustering``;
 * reloading an existing table keeps its partition and clustering columns;
 * every load replaces the whole table (truncate semantics);
-* the loaded row count comes from an ``observe()`` metric of the write itself,
-  not from a second scan.
-
-If the plan being written reads the target table itself, Spark refuses the
-overwrite; the input is then checkpointed (reliable checkpoint in the cluster's
-``spark.checkpoint.dir``) to cut the lineage, and written from there.
-
-Atomicity: a Parquet overwrite replaces files in place, so a job that dies in the
-middle of a load leaves the table partly written until the load is re-run. Where a
-transactional table format is on the classpath (``table_format="delta"`` or
-``"iceberg"``), the same call commits the replacement atomically.
+* the loaded row count comes from an ``observe()`` metric of the write itself and is
+  checked against the files written.
+
+A load is staged, then swapped: the rows are written to a new folder below the table's
+location, the count is checked, the table's location is moved to that folder, and the
+files of the load before go last. A load that fails at any step before the swap leaves
+the old rows, layout and properties as they were. As nothing is written over, a plan
+may read the table that it reloads. Transactional formats (``delta``, ``iceberg``)
+replace the rows by a commit of their own.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.naming import choose_clustering_columns
-from ledgerlake.functions.columns import col, has_map
-from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.functions.columns import col, has_map, quote
 
 INGEST_DATE = "_ingest_date"
 CLUSTERING_PROPERTY = "ledgerlake.clustering"
+SCHEMA_FOLDER = "_schema"
+TARGET_FILE_BYTES = 512 * 1024 * 1024
+TRANSACTIONAL = ("delta", "iceberg")
 
 
 def save_as_csv(df: DataFrame, out_dir: str, single_file: bool = False) -> str:
-    """Write ``df`` as CSV with a header into ``out_dir`` (replaced). NULL is written
-    as an empty field; struct, array and map values (which CSV cannot hold) as JSON
-    text. One file only on request (``single_file`` funnels all rows through one
-    task, so keep it for small outputs)."""
+    """Write ``df`` as CSV with a header into ``out_dir`` (replaced), with its schema as
+    JSON in the hidden folder ``_schema``. NULL is written as an empty field; struct,
+    array and map values (which CSV cannot hold) as JSON text. One file only on request
+    (``single_file`` funnels all rows through one task, so keep it for small outputs)."""
     nested = (T.StructType, T.ArrayType, T.MapType)
     flat = df.select(*[F.to_json(col(f.name)).alias(f.name) if isinstance(f.dataType, nested) else col(f.name)
                        for f in df.schema.fields])
     out = flat.coalesce(1) if single_file else flat
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(out_dir)
+    df.sparkSession.createDataFrame([(flat.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{out_dir.rstrip('/')}/{SCHEMA_FOLDER}")
     return out_dir
 
 
+def saved_schema(spark: SparkSession, csv_dir: str) -> T.StructType | None:
+    """The schema stored by :func:`save_as_csv`, or None."""
+    path = f"{csv_dir.rstrip('/')}/{SCHEMA_FOLDER}"
+    try:
+        text = spark.read.text(path).first()
+    except AnalysisException:  # no such folder
+        return None
+    return T.StructType.fromJson(json.loads(text["value"])) if text else None
+
+
 def clustered(df: DataFrame, columns: list[str], num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort within partitions on ``columns`` (no-op when empty).
 
@@ -80,16 +95,21 @@ def table_layout(spark: SparkSession, table: str) -> dict | None:
     return {"partition_by": parts, "clustering": [c for c in raw.split(",") if c]}
 
 
+def files_for(size_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Number of files for an input of that size."""
+    return max(1, -(-size_bytes // target_bytes))
+
+
 def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
                clustering: list[str] | None = None, table_format: str = "parquet",
                num_files: int | None = None) -> dict:
     """Replace table ``table`` (stored at ``location``) with ``df``.
 
-    ``num_files``: range partitions (files per load date) of the clustered layout;
-    by default Spark's shuffle partition count. Size it as table bytes / 0.5-1 GB.
+    ``num_files``: range partitions (files per load date) of the clustered layout, see
+    :func:`files_for`; by default Spark's shuffle partition count.
 
     Returns ``{"table", "location", "rows_loaded", "partition_by", "clustering",
-    "created"}``.
+    "created"}``; ``location`` is the folder that holds the rows.
     """
     layout = table_layout(spark, table)
     created = layout is None
@@ -100,27 +120,76 @@ def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
         partition_by = layout["partition_by"]
         cluster = layout["clustering"]
     cluster = [c for c in cluster if c in df.columns]
-
-    def write(source: DataFrame) -> int:
-        staged = source.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else source
-        obs = Observation(f"load_{table}")
-        out = clustered(staged, cluster, num_files).observe(obs, F.count(F.lit(1)).alias("rows"))
-        (out.write.mode("overwrite").format(table_format).option("path", location)
-         .partitionBy(*partition_by).saveAsTable(table))
-        return int(obs.get["rows"])
-
-    try:
-        rows = write(df)
-    except AnalysisException as e:
-        if "UNSUPPORTED_OVERWRITE" not in str(e) and "being read from" not in str(e):
-            raise
-        ensure_checkpoint_dir(spark)
-        rows = write(df.checkpoint(eager=True))
+    dated = df.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else df
+    obs = Observation(f"load_{table}")
+    out = clustered(dated, cluster, num_files).observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer = out.write.format(table_format).partitionBy(*partition_by)
+
+    if table_format in TRANSACTIONAL:
+        writer.mode("overwrite").option("path", location).saveAsTable(table)
+        at, rows = location, int(obs.get["rows"])
+    else:
+        at = f"{location.rstrip('/')}/load-{uuid.uuid4().hex}"
+        writer.save(at)
+        rows = int(obs.get["rows"])
+        written = spark.read.format(table_format).schema(dated.schema).load(at)
+        if (found := written.count()) != rows:
+            raise RuntimeError(f"{table}: {rows} rows were written to {at}, {found} are there")
+        before = None if created else _location(spark, table)
+        _point_at(spark, table, at, dated, partition_by, table_format, created)
+        if before and before.rstrip("/") != at:
+            _delete_load(spark, before, keep=at)
     spark.sql(f"ALTER TABLE `{table}` SET TBLPROPERTIES ('{CLUSTERING_PROPERTY}' = '{','.join(cluster)}')")
-    return {"table": table, "location": location, "rows_loaded": rows,
+    return {"table": table, "location": at, "rows_loaded": rows,
             "partition_by": partition_by, "clustering": cluster, "created": created}
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{table}`").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _point_at(spark: SparkSession, table: str, at: str, rows: DataFrame, partition_by: list[str], table_format: str,
+              create: bool) -> None:
+    """Makes ``at`` the table's folder. A table whose columns change is defined anew over it."""
+    columns = [f for f in rows.schema.fields if f.name not in partition_by]
+    wanted = [(f.name, f.dataType) for f in [*columns, *(rows.schema[c] for c in partition_by)]]
+    same = not create and [(f.name, f.dataType) for f in spark.table(table).schema.fields] == wanted
+    if same:
+        spark.sql(f"ALTER TABLE `{table}` SET LOCATION '{at}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS `{table}`")  # external: its files stay until the new definition stands
+        fields = ", ".join(f"{quote(n)} {t.simpleString()}" for n, t in wanted)
+        spark.sql(f"CREATE TABLE `{table}` ({fields}) USING {table_format} "
+                  + (f"PARTITIONED BY ({', '.join(map(quote, partition_by))}) " if partition_by else "")
+                  + f"LOCATION '{at}'")
+    if partition_by:
+        try:
+            old = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS `{table}`").collect()]  # a row a load date
+        except AnalysisException:  # the catalog does not track partitions: they are the folder's
+            old = None
+        if old is not None:
+            for spec in old:
+                values = ", ".join(f"{quote(k)} = '{v}'" for k, v in (x.split("=", 1) for x in spec.split("/")))
+                spark.sql(f"ALTER TABLE `{table}` DROP IF EXISTS PARTITION ({values})")
+            spark.sql(f"MSCK REPAIR TABLE `{table}`")
+    spark.catalog.refreshTable(table)
+
+
+def _delete_load(spark: SparkSession, before: str, keep: str) -> None:
+    """Deletes the files of the load before; a folder that also holds ``keep`` loses all else."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(before)
+    fs = folder.getFileSystem(conf)
+    inside = keep.rstrip("/").split(":", 1)[-1].lstrip("/").startswith(folder.toUri().getPath().strip("/") + "/")
+    if not inside:
+        fs.delete(folder, True)
+        return
+    for status in fs.listStatus(folder):
+        if status.getPath().getName() != keep.rstrip("/").rsplit("/", 1)[-1]:
+            fs.delete(status.getPath(), True)
+
+
 def read_table(spark: SparkSession, table: str, drop_load_columns: bool = True) -> DataFrame:
     """A loaded table, without the load-date partition column by default."""
     df = spark.table(table)

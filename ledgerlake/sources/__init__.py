@@ -1 +1 @@
-"""Sources: file loaders, the file catalog, workbooks and the parquet test tables."""
+"""Sources: file loaders, the file catalog and the parquet test tables."""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.sources.files import SUPPORTED_EXTENSIONS
 
+NAMES_SHOWN = 20  # in an error message
 CATALOG_COLUMNS = ("name", "extension", "type", "size", "modified", "path")
 
 
@@ -26,8 +27,7 @@ def list_input_files(spark: SparkSession, directory: str,
 
     Columns: name, extension (".csv"), type ("CSV"), size (bytes), modified, path.
     """
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-           .load(directory).select("path", "length", "modificationTime"))
+    raw = spark.read.format("binaryFile").load(directory).select("path", "length", "modificationTime")
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     ext = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
     listed = raw.select(
@@ -62,25 +62,23 @@ def _top_level_parent(directory: str) -> str:
 
 def find_selected_file(catalog: DataFrame, selected: str | None = None) -> dict:
     """The catalog row for ``selected`` (base name, case-insensitive), or the first
-    in sort order when nothing is selected. Raises ``FileNotFoundError`` listing the
-    available names when there is no match or the catalog is empty.
+    in sort order when nothing is selected. Raises ``FileNotFoundError``, with the first
+    names that there are, when there is no match or the catalog is empty.
 
     Only file metadata is collected, never contents.
     """
     if selected is None:
         first = catalog.limit(1).collect()
         if not first:
-            raise FileNotFoundError("No supported files are available in the input directory.")
+            raise FileNotFoundError("the input directory holds no file that can be loaded")
         return first[0].asDict()
     base = selected.replace("\\", "/").rsplit("/", 1)[-1]
     hit = catalog.filter(F.lower("name") == base.lower()).limit(1).collect()
     if hit:
         return hit[0].asDict()
-    names = [r["name"] for r in catalog.select("name").collect()]
-    if not names:
-        raise FileNotFoundError("No supported files are available in the input directory.")
-    listing = "\n".join(f"  - {n}" for n in names)
-    raise FileNotFoundError(f"Selected file was not found: {selected}\n\nAvailable files:\n{listing}")
+    known = [r["name"] for r in catalog.select("name").limit(NAMES_SHOWN + 1).collect()]
+    shown = ", ".join(known[:NAMES_SHOWN]) + (", ..." if len(known) > NAMES_SHOWN else "")
+    raise FileNotFoundError(f"no input file is named {base!r}; there are: {shown or 'none'}")
 
 
 def list_processed_datasets(spark: SparkSession, processed_dir: str) -> dict[str, str]:

@@ -1,41 +1,42 @@
-"""File loaders: CSV, JSON, XML (and XLSX via :mod:`ledgerlake.sources.workbook`).
+"""File loaders: CSV, JSON and XML.
 
 All readers are Spark's distributed sources; nothing is parsed on the driver.
 
 Scale notes:
 
-* ``multi_line`` (quoted newlines in CSV, JSON documents / arrays) makes every file
-  one non-splittable task, so for CSV it is opt-in; JSON documents and arrays need
-  it, JSON lines do not (``multi_line=False`` lets those files split).
-* Schema inference costs a full extra pass over the input; pass ``schema=`` (the
-  typed entities have one) to skip it.
+* Quoted newlines in CSV, and JSON documents or arrays, make every file one task. That is the default, as it reads
+  every valid file right. ``multi_line=False`` states that a file has one record a line: it is then split over tasks,
+  and a CSV record that is broken by a newline raises instead of being read as two.
+* Schema inference costs a full extra pass over the input; pass ``schema=`` (the typed entities have one) to skip it,
+  and ``row_tags=`` to skip the pass that finds the record tags of generic XML.
 """
 
 from __future__ import annotations
 
-import re
 from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.sources.xml_tags import record_tags
+
 # File extensions the loaders accept (lower case).
-SUPPORTED_EXTENSIONS = (".csv", ".json", ".xml", ".xlsx")
+SUPPORTED_EXTENSIONS = (".csv", ".json", ".xml")
 
 ATTRIBUTE_PREFIX = "@"
 VALUE_TAG = "_VALUE"
 
 
 def load_csv(spark: SparkSession, path: str, *, header: bool = True, infer_schema: bool = True,
-             schema: T.StructType | None = None, multi_line: bool = False,
-             mode: str = "PERMISSIVE") -> DataFrame:
-    """CSV with a header row. ``multi_line`` allows quoted newlines; a doubled quote
+             schema: T.StructType | None = None, multi_line: bool = True,
+             mode: str | None = None) -> DataFrame:
+    """CSV with a header row. Quoted newlines belong to their field, and a doubled quote
     inside a quoted field is an escaped quote. An unquoted empty field is NULL.
-    ``mode="FAILFAST"`` raises on the first malformed record."""
-    reader = spark.read.option("header", header).option("escape", '"').option("mode", mode)
-    if multi_line:
-        reader = reader.option("multiLine", True)
+    ``multi_line=False``: one record a line, read in parallel; anything else raises.
+    ``mode``: PERMISSIVE, or FAILFAST with ``multi_line=False``, unless given."""
+    reader = (spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
+              .option("mode", mode or ("PERMISSIVE" if multi_line else "FAILFAST")))
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -53,16 +54,21 @@ def load_json(spark: SparkSession, path: str, *, multi_line: bool = True,
     return reader.json(path)
 
 
-def _xml_reader(spark: SparkSession, row_tag: str):
-    return (spark.read.format("xml").option("rowTag", row_tag)
-            .option("attributePrefix", ATTRIBUTE_PREFIX).option("inferSchema", False))
+def _xml_reader(spark: SparkSession, row_tag: str, schema: T.StructType | None = None):
+    reader = (spark.read.format("xml").option("rowTag", row_tag)
+              .option("attributePrefix", ATTRIBUTE_PREFIX).option("inferSchema", False))
+    return reader.schema(schema) if schema is not None else reader
 
 
-def load_xml(spark: SparkSession, path: str, row_tag: str = "product") -> DataFrame:
+def load_xml(spark: SparkSession, path: str, row_tag: str = "product",
+             schema: T.StructType | None = None) -> DataFrame:
     """Typed XML: every ``row_tag`` element is a record, each child tag a text column
     (a repeated child keeps its last value, attributes are ignored, a child with
-    children contributes only its own text). Empty elements become NULL."""
-    df = _xml_reader(spark, row_tag).load(path)
+    children contributes only its own text). Empty elements become NULL. With ``schema``
+    the records are read in one pass, into its columns and types."""
+    df = _xml_reader(spark, row_tag, schema).load(path)
+    if schema is not None:
+        return _strings_null_if_empty(df)
     cols = [_element_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
             for f in df.schema.fields if not f.name.startswith(ATTRIBUTE_PREFIX) and f.name != VALUE_TAG]
     return df.select(*cols)
@@ -76,44 +82,6 @@ def _strings_null_if_empty(df: DataFrame) -> DataFrame:
     ])
 
 
-_TAG = re.compile(r"<\s*([A-Za-z_][\w.\-:]*)")
-
-
-def xml_root_tag(spark: SparkSession, path: str, peek_lines: int = 200) -> str:
-    """The document element's tag, from the first lines of the input (a bounded peek)."""
-    lines = spark.read.text(path).limit(peek_lines).collect()
-    text = "\n".join(r.value for r in lines)
-    text = re.sub(r"<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>", "", text, flags=re.S)
-    m = _TAG.search(text)
-    if not m:
-        raise ValueError(f"No XML root element found in: {path}")
-    return m.group(1)
-
-
-# Largest XML file whose record tags are discovered automatically: discovery reads
-# a whole document as one row, so it is only done below this size.
-XML_DISCOVERY_MAX_BYTES = 64 * 1024 * 1024
-
-
-def xml_record_tags(spark: SparkSession, path: str, root_tag: str | None = None,
-                    max_bytes: int = XML_DISCOVERY_MAX_BYTES) -> list[str]:
-    """Tags of the root's direct children (the record kinds), from the schema Spark
-    infers when the whole root is one row.
-
-    That row is a whole document, so discovery is refused (``ValueError``) when a
-    file is larger than ``max_bytes`` (sizes come from the file listing, no content
-    is read); pass ``row_tags`` to :func:`load_xml_dynamic` for such inputs. Records
-    are then read by Spark's splittable XML source, never whole files.
-    """
-    largest = (spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]) or 0
-    if largest > max_bytes:
-        raise ValueError(f"XML input larger than {max_bytes} bytes: pass row_tags explicitly")
-    root = root_tag or xml_root_tag(spark, path)
-    schema = (spark.read.format("xml").option("rowTag", root)
-              .option("attributePrefix", ATTRIBUTE_PREFIX).load(path).schema)
-    return [f.name for f in schema.fields if not f.name.startswith(ATTRIBUTE_PREFIX) and f.name != VALUE_TAG]
-
-
 def _flatten_record(df: DataFrame) -> DataFrame:
     """One record per row: attributes become columns (a child element of the same
     name wins), repeated children keep the last one, nested children become a
@@ -165,13 +133,16 @@ def _one_level_json(col, dtype: T.StructType):
 
 
 def load_xml_dynamic(spark: SparkSession, path: str, row_tags: list[str] | None = None,
-                     root_tag: str | None = None) -> DataFrame:
-    """Generic XML: every direct child of the root is a record (one read per record
-    tag, unioned by name); columns in name order. Zero records raise ``ValueError``."""
-    tags = row_tags or xml_record_tags(spark, path, root_tag)
+                     root_tag: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """Generic XML: every direct child of a document's root is a record (one read per
+    record tag, unioned by name); columns in name order. Documents may have different
+    roots; ``root_tag`` takes the children of that root only. ``row_tags`` names the
+    record tags (no pass to find them), ``schema`` the records' fields (no inference).
+    Zero records raise ``ValueError``."""
+    tags = row_tags or record_tags(spark, path, root_tag)
     if not tags:
-        raise ValueError(f"No records were found in XML file: {PurePath(path).name}")
-    parts = [_strings_null_if_empty(_flatten_record(_xml_reader(spark, t).load(path))) for t in tags]
+        raise ValueError(f"{PurePath(path).name}: the root element has no children")
+    parts = [_strings_null_if_empty(_flatten_record(_xml_reader(spark, t, schema).load(path))) for t in tags]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -183,21 +154,19 @@ def file_extension(path: str) -> str:
     return PurePath(path).suffix.lower()
 
 
-def load_file(spark: SparkSession, path: str, *, multi_line: bool | None = None) -> DataFrame:
+def load_file(spark: SparkSession, path: str, *, multi_line: bool = True, schema: T.StructType | None = None,
+              row_tags: list[str] | None = None, root_tag: str | None = None) -> DataFrame:
     """Dispatch on the lower-cased extension; unknown extensions raise ``ValueError``.
 
-    ``multi_line=None`` takes each format's scalable default: CSV is read line by
-    line (files split across tasks; pass ``True`` for quoted newlines), JSON as
-    whole documents / arrays (pass ``False`` for splittable JSON lines).
+    ``multi_line=False``: the file has one record a line (CSV without quoted newlines,
+    JSON lines) and is split over tasks. With ``schema`` nothing is inferred.
+    ``row_tags`` and ``root_tag``: see :func:`load_xml_dynamic`.
     """
     ext = file_extension(path)
     if ext == ".csv":
-        return load_csv(spark, path, multi_line=bool(multi_line))
+        return load_csv(spark, path, multi_line=multi_line, schema=schema)
     if ext == ".json":
-        return load_json(spark, path, multi_line=multi_line is not False)
+        return load_json(spark, path, multi_line=multi_line, schema=schema)
     if ext == ".xml":
-        return load_xml_dynamic(spark, path)
-    if ext == ".xlsx":
-        from ledgerlake.sources.workbook import load_workbooks
-        return load_workbooks(spark, path)
-    raise ValueError(f"Unsupported file type: {ext}")
+        return load_xml_dynamic(spark, path, row_tags, root_tag, schema)
+    raise ValueError(f"no loader for files of type {ext or 'none'}: {PurePath(path).name}")

@@ -18,28 +18,9 @@ from pyspark.sql import functions as F
 SIGNUP_EPOCH = dt.date(2020, 1, 1)
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of the given directory (a warehouse table scan).
-
-    The relation (file listing + footer schema) is built once per session and
-    path and reused by every query: a DataFrame is an immutable plan, and listing
-    a large table's files is the expensive part of creating it. Call
-    :func:`refresh_tables` after the files change.
-    """
-    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _RELATIONS[key] = spark.read.parquet(path)
-    return df
-
-
-def refresh_tables() -> None:
-    """Forget cached relations so the next read lists the files again."""
-    _RELATIONS.clear()
+    """One Parquet table of the given directory, listed anew by each call, so files that were added are read."""
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def customers_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +123,19 @@ def customers_dirty_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def products_dirty_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """products_view with padded names (key % 3 = 0) and categories (key % 4 = 0), every key % 10 = 0 twice, the
+    second time under another name. One scan, as in :func:`customers_dirty_view`."""
+    p = products_view(spark, sf_dir)
+    key = F.col("product_id")
+    copy = F.explode(F.array_compact(F.array(F.lit(0), F.when(key % 10 == 0, F.lit(1))))).alias("_copy")
+    name = F.when(key % 3 == 0, F.concat(F.lit(" "), F.col("product_name"), F.lit("  "))).otherwise(F.col("product_name"))
+    return p.select("*", copy).select(
+        "product_id",
+        F.when(F.col("_copy") == 1, F.concat(F.lit("zz "), F.col("product_name"))).otherwise(name).alias("product_name"),
+        F.when(key % 4 == 0, F.concat(F.col("category"), F.lit(" "))).otherwise(F.col("category")).alias("category"))
+
+
 VIEWS = {
     "customers_v": customers_view,
     "products_v": products_view,
@@ -149,6 +143,7 @@ VIEWS = {
     "orders_dirty_v": orders_dirty_view,
     "customers_base_v": customers_base_view,
     "customers_dirty_v": customers_dirty_view,
+    "products_dirty_v": products_dirty_view,
 }
 
 

@@ -9,9 +9,10 @@ same code runs as a scheduled batch job or continuously.
 * The source always has an explicit schema (no inference on a stream).
 * Cleaning is the stateless part of the typed cleaners (types, trimming, the
   positive-value filters), applied per micro-batch inside the plan.
-* Key de-duplication across runs uses ``dropDuplicatesWithinWatermark`` on an
-  event-time column, so its state is bounded by the watermark instead of growing
-  with every key ever seen.
+* Key de-duplication across runs uses ``dropDuplicatesWithinWatermark`` on the time a
+  record arrives (the micro-batch's time), so its state is bounded by the watermark
+  instead of growing with every key ever seen. Business dates play no part in it:
+  arrival times only grow, so no record is ever late and none is dropped but repeats.
 * The checkpoint lives under the cluster's shared ``spark.checkpoint.dir``.
 """
 
@@ -42,27 +43,26 @@ def read_landed(spark: SparkSession, input_dir: str, entity: str, fmt: str = "js
     return reader.load(input_dir)
 
 
-def clean_stream(stream: DataFrame, entity: str, event_time: str | None = None,
-                 watermark: str = "7 days") -> DataFrame:
-    """Stateless typed cleaning; with ``event_time``, key duplicates are dropped
-    within the watermark."""
+def clean_stream(stream: DataFrame, entity: str, dedupe_within: str | None = None) -> DataFrame:
+    """Stateless typed cleaning; with ``dedupe_within`` (an interval such as ``7 days``),
+    a key that arrives again within that time of its first arrival is dropped."""
     spec = ENTITIES[entity]
     df = C.cast_to_entity(C.clean_strings(stream), spec)
     if entity == "customers":
         df = df.select(*[F.lower(F.col(c)).alias(c) if c == "email" else F.col(c) for c in df.columns])
     for c in spec.positive:
         df = df.filter(F.col(c) > 0)
-    if event_time:
-        ts = "_event_ts"
-        df = (df.withColumn(ts, F.col(event_time).cast("timestamp"))
-              .withWatermark(ts, watermark)
+    if dedupe_within:
+        arrived = "_arrived"
+        df = (df.withColumn(arrived, F.current_timestamp())
+              .withWatermark(arrived, dedupe_within)
               .dropDuplicatesWithinWatermark(list(spec.key))
-              .drop(ts))
+              .drop(arrived))
     return df
 
 
 def ingest(spark: SparkSession, input_dir: str, entity: str, table_path: str, name: str | None = None,
-           fmt: str = "json", event_time: str | None = None, watermark: str = "7 days",
+           fmt: str = "json", dedupe_within: str | None = None,
            checkpoint: str | None = None, available_now: bool = True,
            max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append newly landed ``entity`` records from ``input_dir`` to the Parquet table
@@ -73,7 +73,7 @@ def ingest(spark: SparkSession, input_dir: str, entity: str, table_path: str, na
     if checkpoint is None:
         checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
     stream = read_landed(spark, input_dir, entity, fmt, max_files_per_trigger=max_files_per_trigger)
-    out = clean_stream(stream, entity, event_time, watermark)
+    out = clean_stream(stream, entity, dedupe_within)
     writer = (out.writeStream.format("parquet").option("path", table_path)
               .option("checkpointLocation", checkpoint).queryName(name).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

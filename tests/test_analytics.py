@@ -9,15 +9,15 @@ def test_dashboard_summary_typed(typed_tables):
     r = A.dashboard_summary(typed_tables["customers"], typed_tables["orders"], typed_tables["products"]).collect()[0]
     assert (r.total_customers, r.total_orders, r.total_products) == (14, 10, 5)
     assert r.total_units_sold == 23
-    assert r.total_revenue == 6509.77
-    assert r.average_order_value == 650.98
+    assert r.total_revenue == 1411.75
+    assert r.average_order_value == 141.18
 
 
 def test_business_summary_uncleaned(raw_tables, typed_tables):
     from ledgerlake.entities import ORDERS
     from ledgerlake.operators.cleaning import cast_to_entity
     r = A.business_summary(typed_tables["customers"], cast_to_entity(raw_tables["orders"], ORDERS)).collect()[0]
-    assert (r.total_units_sold, r.total_revenue, r.average_order_value) == (24, 4409.80, 367.48)
+    assert (r.total_units_sold, r.total_revenue, r.average_order_value) == (24, 1090.75, 90.9)
 
 
 def test_summary_on_empty_orders(spark, typed_tables):
@@ -31,30 +31,30 @@ def test_summary_on_empty_orders(spark, typed_tables):
 def test_revenue_by_product(typed_tables):
     rows = A.revenue_by_product(typed_tables["products"], typed_tables["orders"]).collect()
     assert [(r.product_name, r.total_revenue) for r in rows] == [
-        ("Laptop", 2399.97), ("Monitor", 1999.98), ("Smartphone", 1499.97), ("Keyboard", 399.92), ("Mouse", 209.93)]
+        ("Desk", 620.0), ("Lamp", 361.5), ("Kettle", 240.0), ("Notebook", 122.0), ("Pencil", 68.25)]
 
 
 def test_product_analytics(typed_tables):
     rows = {r.product_name: r for r in A.product_analytics(typed_tables["products"], typed_tables["orders"]).collect()}
-    assert (rows["Keyboard"].total_orders, rows["Keyboard"].total_units_sold) == (2, 8)
-    assert rows["Mouse"].total_revenue == 209.93
+    assert (rows["Notebook"].total_orders, rows["Notebook"].total_units_sold) == (2, 8)
+    assert rows["Pencil"].total_revenue == 68.25
 
 
 def test_revenue_by_customer_left_join(typed_tables):
     rows = A.revenue_by_customer(typed_tables["customers"], typed_tables["orders"]).collect()
     got = {r.customer_id: r.total_revenue for r in rows}
     assert len(rows) == 14
-    assert got[1001] == 1599.98 and got[1006] == 119.96 and got[1010] == 89.97
-    for c in (1011, 1012, 1013, 1014):
+    assert got[301] == 241.0 and got[306] == 39.0 and got[310] == 29.25
+    for c in (311, 312, 313, 314):
         assert got[c] == 0.0
-    assert rows[0].customer_id == 1001
+    assert rows[0].customer_id == 304
 
 
 def test_customer_analytics_zero_defaults(typed_tables):
     rows = {r.customer_id: r for r in A.customer_analytics(typed_tables["customers"], typed_tables["orders"]).collect()}
-    assert rows[1013].total_orders == 0 and rows[1013].total_items_purchased == 0
-    assert rows[1013].total_spend == 0.0 and rows[1013].average_order_value == 0.0
-    assert rows[1008].total_items_purchased == 5
+    assert rows[313].total_orders == 0 and rows[313].total_items_purchased == 0
+    assert rows[313].total_spend == 0.0 and rows[313].average_order_value == 0.0
+    assert rows[308].total_items_purchased == 5
 
 
 def test_duplicate_dimension_rows_fan_out(spark):
@@ -68,16 +68,16 @@ def test_duplicate_dimension_rows_fan_out(spark):
 
 def test_sales_analytics_and_share(typed_tables):
     rows = A.sales_analytics(typed_tables["orders"]).collect()
-    assert rows[0].order_date == dt.date(2025, 4, 1)
-    assert rows[0].total_revenue == 1599.98 and rows[0].average_order_value == 1599.98
+    assert rows[0].order_date == dt.date(2024, 5, 1)
+    assert rows[0].total_revenue == 241.0 and rows[0].average_order_value == 241.0
     share = {r.product_name: r.pct_of_max for r in
              A.share_of_max(A.revenue_by_product(typed_tables["products"], typed_tables["orders"])).collect()}
-    assert share["Laptop"] == 100.0 and 0 < share["Mouse"] < 10
+    assert share["Desk"] == 100.0 and share["Pencil"] == 68.25 / 620 * 100
 
 
 def test_first_orders(typed_tables):
     rows = A.first_orders(typed_tables["orders"], 5).collect()
-    assert [r.order_id for r in rows] == [5001, 5002, 5003, 5004, 5005]
+    assert [r.order_id for r in rows] == [701, 702, 703, 704, 705]
 
 
 def test_half_up_rounding_of_mean(spark):
@@ -91,9 +91,9 @@ def test_half_up_rounding_of_mean(spark):
 
 def test_labels(typed_tables):
     r = A.with_labels(A.revenue_over_time(typed_tables["orders"])).collect()[0]
-    assert (r.date_label, r.amount_label) == ("04-01", "1,599.98")
+    assert (r.date_label, r.amount_label) == ("05-01", "241.00")
     p = A.with_labels(A.revenue_by_product(typed_tables["products"], typed_tables["orders"]), date=None).collect()[0]
-    assert p.amount_label == "2,399.97" and "date_label" not in p.asDict()
+    assert p.amount_label == "620.00" and "date_label" not in p.asDict()
 
 
 def test_analytics_views(spark, typed_tables):

@@ -74,7 +74,7 @@ def test_bad_dates_become_null(spark):
 
 def test_reject_orders_reasons(raw_tables):
     rej = {r["order_id"]: r["reject_reason"] for r in C.reject_orders(raw_tables["orders"]).collect()}
-    assert rej == {5011: "quantity_not_positive", 5012: "price_not_positive"}
+    assert rej == {711: "quantity_not_positive", 712: "price_not_positive"}
 
 
 def test_customers_email_lowered(spark):

@@ -98,7 +98,7 @@ def test_unparsable_dates_counted(spark, raw_tables):
     rep = Q.report_as_dict(Q.generate_order_quality_report(raw_tables["orders"]))
     assert rep["dates"] == {"passed": True, "unparsable_counts": {"order_date": 0}}
     bad = raw_tables["orders"].selectExpr("* EXCEPT (order_date)",
-                                          "CASE WHEN order_id = 5003 THEN '2025-13-45' ELSE order_date END AS order_date")
+                                          "CASE WHEN order_id = 703 THEN '2025-13-45' ELSE order_date END AS order_date")
     rep = Q.report_as_dict(Q.generate_order_quality_report(bad))
     assert rep["dates"] == {"passed": False, "unparsable_counts": {"order_date": 1}}
     typed = Q.report_as_dict(Q.generate_customer_quality_report(raw_tables["customers"]))

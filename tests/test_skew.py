@@ -101,6 +101,10 @@ def test_hot_order_key_split_by_aqe_skew_join(spark, tmp_path):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan  # hot key split
+        # also where an aggregate on the same key follows, which would reuse the join's partitioning
+        for keyed in (C.dedupe_by_key(df, ["order_id", "line_no"]), C.clean_orders(df), C.clean_orders(df, ["order_id", "line_no"])):
+            keyed.collect()
+            assert "SortMergeJoin(skew=true)" in keyed._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             if v is None:

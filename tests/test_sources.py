@@ -106,7 +106,7 @@ def test_catalog_listing_and_selection(spark, tmp_path):
     assert find_selected_file(cat, "B.csv")["name"] == "b.CSV"
     assert find_selected_file(cat, "/some/where/a.JSON")["name"] == "A.json"
     assert find_selected_file(cat)["name"] == "A.json"
-    with pytest.raises(FileNotFoundError, match="Available files"):
+    with pytest.raises(FileNotFoundError, match="A.json, b.CSV"):
         find_selected_file(cat, "missing.csv")
 
 
@@ -135,10 +135,55 @@ def test_all_null_column_and_duplicate_headers(spark, tmp_path):
     assert rep["nulls"]["null_counts"]["note"] == 2
 
 
-def test_xml_discovery_is_size_bounded(spark, fixture_dir):
+def test_xml_tags_do_not_depend_on_block_size(spark, tmp_path):
+    p = tmp_path / "big.xml"
+    noise = "<!-- <a> <b/> -->" + "<?x <y>?>" + "<note>x &gt; y<![CDATA[</items> <z>]]></note>"
+    p.write_text("<!DOCTYPE items [<!ELEMENT items ANY> <!ENTITY e 'x'>]>" + "<!-- long -->\n" * 400 + "<items a='1>0'>"
+                 + "".join(f"<item n='{k}'>{noise}</item>" for k in range(300)) + "<gadget/></items>")
+    (tmp_path / "other.xml").write_text("<orders><order><id>7</id></order></orders>")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (old, "700"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert S.record_tags(spark, str(p)) == ["gadget", "item"]
+            assert S.record_tags(spark, str(tmp_path)) == ["gadget", "item", "order"]
+            assert S.record_tags(spark, str(tmp_path), "orders") == ["order"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    p.write_text("<items>" + "".join(f"<item><n>{k}</n></item>" for k in range(300)) + "</items>")
+    assert S.load_xml_dynamic(spark, str(tmp_path)).count() == 301
+
+
+def test_xml_after_a_long_preamble_and_with_several_roots(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<?xml version='1.0'?>\n<!--\n" + "line\n" * 300 + "-->\n<products><product><id>1</id>"
+                                    "</product></products>")
+    (tmp_path / "b.xml").write_text("<orders>\n<order><id>2</id></order>\n</orders>")
+    rows = S.load_xml_dynamic(spark, str(tmp_path)).collect()
+    assert sorted(r["id"] for r in rows) == ["1", "2"]
+
+
+def test_xml_record_tag_at_two_depths_is_refused(spark, tmp_path):
+    p = tmp_path / "x.xml"
+    p.write_text("<all><item><item2/></item><box><item/></box></all>")
     with pytest.raises(ValueError, match="row_tags"):
-        S.xml_record_tags(spark, str(fixture_dir / "products.xml"), max_bytes=10)
-    assert S.load_xml_dynamic(spark, str(fixture_dir / "products.xml"), row_tags=["product"]).count() == 5
+        S.load_xml_dynamic(spark, str(p))
+
+
+def test_schema_skips_inference(spark, fixture_dir):
+    from ledgerlake.entities import CUSTOMERS, PRODUCTS
+    df = S.load_xml(spark, str(fixture_dir / "products.xml"), schema=PRODUCTS.schema)
+    assert df.schema == PRODUCTS.schema and df.count() == 5
+    df = S.load_file(spark, str(fixture_dir / "customers.csv"), schema=CUSTOMERS.schema)
+    assert df.schema == CUSTOMERS.schema and df.count() == 15
+
+
+def test_added_files_are_read(spark, tmp_path):
+    from ledgerlake.sources.tables import read_table
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    assert read_table(spark, str(tmp_path), "t").count() == 3
+    spark.range(5).write.mode("append").parquet(path)
+    assert read_table(spark, str(tmp_path), "t").count() == 8
 
 
 def test_xml_nested_child_is_one_level_json(spark, tmp_path):
@@ -160,11 +205,14 @@ def test_catalog_ignores_nested_dir_with_same_name(spark, tmp_path):
     assert [r["name"] for r in list_input_files(spark, "file://" + str(d)).collect()] == ["a.csv"]
 
 
-def test_multi_line_csv_is_opt_in(spark, tmp_path):
+def test_quoted_newlines_are_read_by_default(spark, tmp_path):
     p = tmp_path / "q.csv"
     p.write_text('a,b\n1,"two\nlines"\n2,x\n')
-    assert S.load_file(spark, str(p)).count() == 3  # line by line: the quoted newline splits a record
-    assert S.load_file(spark, str(p), multi_line=True).count() == 2
+    assert [tuple(r) for r in S.load_file(spark, str(p)).collect()] == [(1, "two\nlines"), (2, "x")]
+    with pytest.raises(Exception):  # one record a line was stated: the broken one raises
+        S.load_file(spark, str(p), multi_line=False).collect()
+    (tmp_path / "plain.csv").write_text("a,b\n1,x\n2,y\n")
+    assert S.load_file(spark, str(tmp_path / "plain.csv"), multi_line=False).count() == 2
 
 
 def test_typed_xml_takes_child_texts(spark, tmp_path):

@@ -15,14 +15,23 @@ def test_incremental_ingest(spark, tmp_path):
     land.mkdir()
     (land / "a.json").write_text(_orders([1, 2, 3]))
     (land / "b.json").write_text(_orders([4], qty=-1))  # filtered out
-    ingest(spark, str(land), "orders", table, checkpoint=ckpt, event_time="order_date").awaitTermination()
+    ingest(spark, str(land), "orders", table, checkpoint=ckpt, dedupe_within="7 days").awaitTermination()
     assert sorted(r.order_id for r in spark.read.parquet(table).collect()) == [1, 2, 3]
     # second run: only the new file is read; a re-sent key is dropped within the watermark
     (land / "c.json").write_text(_orders([3, 5]))
-    ingest(spark, str(land), "orders", table, checkpoint=ckpt, event_time="order_date").awaitTermination()
+    ingest(spark, str(land), "orders", table, checkpoint=ckpt, dedupe_within="7 days").awaitTermination()
     assert sorted(r.order_id for r in spark.read.parquet(table).collect()) == [1, 2, 3, 5]
 
 
+def test_an_order_with_an_older_date_is_stored(spark, tmp_path):
+    land, table, ckpt = tmp_path / "land", str(tmp_path / "t"), str(tmp_path / "ckpt")
+    land.mkdir()
+    for k, date in enumerate(["2025-06-01", "2025-01-01", "2024-01-01"]):
+        (land / f"{k}.json").write_text(_orders([k]).replace("2025-04-01", date))
+        ingest(spark, str(land), "orders", table, checkpoint=ckpt, dedupe_within="1 hour").awaitTermination()
+    assert sorted(r.order_id for r in spark.read.parquet(table).collect()) == [0, 1, 2]
+
+
 def test_ingest_csv_customers(spark, tmp_path):
     land, table = tmp_path / "land", str(tmp_path / "customers_tbl")
     land.mkdir()

@@ -18,7 +18,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from ledgerlake.plans.queries import QUERIES  # noqa: E402
 from ledgerlake.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -46,7 +46,7 @@ def summary(plan: str) -> dict[str, int]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, 16)
-    qs = queries()
+    qs = QUERIES
     rows = []
     for name, q in qs.items():
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
