@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +43,8 @@ def lookup(rows: DataFrame, keyed: DataFrame, key: str, weight: str, total: int)
     ``total / HOT_PARTS`` rows are fewer than HOT_PARTS, whatever the data: only those are broadcast, and their rows
     stay where they are. All other keys meet in a shuffle in which no key has more than 1/HOT_PARTS of the rows.
     """
-    is_hot = F.col(weight) * HOT_PARTS > F.lit(total)
+    # rounded up to a power of two, so that plans of one shape share their generated code
+    is_hot = F.col(weight) > F.lit(1 << (max(total, 1) // HOT_PARTS).bit_length())
     hot = keyed.filter(is_hot)
     stay = rows.join(F.broadcast(hot), key)
     move = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed.filter(~is_hot), key)
@@ -60,13 +61,3 @@ def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
         if words := data[at:end].lower().split():
             yield words
         at = end
-
-
-def by_row(function: Callable, *columns: str) -> Callable:
-    """A mapInArrow function from one that maps an iterator of row tuples of ``columns`` to an iterator of Arrow batches."""
-    def run(batches):
-        def rows():
-            for batch in batches:
-                yield from zip(*(batch.column(c).to_pylist() for c in columns))
-        return function(rows())
-    return run

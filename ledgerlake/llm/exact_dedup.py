@@ -43,16 +43,16 @@ def filter_blocks(rows: int, max_filter_bits: int = MAX_FILTER_BITS) -> int:
     return max(1, min(-(-rows * BITS_A_ROW // BLOCK_BITS), max_filter_bits // BLOCK_BITS))
 
 
-def repeat_filter(keys: DataFrame, blocks: int) -> DataFrame:
-    """Pass 1: (block, bitmap), the bits that two or more rows set."""
+def bit_filter(keys: DataFrame, blocks: int, least: int = 2) -> DataFrame:
+    """Pass 1: (block, bitmap), the bits that ``least`` or more rows set by their ``hash``."""
     bits = keys.select(F.pmod("hash", F.lit(blocks)).alias("block"),
                        F.explode(F.array_distinct(F.array(*_positions()))).alias("bit"))
-    twice = bits.groupBy("block", "bit").count().filter("count > 1")
-    return twice.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    kept = bits.groupBy("block", "bit").count().filter(F.col("count") >= least)
+    return kept.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
 
 
-def mark_repeats(keys: DataFrame, bitmaps: DataFrame, blocks: int) -> DataFrame:
-    """Pass 2: ``keys`` with ``again``, false where no other row has the same text."""
+def mark_found(keys: DataFrame, bitmaps: DataFrame, blocks: int) -> DataFrame:
+    """Pass 2: ``keys`` with ``again``, false where the filter lacks a bit of the ``hash``."""
     found = F.col("bitmap").isNotNull()
     for bit in _positions():
         byte = F.substring("bitmap", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))
@@ -66,8 +66,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, max_filter_bits: int):
     keys = durable(docs.select(*_keys(docs, id_col, text_col)), "dedup-keys")
     rows = keys.count()
     blocks = filter_blocks(rows, max_filter_bits)
-    bitmaps = durable(repeat_filter(keys, blocks), "dedup-filter")
-    marked = mark_repeats(keys, bitmaps, blocks)
+    bitmaps = durable(bit_filter(keys, blocks), "dedup-filter")
+    marked = mark_found(keys, bitmaps, blocks)
     groups = (marked.filter("again").groupBy("sha")
               .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     return marked, durable(groups, "dedup-groups"), bitmaps, rows
@@ -93,7 +93,22 @@ def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     _, groups, bitmaps, rows = _groups(docs, id_col, text_col, max_filter_bits)
     whole = docs.select(F.struct(*docs.columns).alias("row"), *_keys(docs, id_col, text_col))
-    marked = mark_repeats(whole, bitmaps, filter_blocks(rows, max_filter_bits))
+    marked = mark_found(whole, bitmaps, filter_blocks(rows, max_filter_bits))
     again, stay = marked.filter("again").alias("a"), groups.alias("g")
     survivors = again.join(stay, F.expr("a.sha = g.sha AND a.doc_id <=> g.keep_id"), "left_semi")
     return marked.filter("NOT again").select("row.*").unionByName(survivors.select("row.*"))
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id",
+                max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids`` (doc_id, distinct, not null): whole rows, their own columns.
+
+    Rows that a filter of the ids clears stay in their partition; only the rest meets the ids in a shuffle.
+    """
+    hashed = F.xxhash64(F.col("doc_id")).alias("hash")
+    blocks = filter_blocks(ids.count(), max_filter_bits)
+    bitmaps = durable(bit_filter(ids.select(hashed), blocks, least=1), "ids-filter")
+    whole = docs.select(F.struct(*docs.columns).alias("row"), docs[id_col].alias("doc_id")).select("*", hashed)
+    marked = mark_found(whole, bitmaps, blocks)
+    rest = marked.filter("again").join(ids.select("doc_id"), "doc_id", "left_anti")
+    return marked.filter("NOT again").select("row.*").unionByName(rest.select("row.*"))

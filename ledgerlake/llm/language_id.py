@@ -3,7 +3,7 @@
 Features are the one- to three-character n-grams of a text (letters in lower case, everything else one space), hashed
 to 2**14 buckets, with logarithmic term frequency, inverse document frequency over all training documents, and unit
 length. The weights are trained by follow-the-regularised-leader with L1 and L2 penalties on a bounded sample of
-labelled rows (``rows_a_language`` of each language in expectation, chosen by a hash of the id; default 1000); a fifth
+labelled rows (``rows_a_language`` of each language in expectation, chosen by a hash of the id; default 600); a fifth
 of the sample is held back to calibrate the temperature of the softmax.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0, and so is every text if there is no
@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import durable
+
 UNKNOWN = "und"
 BUCKET_BITS = 14
-ROWS_A_LANGUAGE = 1000
+ROWS_A_LANGUAGE = 600
 
 
 _LETTERS: list[np.ndarray] = []  # filled on first use
@@ -96,12 +98,12 @@ def train_ftrl(model: Model, rows: list, epochs: int = 4, alpha: float = 0.5, be
         sparse = l1 * (at < buckets)[:, None]
         return -np.sign(zs) * np.maximum(np.abs(zs) - sparse, 0) / ((beta + np.sqrt(n[at])) / alpha + l2)
 
-    prepared = [(model.languages.index(lang), np.append(terms, buckets), np.append(model.features(terms, counts), 1.0))
-                for lang, terms, counts in rows]
     order = np.random.default_rng(seed)
     for _ in range(epochs):
-        for k in order.permutation(len(prepared)):
-            label, at, x = prepared[k]
+        for k in order.permutation(len(rows)):
+            lang, terms, counts = rows[k]
+            label, at = model.languages.index(lang), np.append(terms, buckets)
+            x = np.append(model.features(terms, counts), 1.0)
             w = solve(at)
             gap = _softmax(x @ w)
             gap[label] -= 1
@@ -157,11 +159,13 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 def sample_terms(labelled: DataFrame, rows_a_language: int) -> list[tuple[str, np.ndarray, np.ndarray, bool]]:
     """(language, terms, counts, held back) of about ``rows_a_language`` rows of each language, chosen by a hash."""
-    sizes = labelled.groupBy("lang").count().withColumn("share", F.lit(float(rows_a_language)) / F.col("count"))
+    named = labelled.select("doc_id", "lang").filter("doc_id IS NOT NULL")
+    sizes = named.groupBy("lang").agg((F.lit(float(rows_a_language)) / F.count("*")).alias("share"))
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1_000_000)) / 1e6
-    chosen = (labelled.filter("doc_id IS NOT NULL").join(sizes.select("lang", "share"), "lang")
-              .filter(place < F.col("share"))
-              .select("lang", "text", (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("back")))
+    # ids only: the texts stay where they are, and what is broadcast is the bounded sample
+    ids = durable(named.join(sizes, "lang").filter(place < F.col("share")).select("doc_id", "lang"), "language-sample")
+    chosen = labelled.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select(
+        "lang", "text", (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("back"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,9 +175,9 @@ def sample_terms(labelled: DataFrame, rows_a_language: int) -> list[tuple[str, n
                  pa.array([c.astype("<i4").tobytes() for _, c in pairs])], ["lang", "back", "terms", "counts"])
 
     rows = chosen.mapInArrow(run, "lang string, back boolean, terms binary, counts binary").collect()
-    unpack = lambda b: np.frombuffer(b, "<i4").astype(np.int64)
-    out = [(r["lang"], unpack(r["terms"]), unpack(r["counts"]), r["back"]) for r in rows if r["terms"]]
-    return sorted(out, key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+    rows = sorted((r for r in rows if r["terms"]), key=lambda r: (r["lang"], r["terms"], r["counts"]))
+    unpack = lambda b: np.frombuffer(b, "<i4")  # noqa: E731  a view: the sample is held once
+    return [(r["lang"], unpack(r["terms"]), unpack(r["counts"]), r["back"]) for r in rows]
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

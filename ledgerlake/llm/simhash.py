@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import durable, lookup, word_blocks
+from ledgerlake.llm.exact_dedup import without_ids
 
 SEGMENTS = (13, 13, 13, 13, 12)
 MAX_DISTANCE = 2
@@ -155,11 +156,12 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps alternate until the links no longer change: O(log**2 n) rounds at most.
     """
     edges = durable(edges.select("u", "v").filter("u <> v"), "components")
-    state = None
-    for _ in range(MAX_ROUNDS):
-        edges = durable(_star(_star(edges, large=True), large=False), "components")
+    state = edges.count(), None
+    for _ in range(MAX_ROUNDS if state[0] else 1):
+        edges = durable(_star(edges, 2 * state[0], large=True), "components")
+        edges = durable(_star(edges, 2 * state[0], large=False), "components")
         row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(row) == state:
+        if tuple(row) == state or not row[0]:
             break
         state = tuple(row)
     else:
@@ -168,26 +170,26 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step: neighbours of a node (larger ones; or it and the smaller ones) move to the smallest of all."""
+def _star(edges: DataFrame, total: int, large: bool) -> DataFrame:
+    """One star step: neighbours of a node (larger ones; or it and the smaller ones) move to the smallest of all.
+
+    ``total``: at least the rows of ``edges`` in both directions, by which a node counts as a hub.
+    """
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    rows = both if large else both.filter("v < u")
+    least = rows.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("n"))
+    if large:
+        least = least.withColumn("least", F.least("u", "least"))
+    least = durable(least, "components-least")
+    met = lookup(rows, least, "u", "n", total)
     if large:
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("least"), F.count("*").alias("n"))
-        moved = _with_least(both, least).filter("v > u").select(F.col("least").alias("u"), "v")
+        moved = met.filter("v > u").select(F.col("least").alias("u"), "v")
     else:
-        lower = both.filter("v < u")
-        least = lower.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("n"))
-        moved = (_with_least(lower, least).select(F.col("least").alias("u"), "v")
-                 .unionByName(least.select(F.col("least").alias("u"), F.col("u").alias("v"))))
+        moved = met.select(F.col("least").alias("u"), "v").unionByName(
+            least.select(F.col("least").alias("u"), F.col("u").alias("v")))
     return moved.filter("u < v").distinct()
 
 
-def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
-    least = durable(least, "components-least")
-    total = least.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return lookup(rows, least, "u", "n", total)
-
-
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                        segments: tuple[int, ...] = SEGMENTS, distance: int = MAX_DISTANCE,
                        bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
@@ -213,5 +215,5 @@ def keep_one_near_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows with a null id stay, as nothing names one of them.
     """
     found = durable(simhash_components(docs, id_col, text_col, **options), "simhash-found")
-    drop = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(drop, docs[id_col] == drop["doc_id"], "left_anti")
+    drop = durable(found.filter("doc_id <> component_id").select("doc_id").distinct(), "simhash-drop")
+    return without_ids(docs, drop, id_col)

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from ledgerlake.llm.exact_dedup import exact_dedup, filter_blocks, keep_one_copy, mark_repeats, repeat_filter
+from ledgerlake.llm.exact_dedup import bit_filter, exact_dedup, filter_blocks, keep_one_copy, mark_found, without_ids
 from tests.llm.cases import SCHEMA, hard_docs, hard_rows, no_docs, row
 
 
@@ -53,7 +53,7 @@ def test_the_filter_lets_single_texts_pass(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     keys = docs.selectExpr("doc_id", "unhex(sha2(text, 256)) AS sha", "xxhash64(text) AS hash")
     blocks = filter_blocks(5000)
-    marked = mark_repeats(keys, repeat_filter(keys, blocks), blocks)
+    marked = mark_found(keys, bit_filter(keys, blocks), blocks)
     again = {r["doc_id"] for r in marked.filter("again").collect()}
     assert {k for k in range(5000) if k < 100 or k >= 4900} <= again  # none of the repeated rows is missed
     assert len(again) < 200 + 100
@@ -62,3 +62,13 @@ def test_the_filter_lets_single_texts_pass(spark):
 def test_runs_without_python(spark):
     plan = exact_dedup(hard_docs(spark))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_rows_without_given_ids(spark):
+    docs = hard_docs(spark)
+    ids = spark.createDataFrame([(k,) for k in [2, 9, *range(100, 130), 10**9]], "doc_id long")
+    kept = without_ids(docs, ids)
+    assert kept.schema == docs.schema
+    want = [r[0] for r in hard_rows() if r[0] not in (2, 9, *range(100, 130))]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert without_ids(docs, ids.limit(0)).count() == len(hard_rows())
