@@ -84,7 +84,7 @@ def balanced_partitions(x: np.ndarray, near: np.ndarray, parts: int, slack: floa
         best = kept.argmax(axis=1)
         gain = kept[np.arange(len(x)), best] - kept[np.arange(len(x)), label]
         sizes, moved = np.bincount(label, minlength=parts), 0
-        for row in np.argsort(-gain, kind="stable")[:np.count_nonzero(gain > 0)][::1]:
+        for row in np.argsort(-gain, kind="stable")[:np.count_nonzero(gain > 0)]:
             if sizes[best[row]] < most:
                 sizes[label[row]] -= 1
                 sizes[best[row]] += 1

@@ -146,4 +146,4 @@ def classify(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
     odds = float(np.log(cut / (1 - cut)))
     above = F.col("raw") - F.lit(float(at))
     score = F.when(above == 0, F.lit(cut)).otherwise(1 / (1 + F.exp(-(above + F.lit(odds)))))
-    return scored.select("doc_id", score.alias("score"), (above >= 0).cast("int").alias("predicted"))
+    return scored.select("doc_id", score.alias("score")).withColumn("predicted", (F.col("score") >= cut).cast("int"))
