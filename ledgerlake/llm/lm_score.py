@@ -121,39 +121,48 @@ class LogBilinear:
             up = _logistic(log_noise[w] - (guess * own).sum(axis=1) - bias[w])
             down = _logistic(guess @ others.T + (bias[drawn] - log_noise[drawn]))
             toward = up[:, None] * own - down @ others
-            g_out, g_into, g_bias = np.zeros_like(out), np.zeros_like(into), np.zeros_like(bias)
-            np.add.at(g_out, w, up[:, None] * guess)
-            np.subtract.at(g_out, drawn, down.T @ guess)
-            np.add.at(g_bias, w, up)
-            np.subtract.at(g_bias, drawn, down.sum(axis=0))
+            n = len(bias)
+            g_out = _row_sums([w, drawn], [up[:, None] * guess, -(down.T @ guess)], n)
+            g_bias = np.bincount(w, up, n) - np.bincount(drawn, down.sum(axis=0), n)
             g_mix = np.stack([(toward * v).sum(axis=0) for v in vectors])
-            for k, c in enumerate(before):
-                np.add.at(g_into, c, toward * mix[k])
+            g_into = _row_sums(before, [toward * mix[k] for k in range(CONTEXT)], n)
             for x, g, s in zip(self.parameters, (g_out, g_into, g_mix, g_bias), state, strict=True):
-                g /= len(rows)
+                g = (g / len(rows)).astype(np.float32)
                 s += g * g
                 x += rate * g / (np.sqrt(s) + 1e-6)
 
     def fresh_state(self) -> list[np.ndarray]:
         return [np.full_like(x, 1e-6) for x in self.parameters]
 
-    def log_probabilities(self, documents: list[np.ndarray], chunk: int = 2048) -> np.ndarray:
+    def log_probabilities(self, documents: list[np.ndarray], chunk: int = 512) -> np.ndarray:
         """The natural log-probability of every token's class, normalised over all classes."""
         target, context = self.contexts(documents)
         out, into, mix, bias = self.parameters
-        turned = np.ascontiguousarray(out.T)
+        turned = np.ascontiguousarray(np.column_stack([out, bias]).T)  # the bias meets a constant 1
+        mixed = [np.column_stack([into * mix[k], np.full(len(into), k == 0)]).astype(np.float32) for k in range(CONTEXT)]
+        ones = np.ones(len(bias), np.float32)
+        # no score is beyond this, so scores that cannot overflow are used as they are
+        most = sum(np.abs(m).max(axis=0) for m in mixed) @ np.abs(turned).max(axis=1)
         found = np.empty(len(target))
         for at in range(0, len(target), chunk):
-            guess = sum(into[c[at:at + chunk]] * mix[k] for k, c in enumerate(context))
-            logits = guess @ turned
-            logits += bias
-            logits -= logits.max(axis=1, keepdims=True)
-            own = logits[np.arange(len(logits)), target[at:at + chunk]]
-            np.exp(logits, out=logits)
-            found[at:at + chunk] = own - np.log(logits.sum(axis=1))
+            guess = mixed[0][context[0, at:at + chunk]]
+            for m, c in zip(mixed[1:], context[1:], strict=True):
+                guess += m[c[at:at + chunk]]
+            scores = guess @ turned
+            if most > 60:
+                scores -= scores.max(axis=1, keepdims=True)
+            own = scores[np.arange(len(scores)), target[at:at + chunk]]
+            np.exp(scores, out=scores)
+            found[at:at + chunk] = own - np.log(scores @ ones)
         return found
 
 
+def _row_sums(rows: list[np.ndarray], values: list[np.ndarray], size: int) -> np.ndarray:
+    """The sum of the value rows by row number, as a matrix of ``size`` rows."""
+    at = np.concatenate(rows)[:, None] * WIDTH + np.arange(WIDTH)
+    return np.bincount(at.ravel(), np.concatenate(values).ravel(), size * WIDTH).reshape(size, WIDTH)
+
+
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -285,33 +294,36 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                 group.append(words.places(x.as_py()))
                 size += len(group[-1][0])
                 if size >= 1 << 18 or k == batch.num_rows - 1:
-                    yield of_group(group, ids[at:k + 1], number, batch.column("doc_id").type)
+                    yield from of_group(group, ids[at:k + 1], number, batch.column("doc_id").type)
                     number += len(group)
                     at, size, group = k + 1, 0, []
 
-    def of_group(group: list, ids: list, number: int, id_type: pa.DataType) -> pa.RecordBatch:
+    def of_group(group: list, ids: list, number: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        """The rows of documents, then those of their words that are not hot."""
+        types = [pa.int64(), id_type, pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+
+        def batch_of(size: int, **given) -> pa.RecordBatch:
+            columns = [pa.array(given[c], t) if c in given else pa.nulls(size, t) for c, t in zip(names, types, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, names)
+
         classes = [words.classes(places, rare) for places, rare in group]
         logs = model.log_probabilities(classes) / np.log(10)
-        rows: list[list] = [[] for _ in names]
-        start = 0
-        for k, ((places, rare), own) in enumerate(zip(group, classes, strict=True)):
+        start, of_doc, found = 0, [], []
+        for (places, rare), own in zip(group, classes, strict=True):
             hot = places[places >= 0]
             part = logs[start:start + len(own)].sum() - class_mass[own].sum()
             part += log_count[hot[shared[words.hot_class[hot]]]].sum()
             start += len(own)
-            if places[-1] < 0:  # an end that was never learnt
-                rare = [*rare, END]
-            for column, v in zip(rows, (number + k, ids[k], None, None, len(places), len(hot),
-                                        float(log_count[hot].sum()), float(part)), strict=True):
-                column.append(v)
-            found = Counter(rare)
-            rows[0] += [number + k] * len(found)
-            rows[2] += found.keys()
-            rows[3] += found.values()
-            for column in (rows[1], *rows[4:]):
-                column += [None] * len(found)
-        types = [pa.int64(), id_type, pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names)
+            of_doc.append((len(places), len(hot), log_count[hot].sum(), part))
+            # an end that was never learnt is a word like the others
+            found.append(Counter(rare if places[-1] >= 0 else [*rare, END]))
+        rows = np.arange(number, number + len(group))
+        tokens, known, base, score = zip(*of_doc, strict=True)
+        yield batch_of(len(rows), row=rows, doc_id=ids, tokens=tokens, known=known, base=base, model=score)
+        if any(found):
+            counts = np.array([len(c) for c in found])
+            yield batch_of(int(counts.sum()), row=np.repeat(rows, counts), word=[w for c in found for w in c],
+                           tf=[n for c in found for n in c.values()])
 
     found = durable(texts.mapInArrow(run, f"row bigint, doc_id {kind}, word binary, tf int, tokens bigint, "
                                           "known bigint, base double, model double"), "lm-parts")
