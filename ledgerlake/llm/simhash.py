@@ -153,23 +153,28 @@ def links(nodes: DataFrame, segments: tuple[int, ...] = SEGMENTS, distance: int
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v); root is the smallest node of the component.
 
-    Large-star and small-star steps alternate until the links no longer change: O(log**2 n) rounds at most.
+    Large-star and small-star steps alternate until every component is a star: O(log**2 n) rounds at most.
     """
     edges = durable(edges.select("u", "v").filter("u <> v"), "components")
-    state = edges.count(), None
-    for _ in range(MAX_ROUNDS if state[0] else 1):
-        edges = durable(_star(edges, 2 * state[0], large=True), "components")
-        edges = durable(_star(edges, 2 * state[0], large=False), "components")
-        row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(row) == state or not row[0]:
-            break
-        state = tuple(row)
-    else:
-        raise RuntimeError("components did not settle")
+    rounds = 0
+    while not _is_settled(edges):
+        if (rounds := rounds + 1) > MAX_ROUNDS:
+            raise RuntimeError("components did not settle")
+        total = 2 * edges.count()
+        edges = durable(_star(edges, total, large=True), "components")
+        edges = durable(_star(edges, total, large=False), "components")
     return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
         edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether the links are stars whose centres are their smallest nodes: u < v, each v once, no u a v as well."""
+    wrong = edges.filter("u > v").select("v")
+    twice = edges.groupBy("v").count().filter("count > 1").select("v")
+    inner = edges.select("v").distinct().join(edges.select(F.col("u").alias("v")), "v", "left_semi")
+    return wrong.unionByName(twice).unionByName(inner).isEmpty()
+
+
 def _star(edges: DataFrame, total: int, large: bool) -> DataFrame:
     """One star step: neighbours of a node (larger ones; or it and the smaller ones) move to the smallest of all.
 
