@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import re
 
+import numpy as np
 import tiktoken
 
 # The pattern that splits text before the merges, and the printable stand-ins of the byte-level alphabet.
@@ -38,6 +39,10 @@ class ByteBpe:
         self.special = {x["content"]: x["id"].to_bytes(4, "little") for x in given["added_tokens"]}
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.encoding = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        known = {rank: len(token) for token, rank in ranks.items()}
+        known |= {int.from_bytes(rank, "little"): len(x.encode()) for x, rank in self.special.items()}
+        self.size = np.zeros(max(known) + 1, np.int64)  # bytes by id
+        self.size[list(known)] = list(known.values())
         self.first: dict[str, bytes] = {}  # pieces at the start of a text, and odd ones
         self.after: dict[str, bytes] = {}  # pieces without their space before
         self.limit = limit
@@ -47,6 +52,10 @@ class ByteBpe:
             return b"".join(self.special.get(x) or self._plain(x) for x in self.split.split(text) if x)
         return self._plain(text)
 
+    def sizes(self, ids: bytes) -> np.ndarray:
+        """The bytes of text that each of the ``ids`` stands for."""
+        return self.size[np.frombuffer(ids, "<u4")]
+
     def _raw(self, text: str) -> bytes:
         return b"".join([x.to_bytes(4, "little") for x in self.encoding.encode_ordinary(text)])
 
