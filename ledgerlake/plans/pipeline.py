@@ -29,7 +29,7 @@ from ledgerlake.operators import cleaning as C
 from ledgerlake.operators.quality import generate_quality_report, report_as_dict
 from ledgerlake.sinks import warehouse as W
 from ledgerlake.sources.catalog import find_selected_file, list_input_files, list_processed_datasets
-from ledgerlake.sources.files import file_extension, load_csv, load_file
+from ledgerlake.sources.files import file_extension, load_csv, load_file, load_text_columns
 
 RUNS_TABLE = "pipeline_runs"
 
@@ -55,11 +55,24 @@ TYPED_CLEANERS = {
 def clean_for(df: DataFrame, entity: str | None) -> DataFrame:
     """Generic cleaning, or the typed cleaner of ``entity`` (after name
     normalisation and casting to the entity's types; empty strings are kept, as
-    the typed cleaners only trim)."""
+    the typed cleaners only trim). Columns of the entity that are missing raise
+    ``ValueError``; further ones are kept."""
     if entity is None:
         return C.clean_dataframe(df)
-    typed = C.cast_to_entity(normalize_columns(df), ENTITIES[entity])
-    return TYPED_CLEANERS[entity](typed)
+    named = normalize_columns(df)
+    missing = [c for c in ENTITIES[entity].columns if c not in named.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} for {entity}; found {', '.join(named.columns)}")
+    return TYPED_CLEANERS[entity](C.cast_to_entity(_whole_numbers(named, ENTITIES[entity].schema), ENTITIES[entity]))
+
+
+def _whole_numbers(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text such as ``2.0`` in columns that become whole numbers, which a cast of text refuses, without its fraction."""
+    from pyspark.sql import functions as F
+    whole = {f.name for f in schema.fields if isinstance(f.dataType, T.LongType)}
+    return df.withColumns({
+        f.name: F.coalesce(F.col(f.name).try_cast("bigint"), F.col(f.name).try_cast("decimal(38,6)").try_cast("bigint"))
+        for f in df.schema.fields if f.name in whole and isinstance(f.dataType, T.StringType)})
 
 
 def append_run_record(spark: SparkSession, warehouse_root: str, record: dict) -> None:
@@ -86,13 +99,16 @@ def process_dataset(spark: SparkSession, path: str, name: str, warehouse_root: s
     """Load, profile, clean, load into the warehouse and profile one dataset.
 
     ``load_options``: ``multi_line``, ``schema``, ``row_tags``, ``root_tag`` of
-    :func:`ledgerlake.sources.files.load_file`; a typed run of CSV or JSON reads with its
-    entity's schema unless another is given, so nothing is inferred. ``num_files``: of
-    the table's clustered layout, by default from the size of the input.
+    :func:`ledgerlake.sources.files.load_file`; a typed run of CSV or JSON reads text by
+    header or field names unless a schema is given, so no types are inferred. ``num_files``:
+    of the table's clustered layout, by default from the size of the input.
     """
-    if entity and "schema" not in load_options and file_extension(path) in (".csv", ".json"):
-        load_options["schema"] = ENTITIES[entity].schema
-    raw = load_file(spark, path, **load_options)
+    if entity and load_options.get("schema") is None and file_extension(path) in (".csv", ".json"):
+        raw = load_text_columns(spark, path, multi_line=load_options.get("multi_line", True))
+        if not raw.columns:  # no header or no record at all
+            raw = spark.createDataFrame([], ENTITIES[entity].schema)
+    else:
+        raw = load_file(spark, path, **load_options)
     return process_frame(spark, raw, name, warehouse_root, processed_dir, entity, num_files or input_files(spark, path))
 
 

@@ -30,13 +30,15 @@ VALUE_TAG = "_VALUE"
 
 def load_csv(spark: SparkSession, path: str, *, header: bool = True, infer_schema: bool = True,
              schema: T.StructType | None = None, multi_line: bool = True,
-             mode: str | None = None) -> DataFrame:
+             mode: str | None = None, enforce_schema: bool = True) -> DataFrame:
     """CSV with a header row. Quoted newlines belong to their field, and a doubled quote
     inside a quoted field is an escaped quote. An unquoted empty field is NULL.
     ``multi_line=False``: one record a line, read in parallel; anything else raises.
-    ``mode``: PERMISSIVE, or FAILFAST with ``multi_line=False``, unless given."""
+    ``mode``: PERMISSIVE, or FAILFAST with ``multi_line=False``, unless given. A ``schema`` applies by
+    position; ``enforce_schema=False`` raises where a header has other names."""
     reader = (spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
-              .option("mode", mode or ("PERMISSIVE" if multi_line else "FAILFAST")))
+              .option("mode", mode or ("PERMISSIVE" if multi_line else "FAILFAST"))
+              .option("enforceSchema", enforce_schema))
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -45,10 +47,10 @@ def load_csv(spark: SparkSession, path: str, *, header: bool = True, infer_schem
 
 
 def load_json(spark: SparkSession, path: str, *, multi_line: bool = True,
-              schema: T.StructType | None = None) -> DataFrame:
+              schema: T.StructType | None = None, as_text: bool = False) -> DataFrame:
     """A JSON document or array of objects per file (``multi_line``), or JSON lines.
-    Inferred columns come out in alphabetical order."""
-    reader = spark.read.option("multiLine", multi_line)
+    Inferred columns come out in alphabetical order. ``as_text``: plain values stay text."""
+    reader = spark.read.option("multiLine", multi_line).option("primitivesAsString", as_text)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -154,6 +156,20 @@ def file_extension(path: str) -> str:
     return PurePath(path).suffix.lower()
 
 
+def load_text_columns(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """CSV or JSON by its own header or field names, every plain value as text.
+
+    CSV reads the header only; several files must have the same one, others raise. JSON has no header, so its field
+    names take a pass over the input.
+    """
+    if file_extension(path) == ".json":
+        return load_json(spark, path, multi_line=multi_line, as_text=True)
+    df = load_csv(spark, path, infer_schema=False, multi_line=multi_line)
+    if len(df.inputFiles()) > 1:
+        df = load_csv(spark, path, schema=df.schema, multi_line=multi_line, enforce_schema=False)
+    return df
+
+
 def load_file(spark: SparkSession, path: str, *, multi_line: bool = True, schema: T.StructType | None = None,
               row_tags: list[str] | None = None, root_tag: str | None = None) -> DataFrame:
     """Dispatch on the lower-cased extension; unknown extensions raise ``ValueError``.
