@@ -11,7 +11,7 @@ beyond the repeated rows is a digest of some 50 bytes a row (in :func:`keep_one_
 
 Defined results: a null text counts as empty. Rows with a null id count in their group; the row that stays is one with
 an id, and if the group has none, keep_id is null and its rows are all kept, as nothing names one of them. Rows that
-repeat both id and text are one document and share its decision. An empty table gives an empty table. Other columns
+repeat both id and text are one document and share its decision; :func:`keep_one_copy` keeps one row of these too. An empty table gives an empty table. Other columns
 are neither read nor changed, whatever their names.
 """
 
@@ -62,7 +62,7 @@ def mark_found(keys: DataFrame, bitmaps: DataFrame, blocks: int) -> DataFrame:
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, max_filter_bits: int):
-    """The keys with their marks, the groups of marked rows, the bitmaps and the number of rows."""
+    """The keys with their marks, the groups of marked rows and the number of rows."""
     keys = durable(docs.select(*_keys(docs, id_col, text_col)), "dedup-keys")
     rows = keys.count()
     blocks = filter_blocks(rows, max_filter_bits)
@@ -70,13 +70,13 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, max_filter_bits: int):
     marked = mark_found(keys, bitmaps, blocks)
     groups = (marked.filter("again").groupBy("sha")
               .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
-    return marked, durable(groups, "dedup-groups"), bitmaps, rows
+    return marked, durable(groups, "dedup-groups"), rows
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """A row a document: doc_id, keep_id (the largest id of its group), group_size, kept, text_sha256."""
-    marked, groups, _, rows = _groups(docs, id_col, text_col, max_filter_bits)
+    marked, groups, rows = _groups(docs, id_col, text_col, max_filter_bits)
     once = marked.filter("NOT again").select("doc_id", "sha", F.col("doc_id").alias("keep_id"),
                                              F.lit(1).cast("long").alias("group_size"))
     again = lookup(marked.filter("again").select("doc_id", "sha"), groups, "sha", "group_size", rows)
@@ -86,19 +86,41 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
-    """``docs`` without the rows that :func:`exact_dedup` drops: whole rows, their own columns.
+    """``docs`` with one row of each text: one with the largest id, or without an id if none has one. Whole rows, their
+    own columns; of rows with that id the last one as JSON text.
 
-    Rows that the filter clears stay in their partition. The others meet the surviving (text, id) pairs in a join on
-    both, in which a group of copies is no hot key.
+    Rows that the filter clears stay in their partition. The others are reduced to one a text in each task before they
+    move, so a group of copies is no hot key.
     """
-    _, groups, bitmaps, rows = _groups(docs, id_col, text_col, max_filter_bits)
+    keys = durable(docs.select(*_keys(docs, id_col, text_col)), "dedup-keys")
+    blocks = filter_blocks(keys.count(), max_filter_bits)
+    bitmaps = durable(bit_filter(keys, blocks), "dedup-filter")
     whole = docs.select(F.struct(*docs.columns).alias("row"), *_keys(docs, id_col, text_col))
-    marked = mark_found(whole, bitmaps, filter_blocks(rows, max_filter_bits))
-    again, stay = marked.filter("again").alias("a"), groups.alias("g")
-    survivors = again.join(stay, F.expr("a.sha = g.sha AND a.doc_id <=> g.keep_id"), "left_semi")
+    marked = mark_found(whole, bitmaps, blocks)
+    best = F.max_by("row", F.struct("doc_id", F.to_json("row")))  # nulls are the smallest
+    survivors = marked.filter("again").groupBy("sha").agg(best.alias("row"))
     return marked.filter("NOT again").select("row.*").unionByName(survivors.select("row.*"))
 
 
+def one_row_an_id(docs: DataFrame, ids: DataFrame, drop: DataFrame, id_col: str,
+                  max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
+    """``docs`` without the rows whose id is in ``drop`` and with one row of each other id in ``ids`` (both doc_id,
+    distinct, ``drop`` part of ``ids``); whole rows without ``id_col``.
+
+    As in :func:`without_ids`, rows that a filter of the ids clears stay in their partition. The others are reduced to
+    one an id before they move.
+    """
+    hashed = F.xxhash64(F.col("doc_id")).alias("hash")
+    blocks = filter_blocks(ids.count(), max_filter_bits)
+    bitmaps = durable(bit_filter(ids.select(hashed), blocks, least=1), "ids-filter")
+    own = [c for c in docs.columns if c != id_col]
+    whole = docs.select(F.struct(*own).alias("row"), docs[id_col].alias("doc_id")).select("*", hashed)
+    marked = mark_found(whole, bitmaps, blocks)
+    listed = marked.filter("again").groupBy("doc_id").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    rest = listed.join(drop.select("doc_id"), "doc_id", "left_anti")
+    return marked.filter("NOT again").select("row.*").unionByName(rest.select("row.*"))
+
+
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id",
                 max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """``docs`` without the rows whose id is in ``ids`` (doc_id, distinct, not null): whole rows, their own columns.

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import durable, lookup, word_blocks
-from ledgerlake.llm.exact_dedup import without_ids
+from ledgerlake.llm.exact_dedup import one_row_an_id, without_ids
 
 SEGMENTS = (13, 13, 13, 13, 12)
 MAX_DISTANCE = 2
@@ -222,3 +222,23 @@ def keep_one_near_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = durable(simhash_components(docs, id_col, text_col, **options), "simhash-found")
     drop = durable(found.filter("doc_id <> component_id").select("doc_id").distinct(), "simhash-drop")
     return without_ids(docs, drop, id_col)
+
+
+def keep_one_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component, the one with the smallest id; whole rows, their own columns.
+
+    Rows are told apart by id and text hash: texts under one id are decided each on its own, of rows equal in both one
+    stays, and of a component without ids one row. Ids come before none.
+    """
+    name = "_id_and_text"
+    while name in docs.columns:
+        name += "_"
+    key = F.struct(docs[id_col].isNull().alias("missing"), docs[id_col].alias("id"),
+                   F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("hash"))
+    keyed = docs.withColumn(name, key)
+    found = durable(simhash_components(keyed, name, text_col, **options).select("doc_id", "component_id"),
+                    "simhash-found")
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or(F.col("doc_id") != F.col("component_id"))
+                                      .alias("leaves")).filter("n > 1 OR leaves")
+    ids = durable(ids, "simhash-drop")
+    return one_row_an_id(keyed, ids, ids.filter("leaves"), name)
