@@ -38,6 +38,7 @@ class ByteBpe:
         ranks = {bytes(stands[c] for c in token): rank for token, rank in given["model"]["vocab"].items()}
         self.special = {x["content"]: x["id"].to_bytes(4, "little") for x in given["added_tokens"]}
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.ranks = ranks
         self.encoding = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         known = {rank: len(token) for token, rank in ranks.items()}
         known |= {int.from_bytes(rank, "little"): len(x.encode()) for x, rank in self.special.items()}

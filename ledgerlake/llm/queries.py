@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ann, chat_format, language_id, lm_score, packing, quality, trie_bpe
+from ledgerlake.llm import (ann, chat_format, decontamination, language_id, lm_score, packing, periodic_runs, quality,
+                            token_alignment, trie_bpe)
 from ledgerlake.llm.common import table
 from ledgerlake.llm.exact_dedup import exact_dedup
 from ledgerlake.llm.secret_scan import digest as secret_digest
@@ -19,7 +20,7 @@ ORACLE: dict[str, str] = {}
 
 
 #: Names of the public tokenizer files; see :func:`tokenizer_path`.
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -111,7 +112,28 @@ def packing_digest(pieces: DataFrame) -> DataFrame:
                          "offset")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.digest(found)
+
+
+ORACLE["op11_decontamination"] = decontamination.digest_sql()
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE),
+                                      tokenizer_path(PIECE_BPE))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                        digest.alias("groups_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"),
+                                                            change=periodic_runs.repeat_tail))
+
+
 QUERIES |= {f.__name__: f for f in (
     op1_language_id, op2_trie_bpe, op3_quality, op4_secret_scan, op5_lm_score,
     op6_exact_dedup, op7_learned_partitions, op8_simhash,
-    op9_chat_format, op10_packing)}
+    op9_chat_format, op10_packing, op11_decontamination, op12_token_alignment, op13_periodic_runs)}
