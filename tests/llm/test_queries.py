@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= entry.queries().keys() and ORACLE.keys() <= entry.oracle_sql().keys()
     assert "pipeline" not in entry.oracle_sql()
 
@@ -41,6 +41,12 @@ CONTRACT = {
             "loss_sha256": "string", "formatted_chars": "bigint"},
     "op10": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint",
              "sequence_id": "bigint", "offset": "bigint"},
+    "op11": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint",
+             "items_sha256": "string", "contaminated": "boolean"},
+    "op12": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint",
+             "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
+    "op13": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
+             "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
 }
 
 
