@@ -122,10 +122,9 @@ ORACLE["op11_decontamination"] = decontamination.digest_sql()
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE),
-                                      tokenizer_path(PIECE_BPE))
-    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+                                      tokenizer_path(PIECE_BPE), digests=True)
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
-                        digest.alias("groups_sha256"))
+                        F.col("groups").alias("groups_sha256"))
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,7 @@ the other. How many documents hold a pair of ids linked is counted over the whol
 weighed with these counts.
 
 The tokenizers: A is a byte-level BPE file, B a sentencepiece BPE model with byte fallback that adds a space in front.
-Both cut a text at a single space between two other characters, so such pieces are encoded once and kept in a cache of
-bounded size. A group's pairs are taken by distinct ids with their multiplicity where a group has many tokens, so a
+A group's pairs are taken by distinct ids with their multiplicity where a group has many tokens, so a
 group costs its distinct pairs only. A batch is worked off in parts of ``PART_CHARS`` characters (or one text, if longer).
 
 The pair counts are no broadcast: only pairs that more than ``1 / HOT_PAIRS`` of all (document, pair) rows hold are, so
@@ -22,9 +21,9 @@ as a document each. An empty table gives an empty table. Extra columns are not r
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,57 +35,39 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.byte_bpe import ByteBpe
 from ledgerlake.llm.common import durable
 
-PART_CHARS = 1_000_000
+PART_CHARS = 500_000
 #: Pairs held by more than 1/HOT_PAIRS of all (document, pair) rows are broadcast.
 HOT_PAIRS = 1 << 19
 #: Groups with more links than this are expanded by distinct ids.
 WIDE_GROUP = 256
 SPACE_MARK = "▁"  # fixed value: sentencepiece's stand-in for a space
 
-_CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
-
 
 class Tokens:
-    """Token ids of both sides, with each id's bytes. ``limit``: most cached pieces."""
-
-    def __init__(self, byte_bpe: str, piece_bpe: str, limit: int = 700_000) -> None:
-        self.a = ByteBpe(byte_bpe)
-        self.b = sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
-        self.a_bytes = dict(zip(self.a.ranks.values(), self.a.ranks))
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(SPACE_MARK, " ").encode()
-                        for k in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(k)]]
-        self.a_size = self.a.size
-        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
-        self.limit = limit
-
-    def _learn(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """The ids of a space and each piece; None where they stand for other bytes. Short ones go into the cache."""
-        found: dict[str, tuple[bytes, bytes] | None] = {}
-        for piece, b in zip(pieces, self.b.encode(pieces, num_threads=1)):
-            want = b" " + piece.encode()
-            a = self.a.encoding.encode_ordinary(" " + piece)
-            same = (b"".join([self.a_bytes[k] for k in a]) == want and b"".join([self.b_bytes[k] for k in b]) == want)
-            found[piece] = (array("I", a).tobytes(), array("I", b).tobytes()) if same else None
-            if same and len(piece) < 64:
-                self.cache[piece] = found[piece]
-        return found
-
-    def ids(self, text: str | None) -> tuple[bytes, bytes]:
-        """The ids of a space and the text by A and of the text by B, as little-endian unsigned 32-bit integers; none if
-        there is no text, or where either side's bytes differ from a space and the text."""
-        if not text or SPACE_MARK in text:
-            return b"", b""
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        pieces = _CLEAN_SPACE.split(text)
-        found = [self.cache.get(x) for x in pieces]
-        if None in found:
-            new = self._learn(list(dict.fromkeys(x for x, ids in zip(pieces, found) if ids is None)))
-            if None in new.values():
-                return b"", b""
-            found = [new[x] if ids is None else ids for x, ids in zip(pieces, found)]
-        return b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
+    """Token ids of both sides, with each id's bytes."""
+
+    def __init__(self, byte_bpe: str, piece_bpe: str) -> None:
+        a, b = ByteBpe(byte_bpe), sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
+        self.encode_a, self.encode_b = a.encoding.encode_ordinary, b.encode
+        self.a_bytes = [b""] * len(a.size)
+        for token, k in a.ranks.items():
+            self.a_bytes[k] = token
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if b.is_byte(k) else p.replace(SPACE_MARK, " ").encode()
+                        for k in range(b.get_piece_size()) for p in [b.id_to_piece(k)]]
+        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+
+    def ids(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
+        """For each text the ids of a space and the text by A, and of the text by B; none if there is no text, or where
+        either side's bytes differ from a space and the text."""
+        out = []
+        for text, b in zip(texts, self.encode_b([x or "" for x in texts], num_threads=1)):
+            want = b" " + (text or "").encode()
+            if not text or b"".join([self.b_bytes[k] for k in b]) != want:
+                out.append(([], []))
+                continue
+            a = self.encode_a(" " + text)
+            out.append((a, b) if b"".join([self.a_bytes[k] for k in a]) == want else ([], []))
+        return out
 
 
 def _covering(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
@@ -106,7 +87,7 @@ def overlaps(a_doc: np.ndarray, a_size: np.ndarray, b_doc: np.ndarray, b_size: n
     # a start that both sides share gives its pair in both directions: it counts once
     new = b["start"].to_numpy() != a["start"].to_numpy()[by_b]
     left, right = np.concatenate([rows_a, by_b[new]]), np.concatenate([by_a, rows_b[new]])
-    order = np.lexsort((right, left))
+    order = np.argsort(left * (len(b) + 1) + right, kind="stable")  # two ordered runs: merged in one pass
     left, right = left[order], right[order]
     return left, right, a_end[left] == b_end[right]
 
@@ -114,13 +95,11 @@ def overlaps(a_doc: np.ndarray, a_size: np.ndarray, b_doc: np.ndarray, b_size: n
 class Aligned:
     """The alignment of a part: documents' tokens one after another, groups with their tokens' first rows and numbers."""
 
-    def __init__(self, found: list[tuple[bytes, bytes]], tokens: Tokens) -> None:
+    def __init__(self, found: list[tuple[list[int], list[int]]], tokens: Tokens) -> None:
         n = len(found)
         self.docs = n
-        self.n_a = np.array([len(x[0]) // 4 for x in found], np.int64)
-        self.n_b = np.array([len(x[1]) // 4 for x in found], np.int64)
-        self.a = np.frombuffer(b"".join([x[0] for x in found]), "<u4").astype(np.int64)
-        self.b = np.frombuffer(b"".join([x[1] for x in found]), "<u4").astype(np.int64)
+        self.n_a, self.n_b = (np.array([len(x[k]) for x in found], np.int64) for k in (0, 1))
+        self.a, self.b = (np.array(array("I", chain.from_iterable(x[k] for x in found)), np.int64) for k in (0, 1))
         a_doc, b_doc = np.repeat(np.arange(n), self.n_a), np.repeat(np.arange(n), self.n_b)
         left, right, ends = overlaps(a_doc, tokens.a_size[self.a], b_doc, tokens.b_size[self.b])
         self.doc = a_doc[left[ends]]  # by group
@@ -197,23 +176,23 @@ def align(docs: DataFrame, byte_bpe: str, piece_bpe: str, id_col: str = "doc_id"
         a_text = np.array([str(k) for k in range(len(tokens.a_size))], object)
         b_text = np.array([str(k) for k in range(len(tokens.b_size))], object)
         for batch in batches:
-            start, found, size = 0, [], 0
+            start, texts, size = 0, [], 0
             for k, x in enumerate(batch.column("text")):
-                found.append(tokens.ids(text := x.as_py()))
+                texts.append(text := x.as_py())
                 size += len(text or "")
                 if size < PART_CHARS and k < batch.num_rows - 1:
                     continue
-                part = Aligned(found, tokens)
+                part, n = Aligned(tokens.ids(texts), tokens), len(texts)
                 doc, code, times = part.pairs(len(tokens.b_size))
-                offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(found)))]), pa.int32())
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(start, len(found)), batch.column("doc_id").slice(start, len(found)),
+                    [batch.column("row").slice(start, n), batch.column("doc_id").slice(start, n),
                      *(pa.array(x, pa.int64()) for x in (part.n_a, part.n_b, part.n_groups, part.n_overlaps,
                                                          part.n_links)),
                      pa.array(part.group_strings(a_text, b_text), pa.string()),
                      pa.ListArray.from_arrays(offsets, pa.array(code, pa.int64())),
                      pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64()))], names)
-                start, found, size = k + 1, [], 0
+                start, texts, size = k + 1, [], 0
 
     return slim.mapInArrow(run, f"row long, doc_id {kind}, n_a long, n_b long, n_groups long, n_overlaps long, "
                                 "n_links long, groups string, pairs array<bigint>, links array<bigint>")
@@ -248,8 +227,15 @@ def weigh(aligned: DataFrame, pieces: int, hot_pairs: int = HOT_PAIRS) -> DataFr
         {c: F.coalesce(F.col(c), zero) for c in ("n_best", "count_sum")}).drop("row")
 
 
-def alignment(docs: DataFrame, byte_bpe: str, piece_bpe: str, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
-    """doc_id, n_a, n_b, n_groups, n_overlaps, n_links, groups, n_best, count_sum of every whole text."""
+def alignment(docs: DataFrame, byte_bpe: str, piece_bpe: str, id_col: str = "doc_id", text_col: str = "text",
+              digests: bool = False) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_overlaps, n_links, groups, n_best, count_sum of every whole text.
+
+    ``digests``: groups are written as their SHA-256 only (empty without tokens), as they are longer than the texts.
+    """
     pieces = sentencepiece.SentencePieceProcessor(model_file=piece_bpe).get_piece_size()
-    return weigh(durable(align(docs, byte_bpe, piece_bpe, id_col, text_col), "aligned"), pieces)
+    found = align(docs, byte_bpe, piece_bpe, id_col, text_col)
+    if digests:
+        digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+        found = found.withColumn("groups", digest)
+    return weigh(durable(found, "aligned"), pieces)
