@@ -10,7 +10,8 @@ import itertools
 import re
 from pathlib import PurePath
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 _SEPARATORS = re.compile(r"[\W_]+", re.ASCII)
 
@@ -41,6 +42,13 @@ def normalize_column_name(name: object) -> str:
     return _not_numeric(_identifier(str(name), "column"), "column")
 
 
+def normalized(name: Column) -> Column:
+    """:func:`normalize_column_name` for names that are data, such as the keys of a map."""
+    joined = F.regexp_replace(F.regexp_replace(F.lower(name), r"[^a-z0-9]+", "_"), "^_|_$", "")
+    return (F.when(joined == "", F.lit("column")).when(F.regexp_like(joined, F.lit("^[0-9]")),
+                                                       F.concat(F.lit("column_"), joined)).otherwise(joined))
+
+
 def unique_names(names: list[str]) -> list[str]:
     """Normalised names, made unique: repeats of ``a`` are numbered from ``a_2`` on, past names that are taken."""
     bases = [normalize_column_name(n) for n in names]

@@ -24,14 +24,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake.entities import ENTITIES
-from ledgerlake.functions.naming import normalize_columns, normalize_table_name, processed_file_name
+from ledgerlake.functions.naming import normalize_columns, normalize_table_name, processed_file_name, unique_names
 from ledgerlake.operators import cleaning as C
 from ledgerlake.operators.quality import generate_quality_report, report_as_dict
 from ledgerlake.sinks import warehouse as W
+from ledgerlake.sinks.versions import load_version
 from ledgerlake.sources.catalog import find_selected_file, list_input_files, list_processed_datasets
-from ledgerlake.sources.files import file_extension, load_csv, load_file, load_text_columns
+from ledgerlake.sources.files import file_extension, load_csv_by_name, load_file, load_text_columns
 
 RUNS_TABLE = "pipeline_runs"
+#: The column of records that are none while processed files are loaded.
+REJECT = "_rejected_record"
 
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -95,8 +98,9 @@ def pipeline_status(spark: SparkSession, warehouse_root: str) -> DataFrame:
 
 def process_dataset(spark: SparkSession, path: str, name: str, warehouse_root: str,
                     processed_dir: str | None = None, entity: str | None = None,
-                    num_files: int | None = None, **load_options) -> dict:
-    """Load, profile, clean, load into the warehouse and profile one dataset.
+                    num_files: int | None = None, versioned: bool = False, **load_options) -> dict:
+    """Load, profile, clean, load into the warehouse and profile one dataset. ``versioned``: into a table of
+    :mod:`ledgerlake.sinks.versions`, whose readers see the load at once.
 
     ``load_options``: ``multi_line``, ``schema``, ``row_tags``, ``root_tag`` of
     :func:`ledgerlake.sources.files.load_file`; a typed run of CSV or JSON reads text by
@@ -109,7 +113,8 @@ def process_dataset(spark: SparkSession, path: str, name: str, warehouse_root: s
             raw = spark.createDataFrame([], ENTITIES[entity].schema)
     else:
         raw = load_file(spark, path, **load_options)
-    return process_frame(spark, raw, name, warehouse_root, processed_dir, entity, num_files or input_files(spark, path))
+    return process_frame(spark, raw, name, warehouse_root, processed_dir, entity, num_files or input_files(spark, path),
+                         versioned)
 
 
 def input_files(spark: SparkSession, path: str) -> int:
@@ -120,13 +125,15 @@ def input_files(spark: SparkSession, path: str) -> int:
 
 
 def process_frame(spark: SparkSession, raw: DataFrame, name: str, warehouse_root: str,
-                  processed_dir: str | None = None, entity: str | None = None, num_files: int | None = None) -> dict:
+                  processed_dir: str | None = None, entity: str | None = None, num_files: int | None = None,
+                  versioned: bool = False) -> dict:
     """Profile, clean, load into the warehouse and profile a dataset that is read already."""
     raw_report = report_as_dict(generate_quality_report(raw, name))
     cleaned = clean_for(raw, entity)
     processed = processed_file_name(name)
     table = normalize_table_name(processed)
-    load = W.load_table(spark, cleaned, table, os.path.join(warehouse_root, table), num_files=num_files)
+    write = load_version if versioned else W.load_table
+    load = write(spark, cleaned, table, os.path.join(warehouse_root, table), num_files=num_files)
     loaded = W.read_table(spark, table)
     processed_report = report_as_dict(generate_quality_report(loaded, f"{name} (processed)"))
     csv_dir = None
@@ -180,13 +187,16 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str) -> DataFrame:
+def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str, versioned: bool = False) -> DataFrame:
     """Load every ``*_processed.csv`` under ``processed_dir`` into its table, then
     return table_name, total_rows for all of them. Two files mapping to the same
     table name raise ``ValueError`` before anything is loaded.
 
-    The processed CSVs are re-read strictly: with the schema stored beside them, FAILFAST,
-    quoted newlines allowed. Only one without a stored schema has its types inferred.
+    The processed CSVs are read by the names in their headers, with the types stored beside them; only one without has
+    its types inferred. A missing or unknown column raises ``ValueError``, and a record with another number of fields or
+    a value of another type raises ``RejectedRows`` (such records are kept, see
+    :func:`ledgerlake.sinks.warehouse.rejects_table`); either leaves the table as it was. ``versioned``: tables of
+    :mod:`ledgerlake.sinks.versions`.
     """
     datasets = list_processed_datasets(spark, processed_dir)
     tables: dict[str, str] = {}
@@ -195,10 +205,12 @@ def load_all_tables(spark: SparkSession, processed_dir: str, warehouse_root: str
         if t in tables:
             raise ValueError(f"{name} and {tables[t]} both map to table {t}")
         tables[t] = name
+    load = load_version if versioned else W.load_table
     for t, name in tables.items():
-        df = normalize_columns(
-            load_csv(spark, datasets[name], schema=W.saved_schema(spark, datasets[name]), mode="FAILFAST"))
-        W.load_table(spark, df, t, os.path.join(warehouse_root, t), num_files=input_files(spark, datasets[name]))
+        df = load_csv_by_name(spark, datasets[name], schema=W.saved_schema(spark, datasets[name]), reject=REJECT)
+        named = unique_names([c for c in df.columns if c != REJECT])
+        load(spark, df.toDF(*named, *([REJECT] if REJECT in df.columns else [])), t, os.path.join(warehouse_root, t),
+             num_files=input_files(spark, datasets[name]), reject=REJECT if REJECT in df.columns else None)
     return W.table_counts(spark, list(tables))
 
 

@@ -28,6 +28,8 @@ from ledgerlake.plans import oracle as O
 from ledgerlake.plans import pipeline as P
 from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sinks import warehouse as W
+from ledgerlake.sinks.versions import current_version, load_version, version_table, versions
+from ledgerlake.sources import csv_records, json_variant
 from ledgerlake.sources import tables as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -620,6 +622,71 @@ QUERIES["revenue_by_customer_share"] = q_revenue_by_customer_share
 QUERIES["revenue_over_time_share"] = q_revenue_over_time_share
 
 
+# --- files of the given rows, read back: quoted CSV in parallel, JSON through VARIANT, strict loads ------------------
+
+def q_csv_quoted_records(s, d):
+    """Texts with line ends, quotes and delimiters through CSV files that are split."""
+    docs = V.read_table(s, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    folder = _scratch(s, "quoted-csv")
+    (docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(folder))
+    found = csv_records.read_csv(s, folder, schema=docs.schema, reject="rejected")
+    return found.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), "lang", "source",
+                        "n_chars", F.col("rejected").isNotNull().alias("rejected"))
+
+
+ORACLE["csv_quoted_records"] = """
+SELECT doc_id, md5(COALESCE(text, '')) AS text_md5, NULLIF(lang, '') AS lang, NULLIF(source, '') AS source, n_chars,
+       FALSE AS rejected FROM documents"""
+
+
+def q_json_variant_records(s, d):
+    """Orders as JSON lines in which the price of some is text, read without a pass for their types."""
+    orders, folder = _ord(s, d), _scratch(s, "json-lines")
+    fields = ["order_id", "line_no", "customer_id", "product_id", "order_date", "quantity"]
+    number, text = (F.to_json(F.struct(*fields, F.col("price").cast(t).alias("price"))) for t in ("double", "string"))
+    orders.select(F.when(F.col("order_id") % 5 == 0, text).otherwise(number).alias("value")).write.text(folder)
+    found = json_variant.read_json(s, folder, multi_line=False)
+    return found.select(*fields, F.col("price").cast("decimal(12,2)").alias("price"))
+
+
+ORACLE["json_variant_records"] = O.with_views("orders_v") + """
+SELECT order_id, line_no, customer_id, product_id, CAST(order_date AS VARCHAR) AS order_date,
+       CAST(quantity AS BIGINT) AS quantity, CAST(price AS DOUBLE) AS price FROM orders_v"""
+
+
+def q_strict_load(s, d):
+    """Three loads of one versioned table from CSV: clean, refused for its bad dates, and the same with these allowed."""
+    table, root, steps = f"orders_{uuid.uuid4().hex}", _scratch(s, "strict"), []
+    schema = _ord(s, d).schema
+    for name, orders, most in (("clean", _ord(s, d), 0), ("refused", _dirty_ord(s, d), 0), ("allowed", None, 1 << 62)):
+        if orders is not None:
+            folder = f"{root}/{name}"
+            orders.write.option("header", True).csv(folder)
+        rows = csv_records.read_csv(s, folder, schema=schema, reject="rejected")
+        try:
+            done = load_version(s, rows, table, f"{root}/table", reject="rejected", max_rejects=most)
+            rejected = done["rows_rejected"]
+        except W.RejectedRows as e:
+            rejected = e.rows
+        steps.append((name, current_version(s, table), s.table(table).count(), rejected))
+    s.sql(f"DROP VIEW {table}")
+    s.sql(f"DROP VIEW {W.rejects_table(table)}")
+    for v in versions(s, table):
+        s.sql(f"DROP TABLE {version_table(table, v)}")
+    return s.createDataFrame(steps, "step string, version long, table_rows long, rejected long")
+
+
+ORACLE["strict_load"] = O.with_views("orders_v") + """,
+n AS (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE order_id % 89 = 0) AS bad FROM orders_v)
+SELECT 'clean' AS step, 1 AS version, total AS table_rows, 0 AS rejected FROM n
+UNION ALL SELECT 'refused', 1, total, bad FROM n UNION ALL SELECT 'allowed', 2, total - bad, bad FROM n"""
+
+QUERIES["csv_quoted_records"] = q_csv_quoted_records
+QUERIES["json_variant_records"] = q_json_variant_records
+QUERIES["strict_load"] = q_strict_load
+
+
 # --- presentation on both sides ---------------------------------------------------------
 
 # DATE columns of each raw result (checked against the Spark schemas by a test).

@@ -34,6 +34,7 @@ from ledgerlake.functions.columns import col, has_map, quote
 
 INGEST_DATE = "_ingest_date"
 CLUSTERING_PROPERTY = "ledgerlake.clustering"
+REJECTED = "_rejected"
 SCHEMA_FOLDER = "_schema"
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 TRANSACTIONAL = ("delta", "iceberg")
@@ -100,51 +101,115 @@ def files_for(size_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
     return max(1, -(-size_bytes // target_bytes))
 
 
+class RejectedRows(ValueError):
+    """A load has more rejected records than it may have; the table is as it was, the records are in ``table``."""
+
+    def __init__(self, name: str, rows: int, table: str) -> None:
+        super().__init__(f"{name}: {rows} records were rejected, see table {table}")
+        self.rows, self.table = rows, table
+
+
+def rejects_table(table: str) -> str:
+    """Where the rejected records of a table's last load are."""
+    return f"{table}__rejects"
+
+
+def stage(spark: SparkSession, df: DataFrame, folder: str, partition_by: list[str], clustering: list[str],
+          num_files: int | None = None, table_format: str = "parquet", reject: str | None = None) -> dict:
+    """Writes ``df`` to the new folder ``folder`` in the layout of a table, in one pass.
+
+    ``reject`` names a text column of ``df`` that holds a record which is none (see
+    :func:`ledgerlake.sources.csv_records.read_csv`), else null. Such rows are written beside the others, below the same
+    folder, and are no part of the table. The numbers of both are metrics of the write; the good ones are checked
+    against the files. Returns ``rows`` (the written rows), ``location``, ``rows_loaded``, ``rows_rejected``,
+    ``rejects`` (their folder) and ``clustering``.
+    """
+    dated = df.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else df
+    cluster = [c for c in clustering if c in df.columns and c != reject]
+    parts, good = list(partition_by), F.lit(True)
+    if reject:
+        good = col(reject).isNull()
+        dated, parts = dated.withColumn(REJECTED, ~good), [REJECTED, *parts]
+    seen = Observation()
+    out = clustered(dated, cluster, num_files).observe(
+        seen, F.count_if(good).alias("rows"), F.count_if(~good).alias("rejected"))
+    out.write.format(table_format).partitionBy(*parts).save(folder)
+    rows, rejected = int(seen.get["rows"]), int(seen.get["rejected"])
+    at = f"{folder}/{REJECTED}=false" if reject else folder
+    kept = dated.drop(REJECTED, reject) if reject else dated
+    written = spark.read.format(table_format).schema(kept.schema).load(at) if rows or not reject else (
+        spark.createDataFrame([], kept.schema))
+    if (found := written.count()) != rows:
+        raise RuntimeError(f"{rows} rows were written to {at}, {found} are there")
+    return {"rows": written, "location": at, "rows_loaded": rows, "rows_rejected": rejected, "clustering": cluster,
+            "rejects": f"{folder}/{REJECTED}=true" if rejected else None, "reject": reject}
+
+
+def keep_rejects(spark: SparkSession, table: str, staged: dict, max_rejects: int = 0) -> None:
+    """Keeps the rejected records of a staged load as a view; raises if they are more than ``max_rejects``. A load
+    without any removes those of the load before."""
+    name = rejects_table(table)
+    if not staged["rows_rejected"]:
+        if staged["reject"]:
+            spark.sql(f"DROP VIEW IF EXISTS {quote(name)}")
+        return
+    spark.sql(f"CREATE OR REPLACE VIEW {quote(name)} AS SELECT {quote(staged['reject'])} AS record, {INGEST_DATE} "
+              f"FROM parquet.`{staged['rejects']}`" if INGEST_DATE in staged["rows"].columns else
+              f"CREATE OR REPLACE VIEW {quote(name)} AS SELECT {quote(staged['reject'])} AS record "
+              f"FROM parquet.`{staged['rejects']}`")
+    if staged["rows_rejected"] > max_rejects:
+        delete_folder(spark, staged["location"])  # of rows that are not loaded only the rejected ones stay
+        raise RejectedRows(table, staged["rows_rejected"], name)
+
+
 def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
                clustering: list[str] | None = None, table_format: str = "parquet",
-               num_files: int | None = None) -> dict:
+               num_files: int | None = None, reject: str | None = None, max_rejects: int = 0) -> dict:
     """Replace table ``table`` (stored at ``location``) with ``df``.
 
     ``num_files``: range partitions (files per load date) of the clustered layout, see
-    :func:`files_for`; by default Spark's shuffle partition count.
+    :func:`files_for`; by default Spark's shuffle partition count. ``reject``: see :func:`stage`;
+    more than ``max_rejects`` such records raise ``RejectedRows`` before the table changes.
 
-    Returns ``{"table", "location", "rows_loaded", "partition_by", "clustering",
+    Returns ``{"table", "location", "rows_loaded", "rows_rejected", "partition_by", "clustering",
     "created"}``; ``location`` is the folder that holds the rows.
     """
     layout = table_layout(spark, table)
     created = layout is None
     if created:
         partition_by = [INGEST_DATE]
-        cluster = list(clustering) if clustering is not None else choose_clustering_columns(df.columns)
+        names = [c for c in df.columns if c != reject]
+        cluster = list(clustering) if clustering is not None else choose_clustering_columns(names)
     else:
         partition_by = layout["partition_by"]
         cluster = layout["clustering"]
-    cluster = [c for c in cluster if c in df.columns]
-    dated = df.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else df
-    obs = Observation(f"load_{table}")
-    out = clustered(dated, cluster, num_files).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.format(table_format).partitionBy(*partition_by)
 
     if table_format in TRANSACTIONAL:
-        writer.mode("overwrite").option("path", location).saveAsTable(table)
-        at, rows = location, int(obs.get["rows"])
+        if reject:
+            raise ValueError(f"rejects are kept beside Parquet tables only, not {table_format}")
+        cluster = [c for c in cluster if c in df.columns]
+        dated = df.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else df
+        obs = Observation(f"load_{table}")
+        out = clustered(dated, cluster, num_files).observe(obs, F.count(F.lit(1)).alias("rows"))
+        (out.write.format(table_format).partitionBy(*partition_by).mode("overwrite").option("path", location)
+         .saveAsTable(table))
+        at, rows, rejected = location, int(obs.get["rows"]), 0
     else:
-        at = f"{location.rstrip('/')}/load-{uuid.uuid4().hex}"
-        writer.save(at)
-        rows = int(obs.get["rows"])
-        written = spark.read.format(table_format).schema(dated.schema).load(at)
-        if (found := written.count()) != rows:
-            raise RuntimeError(f"{table}: {rows} rows were written to {at}, {found} are there")
-        before = None if created else _location(spark, table)
-        _point_at(spark, table, at, dated, partition_by, table_format, created)
+        folder = f"{location.rstrip('/')}/load-{uuid.uuid4().hex}"
+        staged = stage(spark, df, folder, partition_by, cluster, num_files, table_format, reject)
+        keep_rejects(spark, table, staged, max_rejects)
+        at, rows, rejected, cluster = (staged[k] for k in ("location", "rows_loaded", "rows_rejected", "clustering"))
+        before = None if created else table_location(spark, table)
+        _point_at(spark, table, at, staged["rows"], partition_by, table_format, created)
         if before and before.rstrip("/") != at:
-            _delete_load(spark, before, keep=at)
+            _delete_load(spark, load_folder(before), keep=load_folder(at))
     spark.sql(f"ALTER TABLE `{table}` SET TBLPROPERTIES ('{CLUSTERING_PROPERTY}' = '{','.join(cluster)}')")
-    return {"table": table, "location": at, "rows_loaded": rows,
+    return {"table": table, "location": at, "rows_loaded": rows, "rows_rejected": rejected,
             "partition_by": partition_by, "clustering": cluster, "created": created}
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder of a table's rows."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{table}`").filter("col_name = 'Location'").collect()
     return rows[0]["data_type"]
 
@@ -164,18 +229,37 @@ def _point_at(spark: SparkSession, table: str, at: str, rows: DataFrame, partiti
                   + (f"PARTITIONED BY ({', '.join(map(quote, partition_by))}) " if partition_by else "")
                   + f"LOCATION '{at}'")
     if partition_by:
-        try:
-            old = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS `{table}`").collect()]  # a row a load date
-        except AnalysisException:  # the catalog does not track partitions: they are the folder's
-            old = None
-        if old is not None:
-            for spec in old:
-                values = ", ".join(f"{quote(k)} = '{v}'" for k, v in (x.split("=", 1) for x in spec.split("/")))
-                spark.sql(f"ALTER TABLE `{table}` DROP IF EXISTS PARTITION ({values})")
-            spark.sql(f"MSCK REPAIR TABLE `{table}`")
+        find_partitions(spark, table)
     spark.catalog.refreshTable(table)
 
 
+def find_partitions(spark: SparkSession, table: str) -> None:
+    """Tells a catalog that tracks partitions those of the table's folder, in place of what it had."""
+    try:
+        old = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS `{table}`").collect()]  # a row a load date
+    except AnalysisException:  # the catalog does not track partitions: they are the folder's
+        return
+    for spec in old:
+        values = ", ".join(f"{quote(k)} = '{v}'" for k, v in (x.split("=", 1) for x in spec.split("/")))
+        spark.sql(f"ALTER TABLE `{table}` DROP IF EXISTS PARTITION ({values})")
+    spark.sql(f"MSCK REPAIR TABLE `{table}`")
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder, where the session has a file system to ask (Spark Connect has none: the files stay)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - Spark Connect raises its own kind
+        return
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(conf).delete(path, True)
+
+
+def load_folder(location: str) -> str:
+    """The folder of a load: that of its rows, or the one above where rejected records are written beside them."""
+    return location.rstrip("/").removesuffix(f"/{REJECTED}=false")
+
+
 def _delete_load(spark: SparkSession, before: str, keep: str) -> None:
     """Deletes the files of the load before; a folder that also holds ``keep`` loses all else."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

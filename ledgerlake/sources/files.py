@@ -4,21 +4,25 @@ All readers are Spark's distributed sources; nothing is parsed on the driver.
 
 Scale notes:
 
-* Quoted newlines in CSV, and JSON documents or arrays, make every file one task. That is the default, as it reads
-  every valid file right. ``multi_line=False`` states that a file has one record a line: it is then split over tasks,
-  and a CSV record that is broken by a newline raises instead of being read as two.
+* Spark's multi-line readers make every file one task. A CSV file larger than an input split is therefore read by
+  :mod:`ledgerlake.sources.csv_records`, which splits quoted CSV as well (``parallel`` says so for any file).
+  ``multi_line=False`` states that a file has one record a line: it is then split over tasks, and a CSV record that is
+  broken by a newline raises instead of being read as two. JSON documents are one task a file, JSON lines are split.
 * Schema inference costs a full extra pass over the input; pass ``schema=`` (the typed entities have one) to skip it,
   and ``row_tags=`` to skip the pass that finds the record tags of generic XML.
 """
 
 from __future__ import annotations
 
+import re
 from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.functions.columns import col
+from ledgerlake.sources import csv_records, json_variant
 from ledgerlake.sources.xml_tags import record_tags
 
 # File extensions the loaders accept (lower case).
@@ -30,12 +34,19 @@ VALUE_TAG = "_VALUE"
 
 def load_csv(spark: SparkSession, path: str, *, header: bool = True, infer_schema: bool = True,
              schema: T.StructType | None = None, multi_line: bool = True,
-             mode: str | None = None, enforce_schema: bool = True) -> DataFrame:
+             mode: str | None = None, enforce_schema: bool = True, parallel: bool | None = None) -> DataFrame:
     """CSV with a header row. Quoted newlines belong to their field, and a doubled quote
     inside a quoted field is an escaped quote. An unquoted empty field is NULL.
     ``multi_line=False``: one record a line, read in parallel; anything else raises.
     ``mode``: PERMISSIVE, or FAILFAST with ``multi_line=False``, unless given. A ``schema`` applies by
-    position; ``enforce_schema=False`` raises where a header has other names."""
+    position; ``enforce_schema=False`` raises where a header has other names. ``parallel``: whether files with
+    quoted newlines are split, by default those larger than an input split (not where ``schema`` or ``mode`` asks
+    for what only Spark's reader does)."""
+    if multi_line and header and schema is None and mode is None:
+        if parallel is None:
+            parallel = largest_file(spark, path)[0] > split_bytes(spark)
+        if parallel:
+            return csv_records.read_csv(spark, path, infer_schema=infer_schema)
     reader = (spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
               .option("mode", mode or ("PERMISSIVE" if multi_line else "FAILFAST"))
               .option("enforceSchema", enforce_schema))
@@ -46,10 +57,51 @@ def load_csv(spark: SparkSession, path: str, *, header: bool = True, infer_schem
     return reader.csv(path)
 
 
+def largest_file(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes of the largest file under ``path``, and the number of files; from the listing."""
+    found = spark.read.format("binaryFile").load(path).agg(F.max("length"), F.count("*")).first()
+    return int(found[0] or 0), int(found[1])
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """Bytes of an input split: the most that one task reads of a file that can be split."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
+def load_csv_by_name(spark: SparkSession, path: str, *, schema: T.StructType | None = None, infer_schema: bool = True,
+                     reject: str | None = None, parallel: bool | None = None) -> DataFrame:
+    """CSV files with headers, strictly by the names in them: see :func:`ledgerlake.sources.csv_records.read_csv`.
+
+    ``parallel``: whether files are split; by default where one is larger than a split, or where there are several, whose
+    headers may differ.
+    """
+    if parallel is None:
+        size, files = largest_file(spark, path)
+        parallel = files != 1 or size > split_bytes(spark)
+    names = [] if parallel else load_csv(spark, path, infer_schema=False, parallel=False).columns
+    if not names:
+        return csv_records.read_csv(spark, path, schema=schema, infer_schema=infer_schema, reject=reject)
+    wanted = names if schema is None else schema.fieldNames()
+    csv_records.check_names(path, names, wanted)
+    kinds = {} if schema is None else {f.name: f.dataType for f in schema.fields}
+    if schema is None and infer_schema:
+        kinds = {f.name: f.dataType for f in load_csv(spark, path, parallel=False).schema.fields}
+    fields = [T.StructField(n, kinds.get(n, T.StringType())) for n in names]
+    marked = [T.StructField(reject, T.StringType())] if reject else []
+    df = (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+          .option("columnNameOfCorruptRecord", reject or csv_records.CORRUPT)
+          .schema(T.StructType(fields + marked)).csv(path))
+    return df.select(*[col(n) for n in wanted + [reject] * bool(reject)])
+
+
 def load_json(spark: SparkSession, path: str, *, multi_line: bool = True,
-              schema: T.StructType | None = None, as_text: bool = False) -> DataFrame:
+              schema: T.StructType | None = None, as_text: bool = False, variant: bool = False) -> DataFrame:
     """A JSON document or array of objects per file (``multi_line``), or JSON lines.
-    Inferred columns come out in alphabetical order. ``as_text``: plain values stay text."""
+    Inferred columns come out in alphabetical order. ``as_text``: plain values stay text. ``variant``: without a
+    schema, the text is read once, see :mod:`ledgerlake.sources.json_variant`."""
+    if variant and schema is None:
+        return json_variant.read_json(spark, path, multi_line=multi_line, as_text=as_text)
     reader = spark.read.option("multiLine", multi_line).option("primitivesAsString", as_text)
     if schema is not None:
         reader = reader.schema(schema)
@@ -160,10 +212,10 @@ def load_text_columns(spark: SparkSession, path: str, *, multi_line: bool = True
     """CSV or JSON by its own header or field names, every plain value as text.
 
     CSV reads the header only; several files must have the same one, others raise. JSON has no header, so its field
-    names take a pass over the input.
+    names come from the records, in the one pass that reads them.
     """
     if file_extension(path) == ".json":
-        return load_json(spark, path, multi_line=multi_line, as_text=True)
+        return load_json(spark, path, multi_line=multi_line, as_text=True, variant=True)
     df = load_csv(spark, path, infer_schema=False, multi_line=multi_line)
     if len(df.inputFiles()) > 1:
         df = load_csv(spark, path, schema=df.schema, multi_line=multi_line, enforce_schema=False)
@@ -182,7 +234,7 @@ def load_file(spark: SparkSession, path: str, *, multi_line: bool = True, schema
     if ext == ".csv":
         return load_csv(spark, path, multi_line=multi_line, schema=schema)
     if ext == ".json":
-        return load_json(spark, path, multi_line=multi_line, schema=schema)
+        return load_json(spark, path, multi_line=multi_line, schema=schema, variant=True)
     if ext == ".xml":
         return load_xml_dynamic(spark, path, row_tags, root_tag, schema)
     raise ValueError(f"no loader for files of type {ext or 'none'}: {PurePath(path).name}")

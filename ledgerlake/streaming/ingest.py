@@ -6,7 +6,8 @@ remembers what it has processed in the query checkpoint, and
 ``trigger(availableNow=True)`` processes everything available, then stops, so the
 same code runs as a scheduled batch job or continuously.
 
-* The source always has an explicit schema (no inference on a stream).
+* The source always has an explicit schema (no inference on a stream). Columns are found by name: a CSV header must have
+  the entity's columns in their order, else the batch fails; JSON fields are found by their normalised names.
 * Cleaning is the stateless part of the typed cleaners (types, trimming, the
   positive-value filters), applied per micro-batch inside the plan.
 * Key de-duplication across runs uses ``dropDuplicatesWithinWatermark`` on the time a
@@ -22,9 +23,11 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.entities import ENTITIES
+from ledgerlake.entities import ENTITIES, EntitySpec
+from ledgerlake.functions.naming import normalized
 from ledgerlake.operators import cleaning as C
 from ledgerlake.session import ensure_checkpoint_dir
 
@@ -33,16 +36,31 @@ def read_landed(spark: SparkSession, input_dir: str, entity: str, fmt: str = "js
                 multi_line: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
     """A stream of the entity's records from files landing in ``input_dir``."""
     spec = ENTITIES[entity]
-    reader = spark.readStream.format(fmt).schema(spec.schema)
-    if fmt in ("json", "csv"):
-        reader = reader.option("multiLine", multi_line)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if fmt == "json":
+        values = reader.format("json").option("singleVariantColumn", "v").option("multiLine", multi_line).load(input_dir)
+        return _fields_by_name(values, spec)
+    reader = reader.format(fmt).schema(spec.schema)
+    if fmt == "csv":  # a header with other names, or in another order, fails the batch instead of swapping columns
+        reader = (reader.option("multiLine", multi_line).option("header", True).option("escape", '"')
+                  .option("enforceSchema", False))
     return reader.load(input_dir)
 
 
+def _fields_by_name(values: DataFrame, spec: EntitySpec) -> DataFrame:
+    """The entity's columns of JSON documents (``v``: an object or an array of objects), by normalised field names as in
+    the batch path; a field that no record has is null, further ones are left out."""
+    items = F.explode(F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v")))
+    fields = values.select(items.alias("v")).select(F.try_variant_get("v", "$", "map<string, variant>").alias("given"))
+
+    def value(f: T.StructField):
+        same = F.map_filter("given", lambda k, _: normalized(k) == F.lit(f.name))
+        return F.try_variant_get(F.get(F.map_values(same), 0), "$", "string").alias(f.name)
+    return fields.filter("given IS NOT NULL").select(*[value(f) for f in spec.schema.fields])
+
+
 def clean_stream(stream: DataFrame, entity: str, dedupe_within: str | None = None) -> DataFrame:
     """Stateless typed cleaning; with ``dedupe_within`` (an interval such as ``7 days``),
     a key that arrives again within that time of its first arrival is dropped."""

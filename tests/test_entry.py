@@ -1,6 +1,12 @@
 from __future__ import annotations
 
+import os
 import re
+import shutil
+import subprocess
+import sys
+
+import pytest
 
 import __spark_entry__ as E
 from ledgerlake.plans.queries import ORACLE, QUERIES
@@ -87,3 +93,20 @@ def test_bench_prints_one_json_line(tmp_path):
     out = json.loads(lines[0])
     assert {"metric", "value", "unit", "queries", "sf"} <= set(out) and out["unit"] == "sec"
     assert set(out["queries"]) == {"sales_analytics"} and out["sf"] == 0.001
+
+
+@pytest.mark.parametrize("without", ["folders", "pipeline", "library"])
+def test_the_rest_stands_without_the_optional_part(tmp_path, without):
+    """In a copy of the repository, in a process of its own."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    gone = {"folders": {"llm", "corpus_pipeline.py"}, "pipeline": {"corpus_pipeline.py"}, "library": set()}[without]
+    shutil.copytree(root, tmp_path / "copy", ignore=lambda d, names: [
+        n for n in names if n in gone or n.startswith(".") or n in ("spark-warehouse", "__pycache__")])
+    block = "import sys; sys.modules['pyarrow'] = sys.modules['tokenizers'] = sys.modules['tiktoken'] = None; "
+    run = subprocess.run([sys.executable, "-c", (block if without == "library" else "") + "import __spark_entry__ as e; "
+                          "print('KEYS', *sorted(e.queries())); print('SQL', *sorted(e.oracle_sql()))"],
+                         cwd=tmp_path / "copy", capture_output=True, text=True, timeout=300,
+                         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert run.returncode == 0, run.stderr[-2000:]
+    keys, sql = (line.split()[1:] for line in run.stdout.splitlines() if line.startswith(("KEYS", "SQL")))
+    assert keys == sorted(QUERIES) and sql == sorted(ORACLE)

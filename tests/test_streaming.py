@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from ledgerlake.streaming.ingest import ingest
 
 
@@ -50,5 +53,35 @@ def test_backlog_in_bounded_batches(spark, tmp_path):
         (land / f"f{i}.json").write_text(_orders([10 * i + 1, 10 * i + 2]))
     q = ingest(spark, str(land), "orders", table, checkpoint=str(tmp_path / "ck"), max_files_per_trigger=1)
     q.awaitTermination()
-    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 2  # one file per batch
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 1  # one file, a document, per batch
     assert spark.read.parquet(table).count() == 8
+
+
+def test_csv_columns_by_header(spark, tmp_path):
+    """A header in another order, with another, a further or a missing name fails; quotes are escaped by doubling."""
+    head, row = "product_id,product_name,category".split(","), '1,"A ""big"", lamp",Home'.split(",", 1)
+    land, table = tmp_path / "land", str(tmp_path / "products_tbl")
+    land.mkdir()
+    (land / "a.csv").write_text(",".join(head) + "\n" + ",".join(row) + "\n")
+    ingest(spark, str(land), "products", table, fmt="csv", checkpoint=str(tmp_path / "ck")).awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(table).collect()] == [(1, 'A "big", lamp', "Home")]
+    for k, names in enumerate(("category,product_name,product_id", "product_id,name,category", "product_id,product_name",
+                               "product_id,product_name,category,more")):
+        bad = tmp_path / f"bad{k}"
+        bad.mkdir()
+        (bad / "b.csv").write_text(f"{names}\n" + ",".join(["2"] * len(names.split(","))) + "\n")
+        out = str(tmp_path / f"t{k}")
+        with pytest.raises(StreamingQueryException, match="FAILED_READ_FILE"):
+            ingest(spark, str(bad), "products", out, name=f"bad{k}", fmt="csv", checkpoint=f"{out}-ck").awaitTermination()
+
+
+def test_json_fields_by_normalised_name(spark, tmp_path):
+    land, table = tmp_path / "land", str(tmp_path / "orders_tbl")
+    land.mkdir()
+    (land / "a.json").write_text(json.dumps([
+        {"price": "2.50", "Order ID": 7, "Customer-Id": "701", "product_id": 3.0, "ORDER DATE": "2025-04-01", "quantity": 2,
+         "note": "more"}, {"order_id": 8, "customer_id": 1, "product_id": 1, "quantity": 1, "price": 1}]))
+    ingest(spark, str(land), "orders", table, name="named", checkpoint=str(tmp_path / "ck")).awaitTermination()
+    found = spark.read.parquet(table).orderBy("order_id").collect()
+    assert [(r.order_id, r.customer_id, str(r.price), str(r.order_date)) for r in found] == [
+        (7, 701, "2.50", "2025-04-01"), (8, 1, "1.00", "None")]
