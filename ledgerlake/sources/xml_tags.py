@@ -16,51 +16,69 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# States: in the content, or in a comment, CDATA section, processing instruction or document type.
+# States: in the content, in a comment, CDATA section, processing instruction or document type, or in a value of a tag
+# that the named quote began.
 CONTENT, COMMENT, CDATA, INSTRUCTION, DOCTYPE = "content", "comment", "cdata", "instruction", "doctype"
+QUOTES = ("'", '"')
 _ENDS = {COMMENT: "--", CDATA: "]]", INSTRUCTION: "?", DOCTYPE: "]"}
 _NAME = re.compile(r"[^\s/>]+")
 
 
+def _open_quote(text: str, quote: str = "") -> str:
+    """The quote that is open after a part of a tag, if any; ``quote``: the one open before it."""
+    at = 0
+    while True:
+        if quote:
+            at = text.find(quote, at) + 1
+            if not at:
+                return quote
+            quote = ""
+        else:
+            found = [k for q in QUOTES if (k := text.find(q, at)) >= 0]
+            if not found:
+                return ""
+            at = min(found) + 1
+            quote = text[at - 1]
+
+
 class _Walk:
-    """Follows one block from one state."""
+    """Follows one block from one state. A tag counts from its first piece on, so that a block may end inside it."""
 
     def __init__(self, state: str) -> None:
         self.start = self.state = state
         self.depth = 0
         self.opened: set[tuple[int, str]] = set()
-        self.unfinished = ""  # a tag with a quoted ">" so far
 
     def feed(self, piece: str) -> None:
         """The text up to a ``>``."""
-        if self.state != CONTENT:
+        if self.state in QUOTES:
+            self._end_tag(piece, self.state)
+        elif self.state != CONTENT:
             if piece.rstrip().endswith(_ENDS[self.state]) if self.state == DOCTYPE else piece.endswith(_ENDS[self.state]):
                 self.state = CONTENT
-            return
-        if self.unfinished:
-            tag = f"{self.unfinished}>{piece}"
-        else:
-            at = piece.find("<")
-            if at < 0:
-                return
+        elif (at := piece.find("<")) >= 0:
             tag = piece[at + 1:]
-        self.unfinished = ""
-        if tag.startswith("!--"):
-            self._open_to(COMMENT, tag[3:])
-        elif tag.startswith("![CDATA["):
-            self._open_to(CDATA, tag[8:])
-        elif tag.startswith("?"):
-            self._open_to(INSTRUCTION, tag[1:])
-        elif tag.startswith("!"):
-            if "[" in tag and not tag.rstrip().endswith("]"):
-                self.state = DOCTYPE
-        elif tag.startswith("/"):
+            if tag.startswith("!--"):
+                self._open_to(COMMENT, tag[3:])
+            elif tag.startswith("![CDATA["):
+                self._open_to(CDATA, tag[8:])
+            elif tag.startswith("?"):
+                self._open_to(INSTRUCTION, tag[1:])
+            elif tag.startswith("!"):
+                if "[" in tag and not tag.rstrip().endswith("]"):
+                    self.state = DOCTYPE
+            elif tag.startswith("/"):
+                self.depth -= 1
+            elif name := _NAME.match(tag):
+                self.opened.add((self.depth, name[0]))
+                self.depth += 1
+                self._end_tag(tag)
+
+    def _end_tag(self, text: str, quote: str = "") -> None:
+        """A further part of a tag: its end unless a value is still open."""
+        self.state = _open_quote(text, quote) or CONTENT
+        if self.state == CONTENT and text.endswith("/"):
             self.depth -= 1
-        elif tag.count('"') % 2 and "'" not in tag or tag.count("'") % 2 and '"' not in tag:
-            self.unfinished = tag
-        elif name := _NAME.match(tag):
-            self.opened.add((self.depth, name[0]))
-            self.depth += not tag.endswith("/")
 
     def _open_to(self, state: str, rest: str) -> None:
         if not rest.endswith(_ENDS[state]):
@@ -71,7 +89,7 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     walks: dict[tuple[str, int], list[_Walk]] = {}
     for batch in batches:
         for (file, block), rows in batch.groupby(["file", "block"], sort=False):
-            own = walks.setdefault((file, block), [_Walk(s) for s in (CONTENT, *_ENDS)])
+            own = walks.setdefault((file, block), [_Walk(s) for s in (CONTENT, *_ENDS, *QUOTES)])
             for piece in rows["value"]:
                 for walk in own:
                     walk.feed(piece)
