@@ -11,7 +11,7 @@ below U+0530, whose classes all versions agree on, else by the tokenizers librar
 out first, as the library does.
 
 Defined results: a null text counts as empty; an empty text, or one of white space, has no ids and decodes to the
-empty text. Null ids and repeated rows give a row each. An empty table gives an empty table. Extra columns are not
+empty text. Time and memory grow with a text's length, of a word too. Null ids and repeated rows give a row each. An empty table gives an empty table. Extra columns are not
 read.
 """
 
@@ -113,10 +113,10 @@ class TrieBpe:
             del states[shared + 1:], before[shared + 1:]
             last_word, size = word, len(word)
             for n in range(shared + 1, size + 1):
-                prefix = word[:n] if n < size else word + WORD_END
-                start = max(0, n - longest(prefix[n - 2 if n > 1 else 0:], 1))
+                end = "" if n < size else WORD_END
+                start = max(0, n - longest(word[n - 2 if n > 1 else 0:n] + end, 1))
                 while start < n:
-                    if (token := vocab(prefix[start:])) is not None:
+                    if (token := vocab(word[start:n] + end)) is not None:
                         if not start:
                             if token in whole:
                                 break
