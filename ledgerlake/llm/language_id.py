@@ -158,14 +158,18 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample_terms(labelled: DataFrame, rows_a_language: int) -> list[tuple[str, np.ndarray, np.ndarray, bool]]:
-    """(language, terms, counts, held back) of about ``rows_a_language`` rows of each language, chosen by a hash."""
-    named = labelled.select("doc_id", "lang").filter("doc_id IS NOT NULL")
-    sizes = named.groupBy("lang").agg((F.lit(float(rows_a_language)) / F.count("*")).alias("share"))
-    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1_000_000)) / 1e6
-    # ids only: the texts stay where they are, and what is broadcast is the bounded sample
-    ids = durable(named.join(sizes, "lang").filter(place < F.col("share")).select("doc_id", "lang"), "language-sample")
-    chosen = labelled.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select(
-        "lang", "text", (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("back"))
+    """(language, terms, counts, held back) of at most about ``rows_a_language`` different rows of each
+    language, chosen by a hash of id and text."""
+    # by row, not by id: a row's place follows from its id and text, and equal rows count once
+    keyed = labelled.filter("doc_id IS NOT NULL").withColumn("key", F.xxhash64("doc_id", "text"))
+    sizes = keyed.groupBy("lang").agg((F.lit(float(rows_a_language)) / F.count("*")).alias("share"))
+    place = F.pmod(F.xxhash64(F.col("key"), F.lit("language sample")), F.lit(1_000_000_000)) / 1e9
+    # keys only: the texts stay where they are, and what is broadcast is the bounded sample
+    keys = durable(keyed.select("key", "lang").join(sizes, "lang").filter(place < F.col("share"))
+                   .select("key", "lang").distinct(), "language-sample")
+    chosen = (keyed.join(F.broadcast(keys), ["key", "lang"], "left_semi")
+              .groupBy("lang", "key").agg(F.first("text").alias("text"))
+              .select("lang", "text", (F.pmod("key", F.lit(5)) == 0).alias("back")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
