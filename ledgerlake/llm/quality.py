@@ -3,15 +3,16 @@
 A document's score is a weighted sum of features of its whole text: shares of characters by kind (single punctuation
 marks, capitals, digits, white space, others) and of repeated words and lines. The weights are learnt from preference
 pairs (a document labelled 1 over one labelled 0) by logistic loss on feature differences with an L2 penalty, on a
-bounded sample of labelled rows (``rows_a_label`` of each label in expectation, by a hash of the id; default 2000).
+bounded sample of labelled rows (``rows_a_label`` of each label in expectation, by a hash of id and text, equal rows
+counting once; default 2000).
 
 The threshold is a quantile of scores: over all labelled rows to learn from, as large a share is below it as is
 labelled 0. The score given out is a logistic function that has the value ``cut`` there.
 
 Defined results: a null text counts as empty; an empty text has all features zero and gets the score that follows. A
-document labelled both ways teaches nothing. Without both labels to learn from every score is ``cut``. Null ids and
-repeated rows are scored alike and teach nothing if null. An empty table gives an empty table. Other columns are not
-read.
+document labelled both ways teaches nothing. Texts are taken whole, in blocks; equal scores share the threshold's side.
+Without both labels to learn from every score is ``cut``. Null ids and repeated rows are scored alike and teach nothing
+if null. An empty table gives an empty table. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -102,12 +103,15 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def fit(texts: DataFrame, learn: DataFrame, rows_a_label: int = ROWS_A_LABEL) -> Ranker:
     """The weights, from ``texts`` (doc_id, text) and the labels ``learn`` (doc_id, label)."""
-    sizes = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}  # two rows at most
-    place = F.pmod(F.xxhash64("doc_id", F.lit("quality sample")), F.lit(1 << 30)) / float(1 << 30)
+    # by row, not by id: a row's place follows from its id and text, and equal rows count once
+    keyed = texts.withColumn("key", F.xxhash64("doc_id", "text"))
+    held = durable(keyed.select("doc_id", "key").join(learn, "doc_id").select("label", "key"), "quality-keys")
+    sizes = {r["label"]: r["count"] for r in held.groupBy("label").count().collect()}  # two rows at most
+    place = F.pmod(F.xxhash64("key", F.lit("quality sample")), F.lit(1 << 30)) / float(1 << 30)
     wanted = [(F.col("label") == k) & (place < rows_a_label / n) for k, n in sizes.items()]
     if len(wanted) < 2:
         return train_pairs(np.zeros((0, FEATURES)), np.zeros((0, FEATURES)))
-    chosen = learn.filter(wanted[0] | wanted[1])  # some 2 * rows_a_label rows, whatever the input
+    chosen = durable(held.filter(wanted[0] | wanted[1]).distinct(), "quality-sample")  # 2 * rows_a_label rows or so
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,8 +119,8 @@ def fit(texts: DataFrame, learn: DataFrame, rows_a_label: int = ROWS_A_LABEL) ->
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.list_(pa.float64()))],
                                              ["label", "x"])
 
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("label", "text").mapInArrow(
-        run, "label int, x array<double>").collect()
+    picked = keyed.join(F.broadcast(chosen), "key").groupBy("label", "key").agg(F.first("text").alias("text"))
+    rows = picked.select("label", "text").mapInArrow(run, "label int, x array<double>").collect()
     of = lambda k: np.array(sorted(tuple(r["x"]) for r in rows if r["label"] == k)).reshape(-1, FEATURES)
     return train_pairs(of(1), of(0))
 
