@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ledgerlake.operators import quality as Q
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans import pipeline as P
 from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.sinks import content, layout
 from ledgerlake.sinks import warehouse as W
 from ledgerlake.sinks.versions import current_version, load_version, version_table, versions
 from ledgerlake.sources import csv_records, json_variant
@@ -558,19 +560,50 @@ def _scratch(s, name):
 
 def q_generic_pipeline(s, d):
     raw = _dirty_cust(s, d).select(*[F.col(c).alias(h) for c, h, _ in _RAW_CUSTOMER_HEADERS])
-    return P.generic_run_report(s, raw, f"customers_dirty_{uuid.uuid4().hex}.csv", _scratch(s, "generic"))
+    table = f"customers_dirty_{uuid.uuid4().hex}"
+    report = _held(P.generic_run_report(s, raw, f"{table}.csv", _scratch(s, "generic")))
+    s.sql(f"DROP TABLE {table}")
+    return report
+
+
+def _held(report):
+    """The rows of a report, which are as many as there are checks, without what they were made from."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
 def q_verify_tables(s, d):
     views, suffix = {"customers": _cust(s, d), "orders": _ord(s, d), "products": _prod(s, d)}, uuid.uuid4().hex
     root, expected = _scratch(s, "verify"), {}
     for name, df in views.items():
-        W.load_table(s, df, f"{name}_{suffix}", f"{root}/{name}")
-        expected[f"{name}_{suffix}"] = df.count()
-    found = W.verify_tables(s, expected)
+        expected[f"{name}_{suffix}"] = W.load_table(s, df, f"{name}_{suffix}", f"{root}/{name}")["rows_loaded"]
+    found = _held(W.verify_tables(s, expected))
+    for table in expected:
+        s.sql(f"DROP TABLE {table}")
     return found.withColumn("table_name", F.substring_index("table_name", "_", 1))
 
 
+def q_reconcile_tables(s, d):
+    """Content and layout of loaded customers against what their load recorded: as loaded, and after changes below the
+    catalog that keep the number of rows."""
+    rows, found = _cust(s, d), []
+    changed = rows.withColumn("city", F.when(F.col("customer_id") == 7, F.lit("elsewhere")).otherwise(F.col("city")))
+    swapped = rows.withColumns({"city": F.col("country"), "country": F.col("city")})
+    turned = rows.withColumn("customer_id", F.when(F.col("customer_id") == 7, 8).otherwise(F.col("customer_id")).cast("long"))
+    for case, other in (("as loaded", None), ("changed value", changed), ("swapped columns", swapped),
+                        ("lost and repeated row", turned)):
+        table = f"customers_{uuid.uuid4().hex}"
+        done = W.load_table(s, rows, table, f"{_scratch(s, 'reconcile')}/{table}", num_files=2)
+        if other is not None:
+            (other.withColumn(W.INGEST_DATE, F.current_date()).select(*s.table(table).columns)
+             .write.mode("overwrite").partitionBy(W.INGEST_DATE).parquet(done["location"]))
+            s.catalog.refreshTable(table)
+        report = content.reconcile(s, [table]).withColumn("case", F.lit(case))
+        found.append(_held(report.select("case", "check_name", "matches", F.when(
+            F.col("check_name") == "row_count", F.col("actual").cast("long")).alias("table_rows"))))
+        s.sql(f"DROP TABLE {table}")
+    return reduce(DataFrame.unionByName, found)
+
+
 _RAW_NAMES = [h for _, h, _ in _RAW_CUSTOMER_HEADERS]
 _CLEAN_NAMES = [n for _, _, n in _RAW_CUSTOMER_HEADERS]
 _RAW_SQL = "(SELECT " + ", ".join(f'{c} AS "{h}"' for c, h, _ in _RAW_CUSTOMER_HEADERS) + " FROM customers_dirty_v)"
@@ -588,6 +621,16 @@ c AS (SELECT 'customers' AS table_name, COUNT(*) AS n FROM customers_v UNION ALL
       SELECT 'orders', COUNT(*) FROM orders_v UNION ALL SELECT 'products', COUNT(*) FROM products_v)
 SELECT table_name, n AS expected_rows, n AS actual_rows, TRUE AS matches FROM c"""
 
+ORACLE["reconcile_tables"] = O.with_views("customers_v") + """,
+c AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE customer_id = 7) > 0 AS there, BOOL_OR(city <> country) AS differ
+      FROM customers_v)
+SELECT "case", check_name, check_name <> 'content' OR "case" = 'as loaded'
+       OR CASE WHEN "case" = 'swapped columns' THEN NOT differ ELSE NOT there END AS matches,
+       CASE WHEN check_name = 'row_count' THEN n END AS table_rows
+FROM c, (VALUES ('as loaded'), ('changed value'), ('swapped columns'), ('lost and repeated row')) AS k("case"),
+     (VALUES ('columns'), ('partition_by'), ('clustering'), ('row_count'), ('content')) AS x(check_name)"""
+
+QUERIES["reconcile_tables"] = q_reconcile_tables
 QUERIES["generic_pipeline"] = q_generic_pipeline
 QUERIES["verify_tables"] = q_verify_tables
 
@@ -682,6 +725,21 @@ n AS (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE order_id % 89 = 0) AS bad
 SELECT 'clean' AS step, 1 AS version, total AS table_rows, 0 AS rejected FROM n
 UNION ALL SELECT 'refused', 1, total, bad FROM n UNION ALL SELECT 'allowed', 2, total - bad, bad FROM n"""
 
+def q_customer_analytics_loaded(s, d):
+    """J-01 over loaded tables, both in buckets by the key of the join: no shuffle for the join or the totals by key."""
+    suffix, root = uuid.uuid4().hex, _scratch(s, "bucketed")
+    frames = {"customers": _cust(s, d), "orders": _ord(s, d)}
+    for name, df in frames.items():
+        layout.load_bucketed(s, df, f"{name}_{suffix}", f"{root}/{name}", ["customer_id"], 8)
+    found = A.customer_analytics(s.table(f"customers_{suffix}"), s.table(f"orders_{suffix}"))
+    for name in frames:
+        s.sql(f"DROP TABLE {name}_{suffix}")  # the names; the plan holds the files
+    return found
+
+
+ORACLE["customer_analytics_loaded"] = ORACLE["customer_analytics"]
+
+QUERIES["customer_analytics_loaded"] = q_customer_analytics_loaded
 QUERIES["csv_quoted_records"] = q_csv_quoted_records
 QUERIES["json_variant_records"] = q_json_variant_records
 QUERIES["strict_load"] = q_strict_load
@@ -696,6 +754,7 @@ DATE_OUTPUTS: dict[str, list[str]] = {
     "revenue_over_time_labels": ["order_date"],
     "revenue_over_time_share": ["order_date"],
     "customer_analytics": ["signup_date"],
+    "customer_analytics_loaded": ["signup_date"],
     "first_orders": ["order_date"],
     "clean_customers": ["signup_date"],
     "clean_orders": ["order_date"],

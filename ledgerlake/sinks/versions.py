@@ -78,7 +78,7 @@ def commit(spark: SparkSession, table: str, folder: str, rows: DataFrame, partit
     fields = [*(f for f in rows.schema.fields if f.name not in partition_by), *(rows.schema[c] for c in partition_by)]
     columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in fields)
     by = f"PARTITIONED BY ({', '.join(map(quote, partition_by))}) " if partition_by else ""
-    extra = ", ".join(f"'{k}' = '{v}'" for k, v in {VERSION_PROPERTY: str(base + 1), **(properties or {})}.items())
+    extra = W.properties({VERSION_PROPERTY: str(base + 1), **(properties or {})})
     try:
         spark.sql(f"CREATE TABLE {quote(name)} ({columns}) USING parquet {by}LOCATION '{folder}' TBLPROPERTIES ({extra})")
     except AnalysisException as e:
@@ -123,7 +123,7 @@ def load_version(spark: SparkSession, df: DataFrame, table: str, location: str,
     done = W.stage(spark, df, folder, partition_by, cluster, num_files, reject=reject)
     W.keep_rejects(spark, table, done, max_rejects)
     version = commit(spark, table, done["location"], done["rows"], partition_by, base,
-                     {W.CLUSTERING_PROPERTY: ",".join(done["clustering"])})
+                     {W.CLUSTERING_PROPERTY: ",".join(done["clustering"]), W.RECORD_PROPERTY: done["record"]})
     retire(spark, table, keep)
     return {"table": table, "version": version, "location": done["location"], "rows_loaded": done["rows_loaded"],
             "rows_rejected": done["rows_rejected"], "partition_by": partition_by, "clustering": done["clustering"],

@@ -34,6 +34,8 @@ from ledgerlake.functions.columns import col, has_map, quote
 
 INGEST_DATE = "_ingest_date"
 CLUSTERING_PROPERTY = "ledgerlake.clustering"
+ORDER_PROPERTY = "ledgerlake.clustering.order"
+RECORD_PROPERTY = "ledgerlake.content"
 REJECTED = "_rejected"
 SCHEMA_FOLDER = "_schema"
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -96,6 +98,12 @@ def table_layout(spark: SparkSession, table: str) -> dict | None:
     return {"partition_by": parts, "clustering": [c for c in raw.split(",") if c]}
 
 
+def z_ordered_table(spark: SparkSession, table: str) -> bool:
+    """Whether a table's files are laid out by an interleaved key."""
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{table}`").collect()}
+    return props.get(ORDER_PROPERTY) == "z"
+
+
 def files_for(size_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Number of files for an input of that size."""
     return max(1, -(-size_bytes // target_bytes))
@@ -115,15 +123,18 @@ def rejects_table(table: str) -> str:
 
 
 def stage(spark: SparkSession, df: DataFrame, folder: str, partition_by: list[str], clustering: list[str],
-          num_files: int | None = None, table_format: str = "parquet", reject: str | None = None) -> dict:
+          num_files: int | None = None, table_format: str = "parquet", reject: str | None = None,
+          z_order: bool = False) -> dict:
     """Writes ``df`` to the new folder ``folder`` in the layout of a table, in one pass.
 
     ``reject`` names a text column of ``df`` that holds a record which is none (see
-    :func:`ledgerlake.sources.csv_records.read_csv`), else null. Such rows are written beside the others, below the same
+    :func:`ledgerlake.sources.csv_records.read_csv`), else null. ``z_order``: files by the interleaved key of the
+    clustering columns instead of their order, see :mod:`ledgerlake.sinks.layout`. Such rows are written beside the others, below the same
     folder, and are no part of the table. The numbers of both are metrics of the write; the good ones are checked
-    against the files. Returns ``rows`` (the written rows), ``location``, ``rows_loaded``, ``rows_rejected``,
-    ``rejects`` (their folder) and ``clustering``.
+    against the files, and their fingerprint (:mod:`ledgerlake.sinks.content`) is taken. Returns ``rows`` (the written
+    rows), ``location``, ``rows_loaded``, ``rows_rejected``, ``rejects`` (their folder), ``clustering`` and ``record``.
     """
+    from ledgerlake.sinks import content, layout
     dated = df.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else df
     cluster = [c for c in clustering if c in df.columns and c != reject]
     parts, good = list(partition_by), F.lit(True)
@@ -131,10 +142,11 @@ def stage(spark: SparkSession, df: DataFrame, folder: str, partition_by: list[st
         good = col(reject).isNull()
         dated, parts = dated.withColumn(REJECTED, ~good), [REJECTED, *parts]
     seen = Observation()
-    out = clustered(dated, cluster, num_files).observe(
-        seen, F.count_if(good).alias("rows"), F.count_if(~good).alias("rejected"))
-    out.write.format(table_format).partitionBy(*parts).save(folder)
-    rows, rejected = int(seen.get["rows"]), int(seen.get["rejected"])
+    out = (layout.z_ordered if z_order else clustered)(dated, cluster, num_files)
+    own = [c for c in df.columns if c != reject]
+    out.observe(seen, F.count_if(~good).alias("rejected"), *content.metrics(out, own, good)
+                ).write.format(table_format).partitionBy(*parts).save(folder)
+    rows, rejected = int(seen.get["fp_rows"]), int(seen.get["rejected"])
     at = f"{folder}/{REJECTED}=false" if reject else folder
     kept = dated.drop(REJECTED, reject) if reject else dated
     written = spark.read.format(table_format).schema(kept.schema).load(at) if rows or not reject else (
@@ -142,7 +154,8 @@ def stage(spark: SparkSession, df: DataFrame, folder: str, partition_by: list[st
     if (found := written.count()) != rows:
         raise RuntimeError(f"{rows} rows were written to {at}, {found} are there")
     return {"rows": written, "location": at, "rows_loaded": rows, "rows_rejected": rejected, "clustering": cluster,
-            "rejects": f"{folder}/{REJECTED}=true" if rejected else None, "reject": reject}
+            "rejects": f"{folder}/{REJECTED}=true" if rejected else None, "reject": reject,
+            "record": content.record(kept, partition_by, cluster, content.fingerprint(seen.get))}
 
 
 def keep_rejects(spark: SparkSession, table: str, staged: dict, max_rejects: int = 0) -> None:
@@ -164,12 +177,14 @@ def keep_rejects(spark: SparkSession, table: str, staged: dict, max_rejects: int
 
 def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
                clustering: list[str] | None = None, table_format: str = "parquet",
-               num_files: int | None = None, reject: str | None = None, max_rejects: int = 0) -> dict:
+               num_files: int | None = None, reject: str | None = None, max_rejects: int = 0,
+               z_order: bool | None = None) -> dict:
     """Replace table ``table`` (stored at ``location``) with ``df``.
 
     ``num_files``: range partitions (files per load date) of the clustered layout, see
     :func:`files_for`; by default Spark's shuffle partition count. ``reject``: see :func:`stage`;
-    more than ``max_rejects`` such records raise ``RejectedRows`` before the table changes.
+    more than ``max_rejects`` such records raise ``RejectedRows`` before the table changes. ``z_order``:
+    files by the interleaved key of the clustering columns, kept on reload.
 
     Returns ``{"table", "location", "rows_loaded", "rows_rejected", "partition_by", "clustering",
     "created"}``; ``location`` is the folder that holds the rows.
@@ -196,18 +211,29 @@ def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
         at, rows, rejected = location, int(obs.get["rows"]), 0
     else:
         folder = f"{location.rstrip('/')}/load-{uuid.uuid4().hex}"
-        staged = stage(spark, df, folder, partition_by, cluster, num_files, table_format, reject)
+        z_order = z_ordered_table(spark, table) if z_order is None and not created else bool(z_order)
+        staged = stage(spark, df, folder, partition_by, cluster, num_files, table_format, reject, z_order)
         keep_rejects(spark, table, staged, max_rejects)
         at, rows, rejected, cluster = (staged[k] for k in ("location", "rows_loaded", "rows_rejected", "clustering"))
         before = None if created else table_location(spark, table)
         _point_at(spark, table, at, staged["rows"], partition_by, table_format, created)
         if before and before.rstrip("/") != at:
             _delete_load(spark, load_folder(before), keep=load_folder(at))
-    spark.sql(f"ALTER TABLE `{table}` SET TBLPROPERTIES ('{CLUSTERING_PROPERTY}' = '{','.join(cluster)}')")
+    said = {CLUSTERING_PROPERTY: ",".join(cluster)}
+    if table_format not in TRANSACTIONAL:
+        said |= {RECORD_PROPERTY: staged["record"], ORDER_PROPERTY: "z" if z_order else "linear"}
+    spark.sql(f"ALTER TABLE `{table}` SET TBLPROPERTIES ({properties(said)})")
     return {"table": table, "location": at, "rows_loaded": rows, "rows_rejected": rejected,
             "partition_by": partition_by, "clustering": cluster, "created": created}
 
 
+def properties(values: dict[str, str]) -> str:
+    """Table properties as SQL."""
+    def text(x: str) -> str:
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ", ".join(f"{text(k)} = {text(v)}" for k, v in values.items())
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     """The folder of a table's rows."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{table}`").filter("col_name = 'Location'").collect()
