@@ -24,6 +24,7 @@ from ledgerlake.functions.columns import col as column
 from ledgerlake.functions.naming import normalize_columns
 from ledgerlake.operators import analytics as A
 from ledgerlake.operators import cleaning as C
+from ledgerlake.operators import profiles
 from ledgerlake.operators import quality as Q
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans import pipeline as P
@@ -739,6 +740,28 @@ def q_customer_analytics_loaded(s, d):
 
 ORACLE["customer_analytics_loaded"] = ORACLE["customer_analytics"]
 
+def q_merged_quality_report(s, d):
+    """The orders' report merged from profiles of four loads (the quarters), and whether its estimates keep their bound."""
+    orders, folder = _dirty_ord(s, d), f"{_scratch(s, 'profiles')}/orders"
+    quarter = F.coalesce(F.quarter(F.try_to_date("order_date")), F.lit(1))
+    for k in range(1, 5):
+        profiles.save_profile(profiles.profile_state(orders.filter(quarter == k), "orders", f"quarter-{k}", ORDERS), folder)
+    report = profiles.merged_report(profiles.read_profiles(s, folder, "orders"))
+    exact = orders.agg(F.count_distinct(F.struct(F.col("order_id")))).scalar()
+    near = F.abs(F.col("value") - exact) <= F.lit(3 * profiles.STANDARD_ERROR) * exact
+    kept = report.filter("exact").select("dataset", "check_name", "column_name", "value", "passed")
+    bound = report.filter("check_name = 'unique_keys'").select(
+        "dataset", F.lit("unique_keys_in_bound").alias("check_name"), "column_name", F.lit(None).cast("long").alias("value"),
+        near.alias("passed"))
+    return kept.unionByName(bound)
+
+
+ORACLE["merged_quality_report"] = f"""
+SELECT dataset, check_name, column_name, value, passed FROM ({ORACLE["order_quality_report"]}) t
+WHERE check_name NOT IN ('unique_keys', 'duplicate_count')
+UNION ALL SELECT 'orders', 'unique_keys_in_bound', 'order_id', NULL, TRUE"""
+
+QUERIES["merged_quality_report"] = q_merged_quality_report
 QUERIES["customer_analytics_loaded"] = q_customer_analytics_loaded
 QUERIES["csv_quoted_records"] = q_csv_quoted_records
 QUERIES["json_variant_records"] = q_json_variant_records
