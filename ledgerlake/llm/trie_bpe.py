@@ -113,10 +113,10 @@ class TrieBpe:
             del states[shared + 1:], before[shared + 1:]
             last_word, size = word, len(word)
             for n in range(shared + 1, size + 1):
-                end = "" if n < size else WORD_END
-                start = max(0, n - longest(word[n - 2 if n > 1 else 0:n] + end, 1))
+                last_two = word[n - 2 if n > 1 else 0:n]
+                start = max(0, n - longest(last_two if n < size else last_two + WORD_END, 1))
                 while start < n:
-                    if (token := vocab(word[start:n] + end)) is not None:
+                    if (token := vocab(word[start:n] if n < size else word[start:] + WORD_END)) is not None:
                         if not start:
                             if token in whole:
                                 break
