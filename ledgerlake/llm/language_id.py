@@ -165,7 +165,8 @@ def sample_terms(labelled: DataFrame, rows_a_language: int) -> list[tuple[str, n
     sizes = keyed.groupBy("lang").agg((F.lit(float(rows_a_language)) / F.count("*")).alias("share"))
     place = F.pmod(F.xxhash64(F.col("key"), F.lit("language sample")), F.lit(1_000_000_000)) / 1e9
     # keys only: the texts stay where they are, and what is broadcast is the bounded sample
-    keys = durable(keyed.select("key", "lang").join(sizes, "lang").filter(place < F.col("share"))
+    # one row a language, of which the model that the driver trains holds a column of weights each
+    keys = durable(keyed.select("key", "lang").join(F.broadcast(sizes), "lang").filter(place < F.col("share"))
                    .select("key", "lang").distinct(), "language-sample")
     chosen = (keyed.join(F.broadcast(keys), ["key", "lang"], "left_semi")
               .groupBy("lang", "key").agg(F.first("text").alias("text"))
