@@ -695,7 +695,7 @@ def q_json_variant_records(s, d):
 
 
 ORACLE["json_variant_records"] = O.with_views("orders_v") + """
-SELECT order_id, line_no, customer_id, product_id, CAST(order_date AS VARCHAR) AS order_date,
+SELECT order_id, CAST(line_no AS BIGINT) AS line_no, customer_id, product_id, CAST(order_date AS VARCHAR) AS order_date,
        CAST(quantity AS BIGINT) AS quantity, CAST(price AS DOUBLE) AS price FROM orders_v"""
 
 
@@ -723,7 +723,7 @@ def q_strict_load(s, d):
 
 ORACLE["strict_load"] = O.with_views("orders_v") + """,
 n AS (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE order_id % 89 = 0) AS bad FROM orders_v)
-SELECT 'clean' AS step, 1 AS version, total AS table_rows, 0 AS rejected FROM n
+SELECT 'clean' AS step, CAST(1 AS BIGINT) AS version, total AS table_rows, CAST(0 AS BIGINT) AS rejected FROM n
 UNION ALL SELECT 'refused', 1, total, bad FROM n UNION ALL SELECT 'allowed', 2, total - bad, bad FROM n"""
 
 def q_customer_analytics_loaded(s, d):
