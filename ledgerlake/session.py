@@ -45,8 +45,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint directory.
 
-    ``spark.checkpoint.dir`` is used as is. Where it is unset, checkpoints go to a folder of the warehouse
-    directory, which all machines share as well; never to a temporary folder of one machine.
+    ``spark.checkpoint.dir`` is used as is. Where it is unset, a local session takes a folder of its warehouse directory;
+    on a cluster that could be one machine's own folder, so it must be set there.
     """
     try:
         sc = spark.sparkContext
@@ -57,5 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if not sc.getCheckpointDir():
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured and sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all machines share")
         sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir()

@@ -54,3 +54,18 @@ def test_load_survives_a_failed_task(tmp_path, layout):
     assert "simulated executor loss" in res.stderr  # the failure did happen
     got = json.loads(res.stdout.strip().splitlines()[-1])
     assert got == {"rows_loaded": 10000, "rows": 10000, "distinct": 10000}
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from ledgerlake.session import ensure_checkpoint_dir
+    for master, given in (("spark://host:7077", None), ("local-cluster[2,1,1024]", None), ("yarn", "hdfs:///shared")):
+        said = []
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: said[-1] if said else None, setCheckpointDir=said.append,
+                             getConf=lambda: SimpleNamespace(get=lambda key, other: given))
+        if given is None:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))
+        else:
+            assert ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc)) == given
