@@ -1,8 +1,10 @@
 """Command line: ``python -m ledgerlake <command> ...`` (or via ``spark-submit``).
 
     run       --input DIR --warehouse DIR [--file NAME] [--entity customers|orders|products] [--processed DIR]
-    load-all  --processed DIR --warehouse DIR
+              [--versioned]
+    load-all  --processed DIR --warehouse DIR [--versioned]
     verify    --expect TABLE=ROWS [TABLE=ROWS ...]
+    reconcile --tables TABLE [TABLE ...]
     status    --warehouse DIR
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master, memory
@@ -39,6 +41,11 @@ def _parser() -> argparse.ArgumentParser:
     load = sub.add_parser("load-all", help="load every *_processed.csv into its table")
     load.add_argument("--processed", required=True)
     load.add_argument("--warehouse", required=True)
+    for command in (run, load):
+        command.add_argument("--versioned", action="store_true",
+                             help="versioned tables: readers see a load at once, of two loaders at once one is refused")
+    reconcile = sub.add_parser("reconcile", help="compare tables' content and layout with what their loads recorded")
+    reconcile.add_argument("--tables", nargs="+", required=True)
     verify = sub.add_parser("verify", help="compare table row counts with expected counts")
     verify.add_argument("--expect", nargs="+", required=True, metavar="TABLE=ROWS")
     status = sub.add_parser("status", help="the latest run record")
@@ -52,6 +59,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if spark is None:
         spark = SparkSession.builder.appName("ledgerlake").config("spark.ui.enabled", "false").getOrCreate()
     from ledgerlake.plans import pipeline as P
+    from ledgerlake.sinks import content
     from ledgerlake.sinks import warehouse as W
 
     if args.command == "run":
@@ -59,14 +67,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         if args.schema:
             options["schema"] = T.StructType.fromDDL(args.schema)
         res = P.run_pipeline(spark, args.input, args.warehouse, selected=args.file, processed_dir=args.processed,
-                             entity=args.entity, num_files=args.num_files, **options)
+                             entity=args.entity, num_files=args.num_files, versioned=args.versioned, **options)
         out = {k: res[k] for k in ("source_file", "processed_file", "table_name", "rows_loaded", "status")}
         out.update(raw_report=res["raw_report"], processed_report=res["processed_report"])
     elif args.command == "status":
         rows = P.pipeline_status(spark, args.warehouse).collect()
         out = rows[0].asDict() if rows else {"status": "never run"}
     elif args.command == "load-all":
-        out = {r.table_name: r.total_rows for r in P.load_all_tables(spark, args.processed, args.warehouse).collect()}
+        counts = P.load_all_tables(spark, args.processed, args.warehouse, versioned=args.versioned)
+        out = {r.table_name: r.total_rows for r in counts.collect()}
+    elif args.command == "reconcile":
+        rows = content.reconcile(spark, args.tables).collect()
+        out = {"passed": all(r.matches for r in rows), "checks": [r.asDict() for r in rows]}
     else:
         expected = {k: int(v) for k, v in (e.split("=", 1) for e in args.expect)}
         rows = W.verify_tables(spark, expected).collect()

@@ -162,10 +162,17 @@ def test_processed_files_are_loaded_by_name(spark, tmp_path, versioned):
 
 
 def test_a_versioned_run(spark, tmp_path, fixture_dir):
+    from ledgerlake.__main__ import main
+    spark.sql("DROP TABLE IF EXISTS customers")  # of other tests
     runs = [P.run_pipeline(spark, str(fixture_dir), str(tmp_path / "wh"), selected="customers.csv", versioned=True)
             for _ in range(2)]
     assert [r["load"]["version"] for r in runs] == [1, 2] and runs[1]["rows_loaded"] == 14
     assert W.read_table(spark, "customers").count() == 14
+    again = main(["run", "--input", str(fixture_dir), "--warehouse", str(tmp_path / "wh"), "--file", "customers.csv",
+                  "--versioned"], spark)
+    assert again["status"] == "success" and V.current_version(spark, "customers") == 3
+    checked = main(["reconcile", "--tables", "customers"], spark)
+    assert checked["passed"] and len(checked["checks"]) == 5
     spark.sql("DROP VIEW customers")
-    for v in (1, 2):
+    for v in V.versions(spark, "customers"):
         spark.sql(f"DROP TABLE customers__v{v:06}")
