@@ -30,35 +30,53 @@ def _hash(df: DataFrame, names: list[str]) -> Column:
 
 def profile_state(df: DataFrame, dataset: str, load_id: str, entity: EntitySpec | None = None) -> DataFrame:
     """The profile of one load, in one pass: that of an entity's report, or of the generic one."""
+    return profile_states(df, dataset, {load_id: F.lit(True)}, entity)
+
+
+def profile_states(df: DataFrame, dataset: str, loads: dict[str, Column], entity: EntitySpec | None = None) -> DataFrame:
+    """The profiles of several loads, in one pass over all their rows.
+
+    ``loads``: load id to whether a row is part of the load. The profiles are those of :func:`profile_state` over the
+    rows of each, also if there are none.
+    """
     names = list(df.columns) if entity is None else [c for c in entity.columns if c in df.columns]
-    found: list[tuple[str, str | None, Column]] = [("row_count", None, F.count(F.lit(1)))]
-    found += [("null_count", c, F.count_if(col(c).isNull())) for c in names]
+    found: list[tuple[str, str | None, Column]] = [("row_count", None, F.lit(True))]  # rows that count
+    found += [("null_count", c, col(c).isNull()) for c in names]
     said: list[tuple[str, str | None]] = []
     hashed, of = names, ROWS
     if entity is not None:
         said += [("missing_column", c) for c in entity.columns if c not in df.columns]
         said += [("unexpected_column", c) for c in df.columns if c not in entity.columns]
-        found += [("invalid_count", c, F.count_if(col(c) <= 0)) for c in entity.positive if c in names]
+        found += [("invalid_count", c, col(c) <= 0) for c in entity.positive if c in names]
         dates = {f.name for f in entity.schema.fields if isinstance(f.dataType, T.DateType)}
-        found += [("unparsable_date", c, F.count_if(col(c).isNotNull() & F.try_to_date(col(c)).isNull()))
+        found += [("unparsable_date", c, col(c).isNotNull() & F.try_to_date(col(c)).isNull())
                   for c in names if c in dates and isinstance(df.schema[c].dataType, T.StringType)]
         hashed, of = [c for c in entity.key if c in names], KEYS
-    sketch = [F.hll_sketch_agg(_hash(df, hashed), F.lit(SKETCH_BITS)).alias("s")] if hashed else []
-    one = df.agg(*[c.alias(f"m{k}") for k, (_, _, c) in enumerate(found)], *sketch)
-
-    def state(metric: str, name: str | None, value: Column, sketch: Column | None = None) -> Column:
+    marked = df.select("*", *[inside.alias(f"__load{n}") for n, inside in enumerate(loads.values())])
+    totals = []
+    for n in range(len(loads)):
+        inside = F.col(f"__load{n}")
+        totals += [F.count_if(inside & c).alias(f"m{n}_{k}") for k, (_, _, c) in enumerate(found)]
+        if hashed:
+            totals.append(F.hll_sketch_agg(F.when(inside, _hash(df, hashed)), F.lit(SKETCH_BITS)).alias(f"s{n}"))
+    one = marked.agg(*totals)
+
+    def state(load_id: str, metric: str, name: str | None, value: Column, sketch: Column | None = None) -> Column:
         return F.struct(F.lit(metric).alias("metric"), F.lit(name).cast("string").alias("column_name"),
                         value.cast("long").alias("value"),
-                        (F.lit(None) if sketch is None else sketch).cast("binary").alias("sketch"))
-    rows = [state(metric, name, F.col(f"m{k}")) for k, (metric, name, _) in enumerate(found)]
-    rows += [state(metric, name, F.lit(1)) for metric, name in said]
-    rows += [state(of, ",".join(hashed) if of == KEYS else None, F.lit(None), F.col("s"))] if hashed else []
-    return one.select(F.lit(dataset).alias("dataset"), F.lit(load_id).alias("load_id"),
-                      F.inline(F.array(*rows)))
+                        (F.lit(None) if sketch is None else sketch).cast("binary").alias("sketch"),
+                        F.lit(load_id).alias("load_id"))
+    rows = []
+    for n, load_id in enumerate(loads):
+        rows += [state(load_id, metric, name, F.col(f"m{n}_{k}")) for k, (metric, name, _) in enumerate(found)]
+        rows += [state(load_id, metric, name, F.lit(1)) for metric, name in said]
+        rows += [state(load_id, of, ",".join(hashed) if of == KEYS else None, F.lit(None), F.col(f"s{n}"))] if hashed else []
+    return one.select(F.inline(F.array(*rows))).select(
+        F.lit(dataset).alias("dataset"), "load_id", "metric", "column_name", "value", "sketch")
 
 
 def save_profile(state: DataFrame, path: str) -> None:
-    """Adds a load's profile to those under ``path``; the same load again replaces its own."""
+    """Adds profiles of loads to those under ``path``; the same load again replaces its own."""
     (state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset", "load_id")
      .parquet(path))
 

@@ -71,3 +71,26 @@ def test_no_old_rows_are_read_and_sketches_stay_small(spark, tmp_path):
     assert abs(report["unique_keys", "order_id"]["value"] - 200_000) <= 3 * P.STANDARD_ERROR * 200_000
     assert report["invalid_count", "quantity"]["value"] == 40_000 and not report["schema", None]["passed"]
     assert report["missing_column", "price"]["value"] == 1 and report["unexpected_column", "note"]["passed"]
+
+
+def test_several_loads_in_one_pass(spark, tmp_path):
+    df = spark.range(500).selectExpr("id AS order_id", "nullif(id % 5, 3) AS quantity", "'2024-13-01' AS order_date")
+    loads = {"low": F.col("order_id") < 200, "high": F.col("order_id") >= 200, "none": F.col("order_id") < 0}
+    at_once = P.profile_states(df, "data", loads, ORDERS)
+    one_by_one = [P.profile_state(df.filter(inside), "data", k, ORDERS) for k, inside in loads.items()]
+
+    def found(states):
+        return sorted(map(repr, states.withColumn("sketch", F.hll_sketch_estimate("sketch")).collect()))
+    assert found(at_once) == sorted(sum(map(found, one_by_one), []))
+    assert at_once._jdf.queryExecution().toString().count("Range (0, 500") == one_by_one[0]._jdf.queryExecution().toString(
+        ).count("Range (0, 500")  # the rows are read once
+    P.save_profile(at_once, str(tmp_path))
+    assert P.read_profiles(spark, str(tmp_path), "data").select("load_id").distinct().count() == 3
+
+
+def test_the_merged_report_profiles_all_loads_in_one_pass(spark, monkeypatch):
+    from ledgerlake.plans import queries
+    saved, save = [], P.save_profile
+    monkeypatch.setattr(P, "save_profile", lambda states, path: saved.append(states) or save(states, path))
+    queries.RAW_QUERIES["merged_quality_report"](spark, SF)
+    assert len(saved) == 1 and saved[0].select("load_id").distinct().count() == 4
