@@ -4,7 +4,8 @@ Spark splits the files into blocks of lines. A line's quotes are summarised as w
 whether the line ends inside one if it starts outside, and if it starts inside. Such summaries compose in any grouping,
 so those of a block are composed by a window over the block, those of a file by a window over its blocks, and the result
 gives every line's true state. Only lines with quotes that matter take part (an id and two flags each); the text of a
-line moves only if its record has several lines. Fields are parsed by Spark's ``from_csv``.
+line moves only if its record has several lines, or, where there are many such records, once. Fields are parsed by
+Spark's ``from_csv``.
 
 The lines are written once to the shared checkpoint folder, so that line numbers stay the same whatever is read again.
 Lines end in LF or CRLF; a file's first line says which, and a CRLF file's quoted line ends become LF, as Spark's
@@ -40,7 +41,7 @@ class Records(NamedTuple):
 
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -84,8 +85,16 @@ def read_lines(spark: SparkSession, path: str, delimiter: str = ",") -> DataFram
                                  _ends_inside("value", delimiter, True).alias("kept")), "csv-lines")
 
 
-def continued(lines: DataFrame) -> DataFrame:
-    """(line, record): the lines of records with several lines, each with the number of its record's first line."""
+class States(NamedTuple):
+    """``known``: the lines whose quotes matter, with ``starts`` and ``ends`` (whether inside), ``opening`` and
+    ``record``. ``blocks``: a row a block with ``inside`` (at its start) and, if so, the record that is ``open`` there
+    and the block ``home`` of that record's first line."""
+    known: DataFrame
+    blocks: DataFrame
+
+
+def line_states(lines: DataFrame) -> States:
+    """The states at the lines with quotes and at the starts of blocks."""
     events = lines.filter("opened OR NOT kept").select("file", "block", "line", "opened", "kept")
     inside, still = _compose(["file", "block"], "line", "opened", "kept")
     events = _written(events.select("*", inside.alias("to_here"), still.alias("to_here_inside")), "csv-events")
@@ -113,17 +122,51 @@ def continued(lines: DataFrame) -> DataFrame:
     known = known.withColumn("upto", F.coalesce(F.lead("line").over(in_block), F.col("last")))
     known = _written(known, "csv-states")
     # the record that is open at a block's start was opened in a block before
-    opened = known.groupBy(*of_block).agg(F.max("opening").alias("opening"), F.min("line").alias("event"))
+    opened = known.groupBy(*of_block).agg(F.max("opening").alias("opening"), F.min("line").alias("event"),
+                                          F.min(F.when(~F.col("ends"), F.col("line"))).alias("outside"))
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.join(opened, of_block, "left").select(
-        "*", F.last("opening", True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("open"))
+        "*", F.last("opening", True).over(before).alias("open"),
+        F.last(F.when(F.col("opening").isNotNull(), F.col("block")), True).over(before).alias("home"))
+    return States(known, _written(starts, "csv-starts"))
+
+
+def continued(states: States) -> DataFrame:
+    """(line, record): the lines of records with several lines, each with the number of its record's first line."""
+    known, starts = states
     heads = starts.filter("inside").select(
         "open", F.explode(F.expr("sequence(first, coalesce(event, last))")).alias("line"))
-    inner = known.filter("ends AND upto > line").join(starts.select("file", "block", "open"), of_block).select(
+    inner = known.filter("ends AND upto > line").join(starts.select("file", "block", "open"), ["file", "block"]).select(
         F.coalesce("record", "open").alias("open"), F.explode(F.expr("sequence(line + 1, upto)")).alias("line"))
     firsts = known.filter("opening IS NOT NULL").select(F.col("line").alias("open"), "line")
     return heads.unionByName(inner).unionByName(firsts).select("line", F.col("open").alias("record"))
 
 
+def _joined_lines(lines: DataFrame, *by: str) -> DataFrame:
+    """The text of each record from its lines."""
+    return (lines.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("all"))
+            .select("file", "record", F.array_join(F.col("all.value"), "\n").alias("value")))
+
+
+def _all_records(lines: DataFrame, states: States) -> DataFrame:
+    """(file, record, value): all records, with one shuffle of the lines.
+
+    The lines that finish a record of a block before go to that record's block, its home. So each home starts outside
+    of quotes, holds whole records, and its lines tell the records by themselves.
+    """
+    moved = F.broadcast(states.blocks.filter("inside").select(
+        "file", "block", "home", F.coalesce("outside", "last").alias("upto")))  # at most a row a block
+    homed = lines.join(moved, ["file", "block"], "left").select(
+        "file", F.when(F.col("line") <= F.col("upto"), F.col("home")).otherwise(F.col("block")).alias("home"),
+        F.struct("block", "line").alias("at"), "block", "line", "value", "opened", "kept")
+    ends, _ = _compose(["file", "home"], "at", "opened", "kept")
+    in_home = Window.partitionBy("file", "home").orderBy("at")
+    first = ~F.coalesce(F.lag("ends").over(in_home), F.lit(False))
+    told = homed.withColumn("ends", ends).withColumn("first", F.when(first, F.col("line"))).withColumn(
+        "record", F.last("first", True).over(in_home.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return _joined_lines(told, "file", "home", "record")
+
+
 def _without_cr(name: str) -> Column:
     return F.when(F.endswith(name, F.lit("\r")), F.expr(f"left({name}, length({name}) - 1)")).otherwise(F.col(name))
 
@@ -132,29 +175,34 @@ def csv_records(spark: SparkSession, path: str, delimiter: str = ",") -> Records
     """The records of the CSV files under ``path``, read by as many tasks as they have blocks. Empty lines outside of
     quotes are no records."""
     lines = read_lines(spark, path, delimiter)
-    parts = _written(continued(lines), "csv-continued")
+    states = line_states(lines)
+    parts = continued(states)
     several = parts.count()
-    if several <= MAX_BROADCAST_LINES:
-        found = lines.join(F.broadcast(parts), "line", "left") if several else lines.withColumn(
-            "record", F.lit(None).cast("long"))
+    if several > MAX_BROADCAST_LINES:
+        found = _all_records(lines, states)
+    elif several:
+        parts = _written(parts, "csv-continued")
+        all_lines = lines.join(F.broadcast(parts), "line", "left")
+        found = all_lines.filter("record IS NULL").select("file", F.col("line").alias("record"), "value").unionByName(
+            _joined_lines(all_lines.filter("record IS NOT NULL"), "file", "record"))
     else:
-        found = lines.join(parts, "line", "left")
+        found = lines.select("file", F.col("line").alias("record"), "value")
     # one row a file, as the driver's own listing has: its line ends, and its first line that is not empty
     heads = lines.groupBy("file").agg(
         F.min(F.when(_without_cr("value") != "", F.struct("block", "line"))).alias("head"),
         F.min_by(F.endswith("value", F.lit("\r")), F.struct("block", "line")).alias("crlf"))
     heads = _written(heads.select("file", F.col("head.line").alias("head"), "crlf"), "csv-heads")
     crlf = F.broadcast(heads.select("file", "crlf"))
-    singles = found.filter("record IS NULL").select("file", F.col("line").alias("record"), "value")
-    joined = (found.filter("record IS NOT NULL").groupBy("file", "record")
-              .agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("all"))
-              .select("file", "record", F.array_join(F.col("all.value"), "\n").alias("value")))
     text = F.when(F.col("crlf"), F.replace(_without_cr("value"), F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("value"))
-    rows = singles.unionByName(joined).join(crlf, "file").select("file", "record", text.alias("text"))
-    rows = rows.filter("text != ''")
-    files = rows.join(F.broadcast(heads.select("file", F.col("head").alias("record"))), ["file", "record"]).select(
+
+    def with_text(records: DataFrame) -> DataFrame:
+        return records.join(crlf, "file").select("file", "record", text.alias("text")).filter("text != ''")
+    # the lines of the headers are looked up by themselves, so that no other text moves for them
+    of_head = _written(heads.filter("head IS NOT NULL").join(parts, F.col("head") == F.col("record"), "left").select(
+        "file", F.col("head").alias("record"), F.coalesce("line", "head").alias("line")), "csv-head-lines")
+    files = with_text(_joined_lines(lines.drop("file").join(of_head, "line"), "file", "record")).select(
         "file", "record", F.regexp_replace("text", "^\\uFEFF", "").alias("header"))
-    return Records(rows, _written(files, "csv-headers"))
+    return Records(with_text(found), _written(files, "csv-headers"))
 
 
 def header_names(spark: SparkSession, header: str, options: dict[str, str]) -> list[str]:

@@ -151,3 +151,18 @@ def test_an_empty_file(spark, tmp_path):
     (tmp_path / "e.csv").write_text("")
     assert R.read_csv(spark, str(tmp_path / "e.csv")).columns == []
     assert R.read_csv(spark, str(tmp_path / "e.csv"), schema=SCHEMA).count() == 0
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_many_records_move_their_lines_once(spark, tmp_path, blocks, monkeypatch, seed):
+    rng = random.Random(seed)
+    for k in range(2):
+        cells = ("".join(rng.choice(["\n", '""', ",", "a"]) for _ in range(rng.randint(0, 30))) for _ in range(40))
+        (tmp_path / f"{k}.csv").write_text("x,y\n" + "".join(f'{n},"{c}"\n' for n, c in enumerate(cells)))
+    want = rows(load_csv(spark, str(tmp_path), infer_schema=False))
+    monkeypatch.setattr(R, "MAX_BROADCAST_LINES", 0)
+    blocks(50)
+    found = R.read_csv(spark, str(tmp_path), infer_schema=False)
+    assert rows(found) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in x and "kept" in x for x in plan.splitlines()) == 1  # the written lines are read once
