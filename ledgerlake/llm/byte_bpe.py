@@ -1,13 +1,14 @@
-"""Token ids of a byte-level BPE vocabulary file, as the tokenizers library gives them, with a bounded cache.
+"""Token ids of a byte-level BPE vocabulary file, as the tokenizers library gives them.
 
-The vocabulary's ranks go to tiktoken's merge loop. A single space between two other characters always starts a new
-pre-token of this vocabulary's pattern, so a text is cut there and repeated pieces are encoded once.
+The vocabulary's ranks go to tiktoken's merge loop, which takes a whole text at once: on texts of many different words
+that is less work than looking each word up in a cache.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 
 import numpy as np
 import tiktoken
@@ -16,8 +17,6 @@ import tiktoken
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTABLE = (*range(33, 127), *range(161, 173), *range(174, 256))
 
-_CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
-
 
 def byte_alphabet() -> list[str]:
     """The character that stands for each byte: itself if printable, else the next one from U+0100 on."""
@@ -29,9 +28,10 @@ def byte_alphabet() -> list[str]:
 
 
 class ByteBpe:
-    """Encodes whole texts to ids as little-endian unsigned 32-bit integers. ``limit``: most cached pieces."""
+    """Encodes whole texts to ids as little-endian unsigned 32-bit integers. Nothing is cached: ``limit``, once the most
+    cached pieces, has no effect."""
 
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    def __init__(self, path: str, limit: int = 0) -> None:
         with open(path, encoding="utf-8") as f:
             given = json.load(f)
         stands = {c: b for b, c in enumerate(byte_alphabet())}
@@ -44,9 +44,6 @@ class ByteBpe:
         known |= {int.from_bytes(rank, "little"): len(x.encode()) for x, rank in self.special.items()}
         self.size = np.zeros(max(known) + 1, np.int64)  # bytes by id
         self.size[list(known)] = list(known.values())
-        self.first: dict[str, bytes] = {}  # pieces at the start of a text, and odd ones
-        self.after: dict[str, bytes] = {}  # pieces without their space before
-        self.limit = limit
 
     def ids(self, text: str) -> bytes:
         if self.split and any(x in text for x in self.special):
@@ -57,38 +54,11 @@ class ByteBpe:
         """The bytes of text that each of the ``ids`` stands for."""
         return self.size[np.frombuffer(ids, "<u4")]
 
-    def _raw(self, text: str) -> bytes:
-        return b"".join([x.to_bytes(4, "little") for x in self.encoding.encode_ordinary(text)])
-
     def _plain(self, text: str) -> bytes:
-        if len(self.after) > self.limit:
-            self.after.clear()
-        if len(self.first) > self.limit:
-            self.first.clear()
-        pieces = text.split(" ")
-        if len(pieces) == 1 or not all(pieces) or pieces[0][-1].isspace():
-            return self._odd(text)
-        found = [self.after.get(x) for x in pieces[1:]]
-        if None in found:
-            for k, ids in enumerate(found):
-                if ids is None:
-                    piece = pieces[k + 1]
-                    if piece[0].isspace() or piece[-1].isspace():
-                        return self._odd(text)
-                    ids = found[k] = self._raw(" " + piece)
-                    if len(piece) < 64:
-                        self.after[piece] = ids
-        return self._raw(pieces[0]) + b"".join(found)
+        return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
+
 
-    def _odd(self, text: str) -> bytes:
-        """A text with white space beside a space, or at its ends: cut at the other spaces only."""
-        out, start = [], 0
-        for cut in [*(m.start() for m in _CLEAN_SPACE.finditer(text)), len(text)]:
-            piece = text[start:cut]
-            if (ids := self.first.get(piece)) is None:
-                ids = self._raw(piece)
-                if len(piece) < 64:
-                    self.first[piece] = ids
-            out.append(ids)
-            start = cut
-        return b"".join(out)
+@lru_cache(maxsize=4)
+def shared_bpe(path: str) -> ByteBpe:
+    """The encoder of a file, made once by each Python worker."""
+    return ByteBpe(path)

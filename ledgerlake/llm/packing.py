@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.byte_bpe import ByteBpe
+from ledgerlake.llm.byte_bpe import shared_bpe
 
 END_ID = 0
 
@@ -190,7 +190,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, packer = ByteBpe(tokenizer), Packer(limits, pool)
+        bpe, packer = shared_bpe(tokenizer), Packer(limits, pool)
         first = TaskContext.get().partitionId() << 40
         waiting: dict[int, list] = {}  # document: id, its ids, ids not yet given out, loss-bearing positions
         rows: list[tuple] = []

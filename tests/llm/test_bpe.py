@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerlake.llm import trie_bpe
-from ledgerlake.llm.byte_bpe import ByteBpe
+from ledgerlake.llm.byte_bpe import ByteBpe, shared_bpe
 from ledgerlake.llm.queries import BYTE_BPE, WORD_BPE, tokenizer_path
 from tests.llm.cases import hard_docs, hard_rows, no_docs
 
@@ -92,3 +92,11 @@ def test_rows(spark, word):
                      library.decode(ids, skip_special_tokens=False)))
     assert sorted(((r[0], hashlib.sha256(r[1]).hexdigest(), r[2]) for r in out), key=repr) == sorted(want, key=repr)
     assert trie_bpe.decode(trie_bpe.encode(no_docs(spark), WORD), WORD).collect() == []
+
+
+def test_one_byte_encoder_a_worker_and_no_cache_of_texts(word):
+    bpe = shared_bpe(BYTE)
+    assert bpe is shared_bpe(BYTE)
+    before = {k: len(v) for k, v in vars(bpe).items() if isinstance(v, dict)}
+    bpe.ids(" ".join(f"word{k}" for k in range(1000)))
+    assert before == {k: len(v) for k, v in vars(bpe).items() if isinstance(v, dict)}
