@@ -3,7 +3,8 @@
 The last token of a prefix's encoding is its state: a token that ends the prefix is the last one exactly if it and the
 last token of what stands before it stay two tokens when merged on their own. So the distinct new words of a chunk go
 into a trie, a depth-first walk gives every node its state from the states on its path, and the encodings of shared
-prefixes are computed once. A word's encoding is read off by following states back from its leaf.
+prefixes are computed once. A word's encoding is read off by following states back from its leaf. The tokens that may end
+a prefix are those that end its longest suffix which begins a token; that suffix follows from the one of the prefix before.
 
 A text is cut at white space; known pieces come from caches of bounded size. Normalisation and pre-tokens follow the
 vocabulary file (NFC, white space, lower case, contractions, letters, single digits, others): by Python for characters
@@ -22,6 +23,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -56,15 +58,17 @@ class TrieBpe:
         self.special = {x["content"]: x["id"] for x in given["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.pattern, self.stands = regex.compile(PATTERN), dict(enumerate(byte_alphabet()))
-        self.longest: dict[str, int] = {}  # the longest token, in symbols, by its last two
+        #: What tokens begin with, without the mark; see :meth:`_next`.
+        self.begins: set[str] = set()
         for token in self.vocab:
             text = token.removesuffix(WORD_END)
-            key = text[-2:] + token[len(text):]
-            self.longest[key] = max(self.longest.get(key, 0), len(text))
+            self.begins.update([text[:n] for n in range(len(text) + 1)])
         self.limit = limit
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.stay: dict[int, bool] = {}  # by pair of ids
+        self.inner: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+        self.final: dict[str, tuple[str, list[tuple[int, int]]]] = {}
         #: Tokens that their own symbols merge to; parts come before what is made of them.
         self.whole = set(self.vocab.values()) - self.made.keys()
         for token, (k, left, right) in self.made.items():
@@ -95,48 +99,60 @@ class TrieBpe:
 
     # -- the trie
 
+    def _next(self, text: str, mark: str) -> tuple[str, list[tuple[int, int]]]:
+        """The longest end of ``text`` that begins a token; its tokens that, with the mark, end the text, with their
+        lengths, longest first."""
+        while text not in self.begins:
+            text = text[1:]
+        ends = [(len(text) - k, self.vocab.get(text[k:] + mark)) for k in range(len(text))]
+        return text, [(size, token) for size, token in ends if token is not None]
+
     def encode_words(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """The ids of distinct words, given in the byte alphabet.
 
         The trie is kept as its words in order, in which a depth-first walk meets them; from one word to the next, the
         states of the prefix they share stay.
         """
-        vocab, longest, whole, stay, forever = self.vocab.get, self.longest.get, self.whole, self.stay, len(self.rank)
-        if len(stay) > 4 * self.limit:
-            stay.clear()
-        states, before = [0], [0]  # by length of a prefix: its encoding's last token, and the length before that token
+        whole, stay, forever = self.whole, self.stay, len(self.rank)
+        for cache in (stay, self.inner, self.final):
+            if len(cache) > 4 * self.limit:
+                cache.clear()
+        # by length of a prefix: its encoding's last token, the length before that token, its end that begins a token
+        states, before, ends = [0], [0], [""]
         last_word = ""
         for word in sorted(words):
             shared, most = 0, min(len(word), len(last_word)) - 1
             while shared < most and word[shared] == last_word[shared]:
                 shared += 1
-            del states[shared + 1:], before[shared + 1:]
-            last_word, size = word, len(word)
+            del states[shared + 1:], before[shared + 1:], ends[shared + 1:]
+            last_word, size, end, known, mark = word, len(word), ends[shared], self.inner, ""
             for n in range(shared + 1, size + 1):
-                last_two = word[n - 2 if n > 1 else 0:n]
-                start = max(0, n - longest(last_two if n < size else last_two + WORD_END, 1))
-                while start < n:
-                    if (token := vocab(word[start:n] if n < size else word[start:] + WORD_END)) is not None:
-                        if not start:
-                            if token in whole:
-                                break
-                        else:
-                            pair = states[start] << 20 | token
-                            if (apart := stay.get(pair)) is None:
-                                apart = stay[pair] = self._apart(states[start], token, forever)
-                            if apart:
-                                break
-                    start += 1
+                if n == size:
+                    known, mark = self.final, WORD_END
+                end += word[n - 1]
+                if (found := known.get(end)) is None:
+                    found = known[end] = self._next(end, mark)
+                end, options = found
+                for length, token in options:
+                    if length == n:
+                        if token in whole:
+                            break
+                    else:
+                        pair = states[n - length] << 20 | token
+                        if (apart := stay.get(pair)) is None:
+                            apart = stay[pair] = self._apart(states[n - length], token, forever)
+                        if apart:
+                            break
                 else:
                     raise ValueError(f"no encoding for {word!r}")  # cannot be: every byte is a token
                 states.append(token)
-                before.append(start)
+                before.append(n - length)
+                ends.append(end)
             ids, n = [], size
             while n:
                 ids.append(states[n])
                 n = before[n]
-            states.pop()  # the leaf's
-            before.pop()
+            del states[size:], before[size:], ends[size:]  # the leaf's
             yield word, ids[::-1]
 
     # -- texts
@@ -146,28 +162,43 @@ class TrieBpe:
         if max(text) >= _PLAIN_BELOW:
             normal = self.library.normalizer.normalize_str(text)
             return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self._split(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+
+    def _split(self, text: str) -> list[str]:
+        """The pre-tokens of a normalised text in the byte alphabet."""
         if text.isalpha():
             words = [text]
         elif text[:-1].isalpha() and text[-1] in ".,":
             words = [text[:-1], text[-1]]
         else:
             words = self.pattern.findall(text)
+        if text.isascii() and text.isprintable():
+            return words
         return [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.stands)
                 for w in words]
 
     def _learn(self, pieces: set[str]) -> None:
         """Puts the ids of new pieces into the cache."""
-        split = {}
+        split, plain = {}, []
         for piece in pieces:
-            parts = [x for x in self.cut.split(piece) if x] if "<|" in piece else [piece]
-            split[piece] = [x if x in self.special else self._words_of(x) for x in parts]
-        new = {w for parts in split.values() for x in parts if isinstance(x, list) for w in x} - self.words.keys()
-        for word, ids in self.encode_words(new):
-            self.words[word] = array("I", ids).tobytes()
+            if "<|" in piece:
+                split[piece] = [x if x in self.special else self._words_of(x) for x in self.cut.split(piece) if x]
+            elif piece.isascii():
+                plain.append(piece)
+            else:
+                split[piece] = [self._words_of(piece)]
+        # of ASCII pieces, which are normal but for their case, all are lowered at once
+        own = dict(zip(plain, map(self._split, " ".join(plain).lower().split(" ")), strict=True)) if plain else {}
+        new = {w for parts in split.values() for x in parts if isinstance(x, list) for w in x}
+        new.update(*own.values())
+        cached = self.words
+        for word, ids in self.encode_words(new - cached.keys()):
+            cached[word] = array("I", ids).tobytes()
+        for piece, words in own.items():
+            self.pieces[piece] = cached[words[0]] if len(words) == 1 else b"".join([cached[w] for w in words])
         for piece, parts in split.items():
             self.pieces[piece] = b"".join(
-                b"".join([self.words[w] for w in x]) if isinstance(x, list) else array("I", [self.special[x]]).tobytes()
+                b"".join([cached[w] for w in x]) if isinstance(x, list) else array("I", [self.special[x]]).tobytes()
                 for x in parts)
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -175,10 +206,23 @@ class TrieBpe:
         for cache in (self.pieces, self.words):
             if len(cache) > self.limit:
                 cache.clear()
-        cut = [x.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for x in texts]
+        # an ASCII text without special tokens is lowered first, so that it has fewer different pieces
+        cut = [(x.lower() if x.isascii() and "<|" not in x else x).replace("\n", " ").replace("\r", " ")
+               .replace("\t", " ").split(" ") for x in texts]
         self.pieces[""] = b""
         self._learn(set().union(*cut) - self.pieces.keys())
-        return [b"".join([self.pieces[x] for x in pieces]) for pieces in cut]
+        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
+
+    def forget(self) -> None:
+        """Empties the caches of pieces and words."""
+        self.pieces.clear()
+        self.words.clear()
+
+
+@lru_cache(maxsize=2)
+def shared_trie(path: str) -> TrieBpe:
+    """The encoder of a file, made once by each Python worker."""
+    return TrieBpe(path)
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,7 +233,8 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     slim = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = TrieBpe(tokenizer)
+        bpe = shared_trie(tokenizer)
+        bpe.forget()  # what a task before has left: its caches would stay with idle workers
         for batch in batches:
             start, texts, size = 0, [], 0
             for k, x in enumerate(batch.column("text")):
@@ -199,6 +244,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, len(texts)),
                                                       pa.array(bpe.ids(texts), pa.binary())], ["doc_id", "ids"])
                     start, texts, size = k + 1, [], 0
+        bpe.forget()
 
     return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, ids binary")
 

@@ -82,6 +82,32 @@ def test_shared_prefixes_are_computed_once(word, monkeypatch):
     assert len(seen) == len(set(seen))
 
 
+def test_a_vocabulary_entry_is_looked_up_once(word):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counted.asked += 1
+            return super().get(*args)
+
+    bpe = trie_bpe.TrieBpe(WORD)
+    bpe.vocab = Counted(bpe.vocab)
+    texts = ["stoneworker stoneworkers Stoneworking, the Others."]
+    first, asked = bpe.ids(texts), Counted.asked
+    bpe.forget()
+    assert bpe.ids(texts) == first == word[0].ids(texts) and 0 < asked == Counted.asked
+
+
+def test_case_and_special_tokens_stay_apart(word):
+    bpe, library, _ = word
+    for text in ("THE <|EndOfText|> THE", "A<|endoftext|>B the", "İstanbul THE", "THE\x1cThe\x0bx 'S it'S", "<|", "A B. C, D.. 12A"):
+        assert ids_of(bpe.ids([text])[0]) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_one_trie_encoder_a_worker():
+    assert trie_bpe.shared_trie(WORD) is trie_bpe.shared_trie(WORD)
+
+
 def test_rows(spark, word):
     out = trie_bpe.decode(trie_bpe.encode(hard_docs(spark), WORD), WORD).collect()
     library = word[1]
