@@ -41,6 +41,24 @@ SEED_DOCUMENTS = 1500
 FLUSH_WORDS = 200_000
 
 
+class _ClassMap(dict):
+    """Classes of hot words; that of another word is its suffix's, and is not kept."""
+
+    suffixes: dict[bytes, int]
+
+    def __missing__(self, word: bytes) -> int:
+        return self.suffixes.get(word[-SUFFIX_BYTES:], 1)
+
+
+def text_classes(text: bytes, known: _ClassMap) -> np.ndarray:
+    """The classes of a text's words and of its end, as :meth:`Vocabulary.classes` has them."""
+    found: list[int] = []
+    for block in word_blocks(text):
+        found += map(known.__getitem__, block)
+    found.append(0)
+    return np.array(found, np.int64)
+
+
 @dataclass
 class Vocabulary:
     """Hot words by place, with each one's class and count; the classes of other words by suffix.
@@ -67,6 +85,12 @@ class Vocabulary:
         places.append(get(END, -1))
         return np.array(places, np.int64), rare
 
+    def class_map(self) -> _ClassMap:
+        """The class of any word but the end."""
+        known = _ClassMap(zip(self.hot, self.hot_class.tolist()))
+        known.suffixes = self.suffixes
+        return known
+
     def classes(self, places: np.ndarray, rare: list[bytes]) -> np.ndarray:
         out = self.hot_class[places]
         others = places < 0
@@ -101,7 +125,8 @@ class LogBilinear:
         """Targets, and the CONTEXT classes before each, nearest first; before a document stand ends."""
         pad = np.zeros(CONTEXT, np.int64)
         joined = np.concatenate([x for d in documents for x in (pad, d)])
-        at = np.concatenate([[False] * CONTEXT + [True] * len(d) for d in documents]).nonzero()[0]
+        sizes = np.array([len(d) for d in documents])
+        at = np.arange(sizes.sum()) + np.repeat(np.arange(1, len(sizes) + 1) * CONTEXT, sizes)
         return joined[at], np.stack([joined[at - k] for k in range(1, CONTEXT + 1)])
 
     def train(self, documents: list[np.ndarray], rng: np.random.Generator, state: list[np.ndarray], batch: int = 1024,
@@ -135,7 +160,10 @@ class LogBilinear:
         return [np.full_like(x, 1e-6) for x in self.parameters]
 
     def log_probabilities(self, documents: list[np.ndarray], chunk: int = 512) -> np.ndarray:
-        """The natural log-probability of every token's class, normalised over all classes."""
+        """The natural log-probability of every token's class, normalised over all classes.
+
+        Tokens are taken by their contexts, and the scores of all classes are computed once for each different context.
+        """
         target, context = self.contexts(documents)
         out, into, mix, bias = self.parameters
         turned = np.ascontiguousarray(np.column_stack([out, bias]).T)  # the bias meets a constant 1
@@ -143,17 +171,27 @@ class LogBilinear:
         ones = np.ones(len(bias), np.float32)
         # no score is beyond this, so scores that cannot overflow are used as they are
         most = sum(np.abs(m).max(axis=0) for m in mixed) @ np.abs(turned).max(axis=1)
+        key = np.zeros(len(target), np.int64)
+        for c in context:
+            key = key * len(bias) + c
+        order = np.argsort(key)
+        key, target = key[order], target[order]
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        number = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(key))))  # of each token's context
+        context = context[:, order[starts]]
         found = np.empty(len(target))
-        for at in range(0, len(target), chunk):
+        for at in range(0, len(starts), chunk):
+            low, high = starts[at], starts[at + chunk] if at + chunk < len(starts) else len(target)
             guess = mixed[0][context[0, at:at + chunk]]
             for m, c in zip(mixed[1:], context[1:], strict=True):
                 guess += m[c[at:at + chunk]]
             scores = guess @ turned
             if most > 60:
                 scores -= scores.max(axis=1, keepdims=True)
-            own = scores[np.arange(len(scores)), target[at:at + chunk]]
+            rows = number[low:high] - at
+            own = scores[rows, target[low:high]]
             np.exp(scores, out=scores)
-            found[at:at + chunk] = own - np.log(scores @ ones)
+            found[order[low:high]] = own - np.log(scores @ ones)[rows]
         return found
 
 
@@ -228,8 +266,9 @@ def train_model(texts: DataFrame, words: Vocabulary, seed_documents: int = SEED_
     chosen = texts.filter(F.pmod(F.xxhash64("doc_id", F.lit("seed")), F.lit(1 << 30)) < share).limit(2 * seed_documents)
 
     def to_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words.class_map()
         for batch in batches:
-            ids = [words.classes(*words.places(x.as_py())).astype("<i2").tobytes() for x in batch.column("text")]
+            ids = [text_classes(x.as_py(), known).astype("<i2").tobytes() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     seeds = sorted(bytes(r["ids"]) for r in chosen.mapInArrow(to_classes, "ids binary").collect())
@@ -242,10 +281,10 @@ def train_model(texts: DataFrame, words: Vocabulary, seed_documents: int = SEED_
         own, tokens = LogBilinear(words.class_count), 0
         own.load(model.flat())
         sums, draw = [s.copy() for s in state], np.random.default_rng(TaskContext.get().partitionId())
-        waiting, size = [], 0
+        waiting, size, known = [], 0, words.class_map()
         for batch in batches:
             for x in batch.column("text"):
-                waiting.append(words.classes(*words.places(x.as_py())))
+                waiting.append(text_classes(x.as_py(), known))
                 size += len(waiting[-1])
                 if size >= 1 << 18:
                     own.train(waiting, draw, sums)
@@ -293,7 +332,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
             for k, x in enumerate(batch.column("text")):
                 group.append(words.places(x.as_py()))
                 size += len(group[-1][0])
-                if size >= 1 << 18 or k == batch.num_rows - 1:
+                if size >= 1 << 19 or k == batch.num_rows - 1:
                     yield from of_group(group, ids[at:k + 1], number, batch.column("doc_id").type)
                     number += len(group)
                     at, size, group = k + 1, 0, []

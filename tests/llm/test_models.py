@@ -194,3 +194,29 @@ def test_class_probabilities_are_normalised_and_learnt():
     after = [[2, 3, k] for k in range(8)]
     p = [np.exp(model.log_probabilities([np.array(d)])[-1]) for d in after]
     assert sum(p) == pytest.approx(1, abs=1e-4) and p[4] > 0.8
+
+
+def test_each_context_is_scored_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = [np.append(rng.integers(1, 4, rng.integers(0, 60)), 0) for _ in range(40)]
+    model = lm_score.LogBilinear(np.bincount(np.concatenate(docs), minlength=6).astype(float))
+    target, context = model.contexts(docs)
+    assert target.tolist() == np.concatenate(docs).tolist()
+    padded = [[0, 0, 0, *d] for d in docs]
+    assert context.T.tolist() == [[d[k - 1], d[k - 2], d[k - 3]] for d in padded for k in range(3, len(d))]
+    out, into, mix, bias = model.parameters
+    scores = sum(into[c] * mix[k] for k, c in enumerate(context)) @ out.T + bias
+    want = scores[np.arange(len(target)), target] - np.log(np.exp(scores).sum(axis=1))
+    rows, real = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, **how: (rows.append(len(x)), real(x, **how))[1])
+    found = model.log_probabilities(docs, chunk=7)
+    assert np.allclose(found, want, atol=1e-5) and sum(rows) == len(set(zip(*context.tolist()))) < len(target)
+
+
+def test_classes_of_a_text_by_the_map():
+    words = lm_score.Vocabulary({b"the": 0, lm_score.END: 1, b"running": 2}, np.array([2, 0, 3, 1]), np.ones(4), {b"ng": 3},
+                                np.ones(4), np.ones(4))
+    known = words.class_map()
+    for text in (b"", b"The end of running \xc3\xa9\n the x sing", b" a "):
+        assert lm_score.text_classes(text, known).tolist() == words.classes(*words.places(text)).tolist()
+    assert set(known) == set(words.hot)  # nothing is kept of other words
