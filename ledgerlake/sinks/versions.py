@@ -4,7 +4,7 @@ A table is a view over its current version. Each version is a catalog table ``<t
 own that is never written again. A load
 
 1. notes the version it starts from,
-2. writes its rows to a new folder, with the counts of good and rejected records as metrics of that write,
+2. writes its rows to a new folder, with the counts of good and rejected records as metrics of these writes,
 3. defines the next version over the folder. The catalog refuses a name that exists, so of two loaders that started from
    the same version only one passes; the other raises ``ConcurrentLoad`` and changes nothing,
 4. points the view at it, by one ``CREATE OR REPLACE VIEW``: a reader finds the old or the new version, never none, also
@@ -120,7 +120,7 @@ def load_version(spark: SparkSession, df: DataFrame, table: str, location: str,
         partition_by = [W.INGEST_DATE]
         cluster = choose_clustering_columns([c for c in df.columns if c != reject]) if clustering is None else clustering
     folder = f"{location.rstrip('/')}/load-{uuid.uuid4().hex}"
-    done = W.stage(spark, df, folder, partition_by, cluster, num_files, reject=reject)
+    done = W.stage(spark, df, folder, partition_by, cluster, num_files, reject=reject, max_rejects=max_rejects)
     W.keep_rejects(spark, table, done, max_rejects)
     version = commit(spark, table, done["location"], done["rows"], partition_by, base,
                      {W.CLUSTERING_PROPERTY: ",".join(done["clustering"]), W.RECORD_PROPERTY: done["record"]})

@@ -124,38 +124,44 @@ def rejects_table(table: str) -> str:
 
 def stage(spark: SparkSession, df: DataFrame, folder: str, partition_by: list[str], clustering: list[str],
           num_files: int | None = None, table_format: str = "parquet", reject: str | None = None,
-          z_order: bool = False) -> dict:
-    """Writes ``df`` to the new folder ``folder`` in the layout of a table, in one pass.
+          z_order: bool = False, max_rejects: int | None = None) -> dict:
+    """Writes ``df`` to the new folder ``folder`` in the layout of a table.
 
     ``reject`` names a text column of ``df`` that holds a record which is none (see
-    :func:`ledgerlake.sources.csv_records.read_csv`), else null. ``z_order``: files by the interleaved key of the
-    clustering columns instead of their order, see :mod:`ledgerlake.sinks.layout`. Such rows are written beside the others, below the same
-    folder, and are no part of the table. The numbers of both are metrics of the write; the good ones are checked
+    :func:`ledgerlake.sources.csv_records.read_csv`), else null. Such rows are written first, by themselves, below the same
+    folder, and are no part of the table; if they are more than ``max_rejects``, the others are neither moved nor written.
+    ``z_order``: files by the interleaved key of the clustering columns instead of their order, see
+    :mod:`ledgerlake.sinks.layout`. The numbers of both are metrics of the writes; the good ones are checked
     against the files, and their fingerprint (:mod:`ledgerlake.sinks.content`) is taken. Returns ``rows`` (the written
     rows), ``location``, ``rows_loaded``, ``rows_rejected``, ``rejects`` (their folder), ``clustering`` and ``record``.
     """
     from ledgerlake.sinks import content, layout
     dated = df.withColumn(INGEST_DATE, F.current_date()) if INGEST_DATE in partition_by else df
     cluster = [c for c in clustering if c in df.columns and c != reject]
-    parts, good = list(partition_by), F.lit(True)
+    at, rejected, kept = folder, 0, dated
     if reject:
-        good = col(reject).isNull()
-        dated, parts = dated.withColumn(REJECTED, ~good), [REJECTED, *parts]
+        at, beside = f"{folder}/{REJECTED}=false", f"{folder}/{REJECTED}=true"
+        seen = Observation()
+        (dated.filter(col(reject).isNotNull()).observe(seen, F.count(F.lit(1)).alias("rows"))
+         .write.format(table_format).partitionBy(*partition_by).save(beside))
+        rejected, kept = int(seen.get["rows"]), dated.filter(col(reject).isNull()).drop(reject)
+        if not rejected:
+            delete_folder(spark, beside)
+    said = {"location": at, "rows_rejected": rejected, "clustering": cluster,
+            "rejects": f"{folder}/{REJECTED}=true" if rejected else None, "reject": reject}
+    if max_rejects is not None and rejected > max_rejects:
+        return said | {"rows": spark.createDataFrame([], kept.schema), "rows_loaded": 0, "record": None}
     seen = Observation()
-    out = (layout.z_ordered if z_order else clustered)(dated, cluster, num_files)
+    out = (layout.z_ordered if z_order else clustered)(kept, cluster, num_files)
     own = [c for c in df.columns if c != reject]
-    out.observe(seen, F.count_if(~good).alias("rejected"), *content.metrics(out, own, good)
-                ).write.format(table_format).partitionBy(*parts).save(folder)
-    rows, rejected = int(seen.get["fp_rows"]), int(seen.get["rejected"])
-    at = f"{folder}/{REJECTED}=false" if reject else folder
-    kept = dated.drop(REJECTED, reject) if reject else dated
+    out.observe(seen, *content.metrics(out, own)).write.format(table_format).partitionBy(*partition_by).save(at)
+    rows = int(seen.get["fp_rows"])
     written = spark.read.format(table_format).schema(kept.schema).load(at) if rows or not reject else (
         spark.createDataFrame([], kept.schema))
     if (found := written.count()) != rows:
         raise RuntimeError(f"{rows} rows were written to {at}, {found} are there")
-    return {"rows": written, "location": at, "rows_loaded": rows, "rows_rejected": rejected, "clustering": cluster,
-            "rejects": f"{folder}/{REJECTED}=true" if rejected else None, "reject": reject,
-            "record": content.record(kept, partition_by, cluster, content.fingerprint(seen.get))}
+    return said | {"rows": written, "rows_loaded": rows,
+                   "record": content.record(kept, partition_by, cluster, content.fingerprint(seen.get))}
 
 
 def keep_rejects(spark: SparkSession, table: str, staged: dict, max_rejects: int = 0) -> None:
@@ -212,7 +218,8 @@ def load_table(spark: SparkSession, df: DataFrame, table: str, location: str,
     else:
         folder = f"{location.rstrip('/')}/load-{uuid.uuid4().hex}"
         z_order = z_ordered_table(spark, table) if z_order is None and not created else bool(z_order)
-        staged = stage(spark, df, folder, partition_by, cluster, num_files, table_format, reject, z_order)
+        staged = stage(spark, df, folder, partition_by, cluster, num_files, table_format, reject, z_order,
+                       max_rejects)
         keep_rejects(spark, table, staged, max_rejects)
         at, rows, rejected, cluster = (staged[k] for k in ("location", "rows_loaded", "rows_rejected", "clustering"))
         before = None if created else table_location(spark, table)

@@ -8,6 +8,7 @@ line moves only if its record has several lines, or, where there are many such r
 Spark's ``from_csv``.
 
 The lines are written once to the shared checkpoint folder, so that line numbers stay the same whatever is read again.
+Where no line leaves a quoted field open, each line is a record: then no line needs a number and none is written.
 Lines end in LF or CRLF; a file's first line says which, and a CRLF file's quoted line ends become LF, as Spark's
 reader has it. A quote opens a field only at its start; a doubled quote inside a quoted field is a quote; text after a
 closing quote makes the field a plain one up to the next delimiter.
@@ -33,8 +34,8 @@ CORRUPT = "_corrupt_record"
 
 
 class Records(NamedTuple):
-    """``rows``: file, record (its first line's number), text; with the header records. ``files``: file, record (of the
-    header), header. Both are lazy reads of written tables."""
+    """``rows``: file, record (a number; of several lines, the first one's), text; with the header records. ``files``: file, record (of the
+    header), header. Both are lazy reads, of written tables or of the files."""
     rows: DataFrame
     files: DataFrame
 
@@ -171,9 +172,49 @@ def _without_cr(name: str) -> Column:
     return F.when(F.endswith(name, F.lit("\r")), F.expr(f"left({name}, length({name}) - 1)")).otherwise(F.col(name))
 
 
+def _with_text(records: DataFrame, files: DataFrame) -> DataFrame:
+    """``records`` (file, record, value) with their text, by the line ends of their ``files`` (file, crlf)."""
+    text = F.when(F.col("crlf"), F.replace(_without_cr("value"), F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("value"))
+    return records.join(F.broadcast(files.select("file", "crlf")), "file").select(
+        "file", "record", text.alias("text")).filter("text != ''")
+
+
+def _header_text(text: str) -> Column:
+    return F.regexp_replace(text, "^\\uFEFF", "")
+
+
+def _line_records(spark: SparkSession, path: str, delimiter: str) -> Records | None:
+    """The records of files in which no line opens a quoted field that it does not close, so that each line is one;
+    None if there is such a line, or one that is as a header but is not the header.
+
+    Lines then need no numbers: a header is told by its text, and nothing is written but a row a file. ``record`` is 0
+    for a header, 1 for others.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    order = F.struct("block", "line")
+    heads = _written(lines.withColumn("line", F.monotonically_increasing_id()).groupBy("file").agg(
+        F.max(_ends_inside("value", delimiter, False)).alias("opened"),
+        F.min_by("value", F.when(_without_cr("value") != "", order)).alias("head"),
+        F.min_by(F.endswith("value", F.lit("\r")), order).alias("crlf")), "csv-heads")
+    if heads.filter("opened").count():
+        return None
+    of_file = F.broadcast(heads.select("file", "head"))
+    copies = lines.select("file", "value").join(of_file, "file").filter("value = head").groupBy("file").count()
+    if copies.filter("count > 1").count():
+        return None
+    rows = lines.select("file", "value").join(of_file, "file").select(
+        "file", F.when(F.col("value") == F.col("head"), 0).otherwise(1).alias("record"), "value")
+    files = _with_text(heads.filter("head IS NOT NULL").select("file", F.lit(0).alias("record"), F.col("head").alias("value")),
+                       heads)
+    return Records(_with_text(rows, heads), files.select("file", "record", _header_text("text").alias("header")))
+
+
 def csv_records(spark: SparkSession, path: str, delimiter: str = ",") -> Records:
     """The records of the CSV files under ``path``, read by as many tasks as they have blocks. Empty lines outside of
     quotes are no records."""
+    if found := _line_records(spark, path, delimiter):
+        return found
     lines = read_lines(spark, path, delimiter)
     states = line_states(lines)
     parts = continued(states)
@@ -192,17 +233,12 @@ def csv_records(spark: SparkSession, path: str, delimiter: str = ",") -> Records
         F.min(F.when(_without_cr("value") != "", F.struct("block", "line"))).alias("head"),
         F.min_by(F.endswith("value", F.lit("\r")), F.struct("block", "line")).alias("crlf"))
     heads = _written(heads.select("file", F.col("head.line").alias("head"), "crlf"), "csv-heads")
-    crlf = F.broadcast(heads.select("file", "crlf"))
-    text = F.when(F.col("crlf"), F.replace(_without_cr("value"), F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("value"))
-
-    def with_text(records: DataFrame) -> DataFrame:
-        return records.join(crlf, "file").select("file", "record", text.alias("text")).filter("text != ''")
     # the lines of the headers are looked up by themselves, so that no other text moves for them
     of_head = _written(heads.filter("head IS NOT NULL").join(parts, F.col("head") == F.col("record"), "left").select(
         "file", F.col("head").alias("record"), F.coalesce("line", "head").alias("line")), "csv-head-lines")
-    files = with_text(_joined_lines(lines.drop("file").join(of_head, "line"), "file", "record")).select(
-        "file", "record", F.regexp_replace("text", "^\\uFEFF", "").alias("header"))
-    return Records(with_text(found), _written(files, "csv-headers"))
+    files = _with_text(_joined_lines(lines.drop("file").join(of_head, "line"), "file", "record"), heads).select(
+        "file", "record", _header_text("text").alias("header"))
+    return Records(_with_text(found, heads), _written(files, "csv-headers"))
 
 
 def header_names(spark: SparkSession, header: str, options: dict[str, str]) -> list[str]:

@@ -166,3 +166,21 @@ def test_many_records_move_their_lines_once(spark, tmp_path, blocks, monkeypatch
     assert rows(found) == want
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert sum("Relation" in x and "kept" in x for x in plan.splitlines()) == 1  # the written lines are read once
+
+
+@pytest.mark.parametrize("text", [CASES["plain"], CASES["no_end"], CASES["crlf"].replace('"x\r\ny"', "x"), CASES["spaces"],
+                                  CASES["bom"], CASES["odd_names"], CASES["header_only"], 'a,b\n"x, ""y""",z\n\n"",\n'])
+def test_lines_that_are_records_are_not_written(spark, tmp_path, monkeypatch, text):
+    for k in range(2):
+        (tmp_path / f"{k}.csv").write_bytes(text.encode())
+    want = rows(load_csv(spark, str(tmp_path), infer_schema=False))
+
+    def refuse(*args):
+        raise AssertionError("lines are written")
+    monkeypatch.setattr(R, "read_lines", refuse)
+    assert rows(R.read_csv(spark, str(tmp_path), infer_schema=False)) == want
+
+
+def test_a_row_that_reads_as_the_header(spark, tmp_path):
+    (tmp_path / "h.csv").write_text("a,b\n1,x\na,b\n")
+    assert rows(R.read_csv(spark, str(tmp_path), infer_schema=False)) == ["('1', 'x')", "('a', 'b')"]

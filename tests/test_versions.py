@@ -176,3 +176,16 @@ def test_a_versioned_run(spark, tmp_path, fixture_dir):
     spark.sql("DROP VIEW customers")
     for v in V.versions(spark, "customers"):
         spark.sql(f"DROP TABLE customers__v{v:06}")
+
+
+def test_a_refused_load_moves_and_writes_its_rejects_only(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(1, None), (2, "2,x"), (3, None)], "customer_id int, bad string")
+    monkeypatch.setattr(W, "clustered", lambda *args: pytest.fail("rows of a refused load are moved"))
+    with pytest.raises(W.RejectedRows) as e:
+        V.load_version(spark, rows, "refused_only", str(tmp_path / "t"), reject="bad")
+    assert e.value.rows == 1 and V.current_version(spark, "refused_only") == 0
+    assert [r["record"] for r in spark.table(e.value.table).collect()] == ["2,x"]
+    monkeypatch.undo()
+    done = V.load_version(spark, rows, "refused_only", str(tmp_path / "t"), reject="bad", max_rejects=1)
+    assert (done["rows_loaded"], done["rows_rejected"]) == (2, 1)
+    assert sorted(r["customer_id"] for r in spark.table("refused_only").collect()) == [1, 3]
